@@ -25,7 +25,6 @@ from fixture_contracts import (  # noqa: E402
     fixture_lookup,
     fixture_tables,
 )
-from pactframe.operators.findings import union_all  # noqa: E402
 from pactframe.operators.foreign_keys import orphan_key_sizes  # noqa: E402
 from pactframe.plans.issues import mismatch_issues, table_facts, violation_issues  # noqa: E402
 from pactframe.plans.schemas import actual_rows, declared_rows, row_counts  # noqa: E402
@@ -231,12 +230,18 @@ def _between(child: str, parent: str, operator: Callable[[DataFrame, DataFrame],
 
 def minimum_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One key and one foreign key of two tables, as a report."""
-    names = ("lineitem", "documents")
-    report = union_all(
-        [pf.validate_constraints(BY_NAME[n], fixture_lookup(spark, sf_dir), BY_NAME) for n in names]
-    )
-    wanted = report.where("rule_name IN ('lineitem_pk', 'documents_labels_fk')")
-    return wanted.where("kind <> 'primary_key_null'").select(REPORT_COLUMNS)
+    wanted = {"lineitem": "lineitem_pk", "documents": "documents_labels_fk"}
+    contracts = [
+        replace(
+            BY_NAME[name],
+            columns=tuple(replace(column, nullable=True) for column in BY_NAME[name].columns),
+            rules=tuple(rule for rule in BY_NAME[name].rules if rule.name == rule_name),
+        )
+        for name, rule_name in wanted.items()
+    ]
+    report = pf.validate_tables(contracts, fixture_lookup(spark, sf_dir))
+    kinds = ["primary_key_duplicate", "foreign_key"]
+    return report.where(report["kind"].isin(kinds)).select(REPORT_COLUMNS)
 
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]

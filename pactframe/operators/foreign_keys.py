@@ -18,7 +18,7 @@ from ..functions.names import absent_columns, quoted, target_table_name
 from ..model import Rule, TableContract
 from .findings import FOREIGN_KEY, Finding
 from .keys import key_parts, key_sizes
-from .matching import fits_broadcast, rows_with_keys
+from .matching import HOT_ROWS, fits_broadcast, rows_with_keys
 from .rows import Skipped
 
 TableLookup = Callable[[str], DataFrame | None]
@@ -156,6 +156,8 @@ def fk_orphans(
     columns: Sequence[str],
     ref_columns: Sequence[str],
     small_parent: bool | None = None,
+    hot_rows: int | None = None,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """The child rows without a parent.
 
@@ -165,9 +167,16 @@ def fk_orphans(
     """
     parents = parent_keys(parent, ref_columns)
     if small_parent is None:
-        small_parent = fits_broadcast(parents)
+        small_parent = fits_broadcast(parents, broadcast_bytes)
     if small_parent:
         rows = child.where(all_present(columns))
         return _without_parent(rows, columns, F.broadcast(parents))
-    keys = orphan_key_sizes(child, parent, columns, ref_columns).drop("count")
-    return rows_with_keys(child, keys, columns)
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    sizes = key_sizes(child.where(all_present(columns)), columns)
+    same = " AND ".join(f"{part} = __p{i}" for i, part in enumerate(key_parts(columns)))
+    keys = (
+        sizes.join(parents.distinct(), F.expr(same), "left")
+        .selectExpr(*sizes.columns, "__p0 IS NULL AS wanted")
+        .where(f"wanted OR count >= {hot_rows}")
+    )
+    return rows_with_keys(child, keys, columns, False, hot_rows, broadcast_bytes)

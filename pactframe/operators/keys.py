@@ -99,4 +99,4 @@ def rows_with_duplicate_key(
 ) -> DataFrame:
     """All rows that share their key with another row."""
     groups = duplicate_key_sizes(df, key, kind == "unique", hash_first)
-    return rows_with_keys(df, groups.drop("count"), key, null_safe=True)
+    return rows_with_keys(df, groups.selectExpr("*", "true AS wanted"), key, null_safe=True)

@@ -1,8 +1,8 @@
 """Keep the rows of a large table whose key is in a set of keys.
 
 The set is computed once and measured. Within the bound it is broadcast and the table is
-filtered in place. Beyond it both sides are shuffled on the key plus a salt, so that a key
-holding a large share of the rows is spread over `SALTS` tasks.
+filtered in place. Beyond it the table is shuffled on the key, after the keys that hold many
+rows have been dealt with by broadcast: no task receives the rows of a hot key.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from ..scratch import checkpointed
 
 # Raw key bytes; a hash table of fixed-width keys takes a small multiple of this.
 BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 64
+# A key with this many rows is hot. A table has at most one such key per HOT_ROWS rows.
+HOT_ROWS = 1_000_000
 UNMEASURED = 1 << 62
 
 
@@ -43,17 +44,33 @@ def rows_with_keys(
     keys: DataFrame,
     names: Sequence[str],
     null_safe: bool = False,
+    hot_rows: int | None = None,
     broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """Rows of `df` whose `names` equal a row of `keys` (columns in the same order, no
-    duplicates). With `null_safe`, NULL parts match NULL parts."""
-    wanted = checkpointed(keys.toDF(*[f"__w{i}" for i in range(len(names))]))
+    """Rows of `df` whose `names` equal the key columns of a wanted row of `keys`.
+
+    `keys` has the key columns in the same order, then `count` (rows of `df` with that key)
+    and `wanted`; each key is in it once. It must hold all wanted keys and all hot ones. With
+    `null_safe`, NULL parts match NULL parts.
+    """
+    parts = [f"__w{i}" for i in range(len(names))]
+    known = checkpointed(keys.toDF(*parts, "__count", "__wanted"))
     equals = "<=>" if null_safe else "="
-    same = " AND ".join(f"{quoted(name)} {equals} __w{i}" for i, name in enumerate(names))
+    same = F.expr(
+        " AND ".join(f"{quoted(name)} {equals} {part}" for name, part in zip(names, parts))
+    )
+
+    def picked(condition: str) -> DataFrame:
+        return known.where(condition).select(*parts)
+
+    wanted = picked("__wanted")
     if fits_broadcast(wanted, broadcast_bytes):
-        return df.join(F.broadcast(wanted), F.expr(same), "left_semi")
+        return df.join(F.broadcast(wanted), same, "left_semi")
 
-    # The salt depends on the input partition alone, so a recomputed task repeats it.
-    salted = df.withColumn("__salt", F.expr(f"pmod(spark_partition_id(), {SALTS})"))
-    copies = wanted.withColumn("__copy", F.expr(f"explode(sequence(0, {SALTS - 1}))"))
-    return salted.join(copies, F.expr(f"{same} AND __salt = __copy"), "left_semi").drop("__salt")
+    least = HOT_ROWS if hot_rows is None else hot_rows
+    while not fits_broadcast(picked(f"__count >= {least}"), broadcast_bytes):
+        least *= 2
+    from_hot = df.join(F.broadcast(picked(f"__wanted AND __count >= {least}")), same, "left_semi")
+    others = df.join(F.broadcast(picked(f"__count >= {least}")), same, "left_anti")
+    from_others = others.join(picked(f"__wanted AND __count < {least}"), same, "left_semi")
+    return from_hot.unionAll(from_others)

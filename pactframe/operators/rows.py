@@ -6,7 +6,7 @@ the columns the rules name.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -82,24 +82,34 @@ def count_rows_and_failures(
     table: str,
     tests: Sequence[RowTest],
     book: RuleBook,
-    others: Mapping[Finding, str] | None = None,
+    others: Sequence[tuple[Finding, str]] = (),
 ) -> DataFrame:
-    """The table's row count and every row rule's violations, from a single aggregate.
+    """The table's row count and every given rule's violations, from a single aggregate.
 
-    `others` are further rules with the aggregate over `df` that counts their violations.
+    `others` are rules other than row rules, with the aggregate over `df` that counts them.
     """
-    counts = {book.number(table, ROWS_FOUND): "count(1)"}
-    counts |= {book.number(table, test.finding): test.count for test in tests}
-    counts |= {book.number(table, rule): count for rule, count in (others or {}).items()}
-    counted = df.selectExpr(*[f"{count} AS t{rule}" for rule, count in counts.items()])
-    return numbered(counted, {rule: f"t{rule}" for rule in counts})
+    rules = [(ROWS_FOUND, "count(1)")] + [(test.finding, test.count) for test in tests]
+    return _count(df, table, [*rules, *others], book)
 
 
-def count_failure(df: DataFrame, table: str, test: RowTest, book: RuleBook) -> DataFrame:
-    """One row rule's violations."""
-    return numbered(
-        df.selectExpr(f"{test.count} AS n"), {book.number(table, test.finding): "n"}
-    )
+def count_failures(
+    df: DataFrame,
+    table: str,
+    tests: Sequence[RowTest],
+    book: RuleBook,
+    others: Sequence[tuple[Finding, str]] = (),
+) -> DataFrame:
+    """The same without the row count."""
+    rules = [(test.finding, test.count) for test in tests]
+    return _count(df, table, [*rules, *others], book)
+
+
+def _count(
+    df: DataFrame, table: str, rules: Sequence[tuple[Finding, str]], book: RuleBook
+) -> DataFrame:
+    counts = {book.number(table, rule): count for rule, count in rules}
+    counted = df.selectExpr(*[f"{count} AS t{rule_id}" for rule_id, count in counts.items()])
+    return numbered(counted, {rule_id: f"t{rule_id}" for rule_id in counts})
 
 
 def not_null_violations(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import absent_columns, quoted
+from ..functions.conditions import any_present
+from ..functions.names import absent_columns
 from ..model import PRIMARY_KEY, UNIQUE, TableContract
 from ..operators.findings import (
     PRIMARY_KEY_DUPLICATE,
@@ -39,6 +40,7 @@ from ..operators.matching import BROADCAST_BYTES, key_bytes
 from ..operators.rows import (
     RowTest,
     Skipped,
+    count_failures,
     count_rows_and_failures,
     row_tests,
     rows_violating,
@@ -164,21 +166,33 @@ def count_orphans(
     )
 
 
+def footers_answer_counts(spark: SparkSession) -> bool:
+    """Whether the session lets parquet answer plain counts from file footers."""
+    row_sources = spark.conf.get("spark.sql.sources.useV1SourceList").lower().split(",")
+    pushed_down = spark.conf.get("spark.sql.parquet.aggregatePushdown") == "true"
+    return pushed_down and "parquet" not in [name.strip() for name in row_sources]
+
+
 def table_counts(
     plan: TablePlan, lookup: TableLookup, small: Mapping[ParentKey, int], book: RuleBook
 ) -> list[DataFrame]:
     """The counts of all rules of a table: one frame for the row rules and the foreign keys to
     small parents, one per key set, one per remaining foreign key."""
+    table, data, tests = plan.contract.target_name, plan.data, plan.row_tests
     together = parents_broadcast_together(plan, small)
-    data = plan.data
+    orphans = [(key.finding, orphan_count(key, place)) for place, key in enumerate(together)]
+    parts = []
+    if footers_answer_counts(data.sparkSession):
+        # Values are counted without reading them, apart from the rules that do need a scan.
+        counting = [test for test in tests if test.counts_values]
+        parts.append(count_rows_and_failures(data, table, counting, book))
+        tests = [test for test in tests if not test.counts_values]
     if together:
         data = with_parent_marks(data, [(key, lookup(key.parent_table)) for key in together])
-    parts = [
-        count_rows_and_failures(
-            data, plan.contract.target_name, plan.row_tests, book,
-            {key.finding: orphan_count(key, place) for place, key in enumerate(together)},
-        )
-    ]
+    if not parts:
+        parts.append(count_rows_and_failures(data, table, tests, book, orphans))
+    elif tests or orphans:
+        parts.append(count_failures(data, table, tests, book, orphans))
     parts += [count_key_set(plan, keys, book) for keys in plan.key_sets]
     parts += [
         count_orphans(plan, key, lookup, small, book)
@@ -234,21 +248,18 @@ def violating_rows(
     """The violating rows themselves: `kind`, `rule_name` and the row's columns, one row per
     rule broken. Row rules share one scan."""
     plan = plan_table(contract, lookup, contracts, overrides, where)
-    names = [quoted(name) for name in plan.data.columns]
-
-    def tagged(rows: DataFrame, finding: Finding) -> DataFrame:
-        kind, rule = F.lit(finding.kind).alias("kind"), F.lit(finding.label).alias("rule_name")
-        return rows.select(kind, rule, *names)
-
     parts = [rows_violating(plan.data, plan.row_tests)]
     for keys in plan.key_sets:
-        for finding in keys.findings:
-            kind = PRIMARY_KEY if finding.kind == PRIMARY_KEY_DUPLICATE else UNIQUE
-            rows = rows_with_duplicate_key(plan.data, keys.columns, kind, keys.hash_first)
-            parts.append(tagged(rows, finding))
+        primary = any(finding.kind == PRIMARY_KEY_DUPLICATE for finding in keys.findings)
+        kind = PRIMARY_KEY if primary else UNIQUE
+        rows = rows_with_duplicate_key(plan.data, keys.columns, kind, keys.hash_first)
+        # A key that is NULL in all parts breaks a primary key but no unique key.
+        broken = {PRIMARY_KEY_DUPLICATE: "true", UNIQUE_DUPLICATE: any_present(keys.columns)}
+        tests = [RowTest(finding, broken[finding.kind]) for finding in keys.findings]
+        parts.append(rows_violating(rows, tests))
     for fk in plan.foreign_keys:
         rows = fk_orphans(plan.data, lookup(fk.parent_table), fk.columns, fk.ref_columns)
-        parts.append(tagged(rows, fk.finding))
+        parts.append(rows_violating(rows, [RowTest(fk.finding, "true")]))
     return union_all(parts)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from ..model import RunOptions, TableContract
 from ..operators.findings import REPORT_SCHEMA, ROWS_FOUND, RuleBook
 from ..operators.foreign_keys import ParentKey, TableLookup
-from ..operators.rows import count_failure, count_rows_and_failures
+from ..operators.rows import count_failures, count_rows_and_failures
 from ..operators.schema_diff import schema_messages
 from ..sources.contracts import to_tables
 from ..sources.reports import write_issues, write_report
@@ -254,7 +254,9 @@ def _evaluate_alone(
         pass
     table, book = plan.contract.target_name, RuleBook()
     parts = [(ROWS_FOUND, count_rows_and_failures(plan.data, table, [], book))]
-    parts += [(test.finding, count_failure(plan.data, table, test, book)) for test in plan.row_tests]
+    parts += [
+        (test.finding, count_failures(plan.data, table, [test], book)) for test in plan.row_tests
+    ]
     parts += [(keys.findings[0], count_key_set(plan, keys, book)) for keys in plan.key_sets]
     parts += [
         (key.finding, count_orphans(plan, key, lookup, small, book)) for key in plan.foreign_keys

@@ -22,7 +22,7 @@ COLUMNS_SCHEMA = (
 RULES_SCHEMA = (
     "target_name string, rule_name string, kind string, columns array<string>, "
     "ref_table string, ref_columns array<string>, expression string, origin string, "
-    "ref_schema string"
+    "ref_schema string, position int"
 )
 
 
@@ -42,10 +42,10 @@ def to_tables(spark: SparkSession, contracts: Sequence[TableContract]) -> Contra
     rules = [
         (
             c.target_name, r.name, r.kind, list(r.columns), r.ref_table,
-            list(r.ref_columns), r.expression, r.origin, r.ref_schema,
+            list(r.ref_columns), r.expression, r.origin, r.ref_schema, place,
         )
         for c in contracts
-        for r in c.rules
+        for place, r in enumerate(c.rules)
     ]
     return ContractTables(
         spark.createDataFrame(tables, TABLES_SCHEMA),
@@ -69,7 +69,9 @@ def from_tables(
         columns_of[row.target_name].append(
             Column(row.name, row.declared_type, nullable, row.default_expr)
         )
-    for row in rules.collect():
+    # The last two columns of the rules may be left out of hand-made contract tables.
+    places = ["position"] if "position" in rules.columns else []
+    for row in rules.orderBy("target_name", *places, "rule_name").collect():
         rules_of[row.target_name].append(
             Rule(
                 row.kind, tuple(row.columns or ()), row.rule_name, row.ref_table,
