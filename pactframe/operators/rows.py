@@ -26,16 +26,21 @@ class RowTest:
     finding: Finding
     failure: str
 
+    @property
+    def counts_values(self) -> bool:
+        """Whether the rule only asks how many values one column has."""
+        kinds = (findings.NOT_NULL, findings.PRIMARY_KEY_NULL)
+        return self.finding.kind in kinds and len(self.finding.columns) == 1
+
     @property
     def count(self) -> str:
         """Aggregate that counts the violations.
 
-        NULLs of one column are counted as rows minus values, so that a session with
-        aggregate push-down answers NOT NULL rules from file footers.
+        NULLs of one column are counted as rows minus values, a form that aggregate
+        push-down answers from file footers.
         """
-        names = self.finding.columns
-        if self.finding.kind in (findings.NOT_NULL, findings.PRIMARY_KEY_NULL) and len(names) == 1:
-            return f"count(1) - count({quoted(names[0])})"
+        if self.counts_values:
+            return f"count(1) - count({quoted(self.finding.columns[0])})"
         return f"count_if({self.failure})"
 
 

@@ -1,0 +1,129 @@
+"""The physical plans are the ones intended."""
+
+import re
+
+import pytest
+
+from pactframe import cast_rejects, conform, duplicate_keys, fk_orphans, orphan_rows, validate_constraints
+from pactframe.operators.findings import RuleBook
+from pactframe.operators.foreign_keys import orphan_key_sizes
+from pactframe.operators.rows import count_rows_and_failures, row_tests, rows_violating
+from pactframe.plans.constraints import plan_table, small_parents, table_counts
+from conftest import SF_DIR
+from fixture_contracts import BY_NAME, fixture_lookup
+
+
+@pytest.fixture(scope="module")
+def find(spark):
+    return fixture_lookup(spark, SF_DIR)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(plan):
+    return re.findall(r"FileScan parquet.*ReadSchema: struct<([^\n]*)>", plan)
+
+
+def columns_read(plan):
+    return [{part.split(":")[0] for part in scan.split(",") if ":" in part} for scan in scans(plan)]
+
+
+def no_python(plan):
+    return not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_row_rules_take_one_narrow_scan(find):
+    lineitem, contract = find("lineitem"), BY_NAME["lineitem"]
+    tests, _ = row_tests(lineitem, contract)
+    plan = plan_of(count_rows_and_failures(lineitem, "lineitem", tests, RuleBook()))
+    assert columns_read(plan) == [{"l_orderkey", "l_linenumber", "l_quantity", "l_discount"}]
+    assert plan.count("Exchange") == 1 and "SinglePartition" in plan and no_python(plan)
+
+
+def test_foreign_keys_to_small_parents_ride_on_that_scan(find):
+    plan = plan_table(BY_NAME["lineitem"], find, BY_NAME)
+    parts = table_counts(plan, find, small_parents([plan], find), RuleBook())
+    assert len(parts) == 2  # the row pass and the primary key
+    text = plan_of(parts[0])
+    assert sum("l_orderkey" in names for names in columns_read(text)) == 1
+    assert text.count("ExistenceJoin") == 3 and text.count("BroadcastHashJoin") == 3
+    assert "hashpartitioning" not in text and "SortMergeJoin" not in text
+
+
+def test_large_parents_are_joined_by_key_after_grouping(spark, find):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = orphan_rows(find("lineitem"), find("orders"), ["l_orderkey"], ["o_orderkey"])
+        plan = plan_of(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti" in plan and "CartesianProduct" not in plan and no_python(plan)
+    # one shuffle per side, reused by grouping and join, each after a partial aggregate
+    assert plan.count("hashpartitioning") == 2
+    assert plan.count("partial_count(1)") == 1
+    assert columns_read(plan) == [{"l_orderkey"}, {"o_orderkey"}]
+
+
+def test_catalyst_moves_the_anti_join_below_the_grouping(find):
+    plan = plan_of(orphan_key_sizes(find("lineitem"), find("part"), ["l_partkey"], ["p_partkey"]))
+    grouping, join = plan.index("partial_count(1)"), plan.index("BroadcastHashJoin")
+    assert grouping < join  # plans print from the top
+
+
+def test_orphan_rows_of_a_small_parent_do_not_move_the_child(find):
+    plan = plan_of(fk_orphans(find("documents"), find("labels"), ["doc_id"], ["doc_id"]))
+    assert "LeftAnti" in plan and "hashpartitioning" not in plan
+    assert "PushedFilters: [IsNotNull(doc_id)]" in plan
+
+
+def test_duplicates_shuffle_partial_counts_of_the_key_only(find):
+    plan = plan_of(duplicate_keys(find("lineitem"), ["l_orderkey", "l_linenumber"]))
+    assert columns_read(plan) == [{"l_orderkey", "l_linenumber"}]
+    assert plan.count("Exchange") == 1 and "partial_count(1)" in plan and no_python(plan)
+
+
+def test_hash_first_broadcasts_hashes_and_groups_suspects(find):
+    plan = plan_of(duplicate_keys(find("documents"), ["text"], "unique", hash_first=True))
+    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan and "partial_count(1)" in plan
+
+
+def test_row_local_operators_are_one_stage(find):
+    orders, contract = find("orders"), BY_NAME["orders"]
+    tests, _ = row_tests(orders, contract)
+    for df in (conform(orders, contract), cast_rejects(orders, contract), rows_violating(orders, tests)):
+        plan = plan_of(df)
+        assert "Exchange" not in plan and no_python(plan)
+    assert columns_read(plan_of(conform(orders, contract).select("o_orderkey"))) == [{"o_orderkey"}]
+
+
+def test_slices_reach_the_scan(find):
+    report = validate_constraints(
+        BY_NAME["customer"], find, BY_NAME, where="c_mktsegment = 'BUILDING'"
+    )
+    plan = plan_of(report)
+    pushed = [line for line in plan.splitlines() if "c_custkey" in line and "FileScan" in line]
+    assert pushed and all("EqualTo(c_mktsegment,BUILDING)" in line for line in pushed)
+
+
+def test_footers_answer_null_counts_where_the_session_allows(spark):
+    settings = {
+        "spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        find = fixture_lookup(spark, SF_DIR)
+        plan = plan_table(BY_NAME["customer"], find, BY_NAME)
+        parts = table_counts(plan, find, small_parents([plan], find), RuleBook())
+        assert "PushedAggregation: [COUNT(*), COUNT(c_custkey)]" in plan_of(parts[0])
+        report = validate_constraints(BY_NAME["customer"], find, BY_NAME)
+        rows = {(r.kind, r.rule_name): (r.violations, r.table_rows) for r in report.collect()}
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert rows[("row_count", "row_count")] == (0, 150)
+    assert rows[("check", "customer_solvent_ck")] == (11, None)
+    plain = validate_constraints(BY_NAME["customer"], fixture_lookup(spark, SF_DIR), BY_NAME)
+    assert rows == {(r.kind, r.rule_name): (r.violations, r.table_rows) for r in plain.collect()}
