@@ -210,8 +210,9 @@ CONTRACTS = [
 BY_NAME = {contract.target_name: contract for contract in CONTRACTS}
 
 
+@cache
 def fixture_lookup(spark: SparkSession, sf_dir: str):
-    """Finds the test tables and views by name."""
+    """Finds the test tables and views by name. Tables are opened once per session."""
 
     @cache
     def find(name: str) -> DataFrame | None:

@@ -74,3 +74,40 @@ def is_wide_text(declared: str) -> bool:
         return False
     length = re.search(r"\(\s*(\d+)", declared)
     return length is None or int(length.group(1)) > WIDE_TEXT_LENGTH
+
+
+def _fits(source: T.DataType, target: T.DataType) -> str | None:
+    """Condition on `{x}` that is false only for numbers the target type cannot hold, or None
+    where every number may fit. Bounds are exact in the source type."""
+    if isinstance(target, T.DecimalType):
+        digits = target.precision - target.scale
+        low, high = -(10**digits), 10**digits  # both outside
+    elif isinstance(target, (T.IntegerType, T.LongType)):
+        bits = 31 if isinstance(target, T.IntegerType) else 63
+        low, high = -(2**bits) - 1, 2**bits
+    else:
+        return None
+    if isinstance(source, (T.FloatType, T.DoubleType)):
+        if isinstance(target, T.LongType) or float(high) != high:
+            return None  # the bound is no double
+        return f"{{x}} > {float(low)!r}D AND {{x}} < {float(high)!r}D"
+    if isinstance(source, T.IntegralType):
+        if high >= 2**63:
+            return None
+        return f"{{x}} > {low}L AND {{x}} < {high}L"
+    if isinstance(source, T.DecimalType):
+        if len(str(high)) > source.precision - source.scale:
+            return None
+        return f"{{x}} > {low}BD AND {{x}} < {high}BD"
+    return None
+
+
+def fitting_cast(value: str, source: T.DataType, target: T.DataType) -> str:
+    """SQL text casting `value` to `target`, NULL where it does not fit.
+
+    Equal to `try_cast`, which raises and catches an exception for each number out of range;
+    comparing with the range first keeps tables with many such numbers as fast as others.
+    """
+    cast = f"try_cast({value} AS {target.simpleString()})"
+    fits = _fits(source, target)
+    return f"CASE WHEN {fits.format(x=value)} THEN {cast} END" if fits else cast

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.conditions import first_line
 from ..functions.names import absent_columns, quoted, sql_text
+from ..functions.types import fitting_cast
 from ..model import TableContract
 from .rows import RowTest, row_tests, violation_tags
 from .findings import Finding
@@ -59,15 +60,21 @@ def _failure(df: DataFrame, columns: Sequence[str]) -> str | None:
 
 
 def _plan(df: DataFrame, contract: TableContract, fill_defaults: bool) -> CastPlan:
-    types = {field.name: field.dataType.simpleString() for field in contract.schema.fields}
+    types = {field.name: field.dataType for field in contract.schema.fields}
     absent = set(absent_columns(df, types))
+    stored = df.select(*[quoted(name) for name in types if name not in absent]).schema.fields
+    sources = {
+        name: field.dataType for name, field in zip([n for n in types if n not in absent], stored)
+    }
     defaults = contract.defaults if fill_defaults else {}
-    casts, filled = {}, {}
-    for name, data_type in types.items():
-        if name in absent:
-            filled[name] = f"CAST({defaults.get(name, 'NULL')} AS {data_type})"
-        else:
-            casts[name] = f"try_cast({quoted(name)} AS {data_type})"
+    casts = {
+        name: fitting_cast(quoted(name), source, types[name]) for name, source in sources.items()
+    }
+    filled = {
+        name: f"CAST({defaults.get(name, 'NULL')} AS {types[name].simpleString()})"
+        for name in types
+        if name in absent
+    }
     return CastPlan(casts, filled, list(types))
 
 

@@ -136,13 +136,15 @@ def orphan_rows(
     parent: DataFrame,
     columns: Sequence[str],
     ref_columns: Sequence[str],
-    small_parent: bool = False,
+    small_parent: bool | None = None,
 ) -> DataFrame:
     """Number of child rows without a parent, as one row `orphan_rows`.
 
-    `small_parent` states that the parent's keys were measured and fit a broadcast; the
-    child is then filtered in place and not shuffled.
+    `small_parent` says whether the parent's keys fit a broadcast; unless it is given they
+    are measured. The child of a small parent is filtered in place and not shuffled.
     """
+    if small_parent is None:
+        small_parent = fits_broadcast(parent_keys(parent, ref_columns))
     if small_parent:
         found = fk_orphans(child, parent, columns, ref_columns, small_parent=True)
         return found.selectExpr("count(1) AS orphan_rows")
@@ -159,9 +161,9 @@ def fk_orphans(
     hot_rows: int | None = None,
     broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """The child rows without a parent.
+    """The child rows without a parent; for `small_parent` see `orphan_rows`.
 
-    Against a parent whose keys fit a broadcast this is one pass over the child. Otherwise
+    Against a small parent this is one pass over the child. Otherwise
     the orphan keys are found first from the key columns alone, and the full rows are then
     picked by those keys instead of being shuffled.
     """

@@ -11,7 +11,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 SCHEMA_ROWS = "target_table string, position int, name string, data_type string, nullable boolean"
 
@@ -40,27 +39,38 @@ def _same_type_names(data_type: Column, equivalence: Mapping[str, str]) -> Colum
 
 
 def compare_columns(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """Full outer join of two column relations, limited to tables that both sides have.
+    """The columns of two relations side by side, limited to tables that both have.
 
     `e_*` and `a_*` hold the two sides; `e_rank` and `a_rank` number the common columns of a
     table by either order.
     """
-    names = ["position", "data_type", "nullable"]
-    left = expected.select("target_table", "name", *[F.col(n).alias(f"e_{n}") for n in names])
-    right = actual.select("target_table", "name", *[F.col(n).alias(f"a_{n}") for n in names])
-    both = expected.select("target_table").intersect(actual.select("target_table"))
-    joined = left.join(right, ["target_table", "name"], "full_outer").join(
-        both, "target_table", "left_semi"
-    )
-    common = F.col("e_position").isNotNull() & F.col("a_position").isNotNull()
+    fields = {"position": "int", "data_type": "string", "nullable": "boolean"}
+
+    def side(rows: DataFrame, mine: str, other: str) -> DataFrame:
+        return rows.selectExpr(
+            "target_table", "name",
+            *[f"{name} AS {mine}_{name}" for name in fields],
+            *[f"CAST(NULL AS {kind}) AS {other}_{name}" for name, kind in fields.items()],
+        )
+
+    # Pairing by grouping the stacked sides takes one shuffle; each side has one row per column.
+    both = side(expected, "e", "a").unionByName(side(actual, "a", "e"))
+    values = [name for name in both.columns if name not in ("target_table", "name")]
+    paired = both.groupBy("target_table", "name").agg(*[F.max(name).alias(name) for name in values])
     # A window holds the columns of one table.
-    table = Window.partitionBy("target_table", common)
-    rank = F.row_number()
-    return joined.select(
+    table = "PARTITION BY target_table"
+    common = "e_position IS NOT NULL AND a_position IS NOT NULL"
+    ranked = paired.selectExpr(
         "*",
-        F.when(common, rank.over(table.orderBy("e_position"))).alias("e_rank"),
-        F.when(common, rank.over(table.orderBy("a_position"))).alias("a_rank"),
+        f"max(e_position) OVER ({table}) IS NOT NULL AND max(a_position) OVER ({table}) IS NOT NULL"
+        " AS in_both",
+        *[
+            f"CASE WHEN {common} THEN count_if({common}) OVER ({table} ORDER BY {s}_position) END"
+            f" AS {s}_rank"
+            for s in ("e", "a")
+        ],
     )
+    return ranked.where("in_both").drop("in_both")
 
 
 def _drift(

@@ -59,3 +59,28 @@ def test_stage_tags_casts_and_rules_in_one_pass(spark):
     assert tags == {
         "x": [("cast", "a"), ("not_null", "a")], "5": [], None: [("not_null", "a")]
     }
+
+
+EDGES = [0, 1, -1, 9, 99, 100, 999, 1000, 2**31 - 1, 2**31, -(2**31), -(2**31) - 1, 2**63 - 1, -(2**63)]
+SOURCES = {
+    "bigint": [str(n) for n in EDGES],
+    "double": [repr(n + d) for n in map(float, EDGES) for d in (0.0, 0.4, 0.5, -0.5, 0.994, 0.995)]
+    + ["double('NaN')", "double('Infinity')", "-double('Infinity')", "1e300", "9.3e18", "99.995", "99.9949999"],
+    "float": ["99.995", "100.0", "2147483520", "2147483648", "-2147483648", "-2147483904", "3e9", "1e30"],
+    "decimal(20,3)": [f"{n}.{d}" for n in EDGES if abs(n) < 10**16 for d in ("0", "4", "5", "994", "995")],
+}
+
+
+@pytest.mark.parametrize("source", SOURCES)
+def test_range_guard_equals_try_cast(spark, source):
+    values = ", ".join(f"(CAST({v} AS {source}))" for v in SOURCES[source])
+    df = spark.sql(f"SELECT * FROM VALUES {values}, (NULL) AS t(x)")
+    targets = [
+        "NUMBER(2)", "NUMBER(4,2)", "NUMBER(5,2)", "NUMBER(10)", "NUMBER(19)", "NUMBER(38)",
+        "NUMBER(38,10)", "NUMBER", "INTEGER", "BIGINT", "BINARY_DOUBLE", "VARCHAR2(40)",
+    ]
+    for target in targets:
+        c = declared(("x", target))
+        wanted = c.schema.fields[0].dataType.simpleString()
+        plain = df.selectExpr(f"try_cast(x AS {wanted}) AS x").collect()
+        assert str(conform(df, c).collect()) == str(plain)

@@ -55,7 +55,7 @@ def test_foreign_keys_to_small_parents_ride_on_that_scan(find):
 def test_large_parents_are_joined_by_key_after_grouping(spark, find):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = orphan_rows(find("lineitem"), find("orders"), ["l_orderkey"], ["o_orderkey"])
+        df = orphan_rows(find("lineitem"), find("orders"), ["l_orderkey"], ["o_orderkey"], False)
         plan = plan_of(df)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -114,7 +114,7 @@ def test_footers_answer_null_counts_where_the_session_allows(spark):
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        find = fixture_lookup(spark, SF_DIR)
+        find = fixture_lookup.__wrapped__(spark, SF_DIR)  # the source is chosen on opening
         plan = plan_table(BY_NAME["customer"], find, BY_NAME)
         parts = table_counts(plan, find, small_parents([plan], find), RuleBook())
         assert "PushedAggregation: [COUNT(*), COUNT(c_custkey)]" in plan_of(parts[0])
