@@ -53,7 +53,7 @@ class KeySet:
 
     columns: tuple[str, ...]
     findings: tuple[Finding, ...]
-    hash_first: bool
+    wide: bool  # holds long text by its declared type
 
 
 @dataclass(frozen=True)
@@ -75,8 +75,8 @@ def plan_table(
     overrides: Mapping[str, str] | None = None,
     where: str | None = None,
 ) -> TablePlan:
-    """Settle which rules are tested. Runs no job over data; a long text key alone asks for
-    the table's row count. `where` limits the test to a slice of the table."""
+    """Settle which rules are tested, by analysis alone. `where` limits the test to a slice of
+    the table."""
     data = lookup(contract.target_name)
     if data is None:
         raise LookupError(f"table {contract.target_name} was not found")
@@ -98,11 +98,9 @@ def plan_table(
             same = frozenset(name.upper() for name in rule.columns)
             columns_of.setdefault(same, rule.columns)
             grouped.setdefault(same, []).append(finding)
-    wide = {same for same in grouped if contract.has_wide_text(columns_of[same])}
-    long_table = bool(wide) and data.count() >= HASH_FIRST_ROWS
     key_sets = [
-        KeySet(columns_of[same], tuple(findings), long_table and same in wide)
-        for same, findings in grouped.items()
+        KeySet(columns_of[same], tuple(rules), contract.has_wide_text(columns_of[same]))
+        for same, rules in grouped.items()
     ]
 
     foreign_keys = []
@@ -112,54 +110,71 @@ def plan_table(
     return TablePlan(contract, data, tests, key_sets, foreign_keys, skipped)
 
 
-def small_parents(plans: Sequence[TablePlan], lookup: TableLookup) -> dict[ParentKey, int]:
-    """The parent keys that fit a broadcast, with their size, all measured by one job.
+@dataclass(frozen=True)
+class Sizes:
+    """What was measured before planning: parent keys that fit a broadcast, with their bytes,
+    and the tables long enough for their long text keys to be compared by hash first."""
+
+    parents: Mapping[ParentKey, int]
+    long_tables: frozenset[str]
+
+    def hash_first(self, plan: TablePlan, keys: KeySet) -> bool:
+        return keys.wide and plan.contract.target_name in self.long_tables
+
+
+UNMEASURED = Sizes({}, frozenset())  # every parent counts as large, no table as long
 
-    For fixed-width keys measuring is a row count, answered from file footers.
+
+def measure(plans: Sequence[TablePlan], lookup: TableLookup) -> Sizes:
+    """Measure all parents and all tables with long text keys in one job.
+
+    Row counts, and with them the size of fixed-width keys, come from file footers.
     """
-    wanted = list(dict.fromkeys(key.parent for plan in plans for key in plan.foreign_keys))
-    if not wanted:
-        return {}
-    sizes = union_all(
-        [
-            key_bytes(parent_keys(lookup(table), columns)).selectExpr(f"{place} AS place", "n_bytes")
-            for place, (table, columns) in enumerate(wanted)
-        ]
+    parents = list(dict.fromkeys(key.parent for plan in plans for key in plan.foreign_keys))
+    wide = {plan.contract.target_name: plan for plan in plans if any(k.wide for k in plan.key_sets)}
+    asked = [key_bytes(parent_keys(lookup(table), columns)) for table, columns in parents]
+    asked += [plan.data.selectExpr("count(1)") for plan in wide.values()]
+    if not asked:
+        return UNMEASURED
+    rows = union_all([df.selectExpr(f"{place} AS place", "*") for place, df in enumerate(asked)])
+    sizes = {row[0]: row[1] for row in rows.collect()}
+    by_parent = {parent: sizes[place] for place, parent in enumerate(parents)}
+    lengths = {name: sizes[len(parents) + place] for place, name in enumerate(wide)}
+    return Sizes(
+        {parent: n for parent, n in by_parent.items() if n <= BROADCAST_BYTES},
+        frozenset(name for name, n in lengths.items() if n >= HASH_FIRST_ROWS),
     )
-    fitting = sizes.where(F.col("n_bytes") <= BROADCAST_BYTES).collect()
-    return {wanted[row.place]: row.n_bytes for row in fitting}
 
 
-def parents_broadcast_together(plan: TablePlan, small: Mapping[ParentKey, int]) -> list[ForeignKey]:
+def parents_broadcast_together(plan: TablePlan, sizes: Sizes) -> list[ForeignKey]:
     """The foreign keys of a table whose parents, smallest first, fit one broadcast budget."""
     together, used = [], 0
-    for key in sorted(
-        (key for key in plan.foreign_keys if key.parent in small), key=lambda key: small[key.parent]
-    ):
-        used += small[key.parent]
+    small = [key for key in plan.foreign_keys if key.parent in sizes.parents]
+    for key in sorted(small, key=lambda key: sizes.parents[key.parent]):
+        used += sizes.parents[key.parent]
         if used > BROADCAST_BYTES:
             break
         together.append(key)
     return together
 
 
-def count_key_set(plan: TablePlan, keys: KeySet, book: RuleBook) -> DataFrame:
+def count_key_set(plan: TablePlan, keys: KeySet, sizes: Sizes, book: RuleBook) -> DataFrame:
     counts = {
         book.number(plan.contract.target_name, finding): (
             "primary_groups" if finding.kind == PRIMARY_KEY_DUPLICATE else "unique_groups"
         )
         for finding in keys.findings
     }
-    return numbered(count_duplicates(plan.data, keys.columns, keys.hash_first), counts)
+    found = count_duplicates(plan.data, keys.columns, sizes.hash_first(plan, keys))
+    return numbered(found, counts)
 
 
 def count_orphans(
-    plan: TablePlan, key: ForeignKey, lookup: TableLookup,
-    small: Mapping[ParentKey, int], book: RuleBook,
+    plan: TablePlan, key: ForeignKey, lookup: TableLookup, sizes: Sizes, book: RuleBook
 ) -> DataFrame:
     orphans = orphan_rows(
         plan.data, lookup(key.parent_table), key.columns, key.ref_columns,
-        small_parent=key.parent in small,
+        small_parent=key.parent in sizes.parents,
     )
     return numbered(
         orphans, {book.number(plan.contract.target_name, key.finding): "orphan_rows"}
@@ -174,12 +189,12 @@ def footers_answer_counts(spark: SparkSession) -> bool:
 
 
 def table_counts(
-    plan: TablePlan, lookup: TableLookup, small: Mapping[ParentKey, int], book: RuleBook
+    plan: TablePlan, lookup: TableLookup, sizes: Sizes, book: RuleBook
 ) -> list[DataFrame]:
     """The counts of all rules of a table: one frame for the row rules and the foreign keys to
     small parents, one per key set, one per remaining foreign key."""
     table, data, tests = plan.contract.target_name, plan.data, plan.row_tests
-    together = parents_broadcast_together(plan, small)
+    together = parents_broadcast_together(plan, sizes)
     orphans = [(key.finding, orphan_count(key, place)) for place, key in enumerate(together)]
     parts = []
     if footers_answer_counts(data.sparkSession):
@@ -193,21 +208,19 @@ def table_counts(
         parts.append(count_rows_and_failures(data, table, tests, book, orphans))
     elif tests or orphans:
         parts.append(count_failures(data, table, tests, book, orphans))
-    parts += [count_key_set(plan, keys, book) for keys in plan.key_sets]
+    parts += [count_key_set(plan, keys, sizes, book) for keys in plan.key_sets]
     parts += [
-        count_orphans(plan, key, lookup, small, book)
+        count_orphans(plan, key, lookup, sizes, book)
         for key in plan.foreign_keys
         if key not in together
     ]
     return parts
 
 
-def report_of(
-    plans: Sequence[TablePlan], lookup: TableLookup, small: Mapping[ParentKey, int]
-) -> DataFrame:
+def report_of(plans: Sequence[TablePlan], lookup: TableLookup, sizes: Sizes) -> DataFrame:
     """The report of planned tables, one row per tested rule (see `operators.findings`)."""
     book = RuleBook()
-    counts = [part for plan in plans for part in table_counts(plan, lookup, small, book)]
+    counts = [part for plan in plans for part in table_counts(plan, lookup, sizes, book)]
     return book.report(plans[0].data.sparkSession, counts)
 
 
@@ -220,7 +233,7 @@ def validate_constraints(
 ) -> DataFrame:
     """The report of one table: every rule with the number of its violations."""
     plans = [plan_table(contract, lookup, contracts, overrides, where)]
-    return report_of(plans, lookup, small_parents(plans, lookup))
+    return report_of(plans, lookup, measure(plans, lookup))
 
 
 def validate_tables(
@@ -235,7 +248,7 @@ def validate_tables(
         plan_table(c, lookup, by_name, overrides, (where or {}).get(c.target_name))
         for c in contracts
     ]
-    return report_of(plans, lookup, small_parents(plans, lookup))
+    return report_of(plans, lookup, measure(plans, lookup))
 
 
 def violating_rows(
@@ -248,17 +261,21 @@ def violating_rows(
     """The violating rows themselves: `kind`, `rule_name` and the row's columns, one row per
     rule broken. Row rules share one scan."""
     plan = plan_table(contract, lookup, contracts, overrides, where)
+    sizes = measure([plan], lookup)
     parts = [rows_violating(plan.data, plan.row_tests)]
     for keys in plan.key_sets:
         primary = any(finding.kind == PRIMARY_KEY_DUPLICATE for finding in keys.findings)
         kind = PRIMARY_KEY if primary else UNIQUE
-        rows = rows_with_duplicate_key(plan.data, keys.columns, kind, keys.hash_first)
+        rows = rows_with_duplicate_key(
+            plan.data, keys.columns, kind, sizes.hash_first(plan, keys)
+        )
         # A key that is NULL in all parts breaks a primary key but no unique key.
         broken = {PRIMARY_KEY_DUPLICATE: "true", UNIQUE_DUPLICATE: any_present(keys.columns)}
         tests = [RowTest(finding, broken[finding.kind]) for finding in keys.findings]
         parts.append(rows_violating(rows, tests))
     for fk in plan.foreign_keys:
-        rows = fk_orphans(plan.data, lookup(fk.parent_table), fk.columns, fk.ref_columns)
+        parent, small = lookup(fk.parent_table), fk.parent in sizes.parents
+        rows = fk_orphans(plan.data, parent, fk.columns, fk.ref_columns, small)
         parts.append(rows_violating(rows, [RowTest(fk.finding, "true")]))
     return union_all(parts)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cache
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..model import RunOptions, TableContract
 from ..operators.findings import REPORT_SCHEMA, ROWS_FOUND, RuleBook
-from ..operators.foreign_keys import ParentKey, TableLookup
+from ..operators.foreign_keys import TableLookup
 from ..operators.rows import count_failures, count_rows_and_failures
 from ..operators.schema_diff import schema_messages
 from ..sources.contracts import to_tables
@@ -24,12 +24,14 @@ from ..sources.tables import (
     write_contract_properties,
 )
 from .constraints import (
+    UNMEASURED,
+    Sizes,
     TablePlan,
     count_key_set,
     count_orphans,
+    measure,
     plan_table,
     report_of,
-    small_parents,
     table_outcomes,
 )
 from .issues import IssueLog, mismatch_issues, violation_issues
@@ -229,15 +231,15 @@ def evaluate(
     comes back is one row per rule. A job that fails is repeated table by table, and a table
     that fails rule by rule, so that only the faulty rule is lost."""
     try:
-        small = small_parents(plans, lookup)
-    except Exception:  # a parent that cannot be read; its rules will say so
-        small = {}
+        sizes = measure(plans, lookup)
+    except Exception:  # a table that cannot be read; its rules will say so
+        sizes = UNMEASURED
 
     def evaluate_some(some: Sequence[TablePlan]) -> list[Row]:
         try:
-            return report_of(some, lookup, small).collect()
+            return report_of(some, lookup, sizes).collect()
         except Exception:
-            return [row for plan in some for row in _evaluate_alone(plan, lookup, small, options, log)]
+            return [row for plan in some for row in _evaluate_alone(plan, lookup, sizes, options, log)]
 
     size = options.tables_per_job
     jobs = [plans[start : start + size] for start in range(0, len(plans), size)]
@@ -246,10 +248,10 @@ def evaluate(
 
 
 def _evaluate_alone(
-    plan: TablePlan, lookup: TableLookup, small: Mapping[ParentKey, int], options: RunOptions, log: IssueLog
+    plan: TablePlan, lookup: TableLookup, sizes: Sizes, options: RunOptions, log: IssueLog
 ) -> list[Row]:
     try:
-        return report_of([plan], lookup, small).collect()
+        return report_of([plan], lookup, sizes).collect()
     except Exception:
         pass
     table, book = plan.contract.target_name, RuleBook()
@@ -257,9 +259,9 @@ def _evaluate_alone(
     parts += [
         (test.finding, count_failures(plan.data, table, [test], book)) for test in plan.row_tests
     ]
-    parts += [(keys.findings[0], count_key_set(plan, keys, book)) for keys in plan.key_sets]
+    parts += [(keys.findings[0], count_key_set(plan, keys, sizes, book)) for keys in plan.key_sets]
     parts += [
-        (key.finding, count_orphans(plan, key, lookup, small, book)) for key in plan.foreign_keys
+        (key.finding, count_orphans(plan, key, lookup, sizes, book)) for key in plan.foreign_keys
     ]
     rows: list[Row] = []
     for finding, counts in parts:

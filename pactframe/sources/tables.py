@@ -55,11 +55,20 @@ class LocationError(RuntimeError):
     """A catalogue name already stands for another path."""
 
 
-def read_table(spark: SparkSession, store: TableStore, target: str) -> DataFrame:
+def read_table(
+    spark: SparkSession, store: TableStore, target: str, by_name: bool = False
+) -> DataFrame:
+    """The stored table, found by its path or by its catalogue name."""
+    if by_name:
+        return spark.table(store.identifier(target))
     return spark.read.format(store.provider).load(store.path(target))
 
 
-def table_exists(spark: SparkSession, store: TableStore, target: str) -> bool:
+def table_exists(
+    spark: SparkSession, store: TableStore, target: str, by_name: bool = False
+) -> bool:
+    if by_name:
+        return spark.catalog.tableExists(store.identifier(target))
     if store.provider == "delta":
         from delta.tables import DeltaTable  # present wherever the provider is in use
 

@@ -8,7 +8,7 @@ from pactframe import cast_rejects, conform, duplicate_keys, fk_orphans, orphan_
 from pactframe.operators.findings import RuleBook
 from pactframe.operators.foreign_keys import orphan_key_sizes
 from pactframe.operators.rows import count_rows_and_failures, row_tests, rows_violating
-from pactframe.plans.constraints import plan_table, small_parents, table_counts
+from pactframe.plans.constraints import measure, plan_table, table_counts
 from conftest import SF_DIR
 from fixture_contracts import BY_NAME, fixture_lookup
 
@@ -44,7 +44,7 @@ def test_row_rules_take_one_narrow_scan(find):
 
 def test_foreign_keys_to_small_parents_ride_on_that_scan(find):
     plan = plan_table(BY_NAME["lineitem"], find, BY_NAME)
-    parts = table_counts(plan, find, small_parents([plan], find), RuleBook())
+    parts = table_counts(plan, find, measure([plan], find), RuleBook())
     assert len(parts) == 2  # the row pass and the primary key
     text = plan_of(parts[0])
     assert sum("l_orderkey" in names for names in columns_read(text)) == 1
@@ -116,7 +116,7 @@ def test_footers_answer_null_counts_where_the_session_allows(spark):
     try:
         find = fixture_lookup.__wrapped__(spark, SF_DIR)  # the source is chosen on opening
         plan = plan_table(BY_NAME["customer"], find, BY_NAME)
-        parts = table_counts(plan, find, small_parents([plan], find), RuleBook())
+        parts = table_counts(plan, find, measure([plan], find), RuleBook())
         assert "PushedAggregation: [COUNT(*), COUNT(c_custkey)]" in plan_of(parts[0])
         report = validate_constraints(BY_NAME["customer"], find, BY_NAME)
         rows = {(r.kind, r.rule_name): (r.violations, r.table_rows) for r in report.collect()}

@@ -8,7 +8,7 @@ from pactframe import (
 )
 from pactframe.operators.keys import count_duplicates
 from pactframe.operators.matching import rows_with_keys
-from pactframe.plans.constraints import plan_table, small_parents
+from pactframe.plans.constraints import measure, plan_table
 
 
 def contract(columns, *rules, name="t"):
@@ -224,7 +224,7 @@ def test_report_is_the_same_whatever_is_broadcast(spark, monkeypatch, bound):
     )
     tables = {"t": child, "small": small, "large": large}
     plan = plan_table(c, tables.get)
-    assert len(small_parents([plan], tables.get)) == {32 << 20: 2, 40: 1, 0: 0}[bound]
+    assert len(measure([plan], tables.get).parents) == {32 << 20: 2, 40: 1, 0: 0}[bound]
     assert counts(validate_constraints(c, tables.get)) == {
         ("foreign_key", "to_small"): 14, ("foreign_key", "to_large"): 10
     }
@@ -295,3 +295,18 @@ def test_slice(spark):
     c = contract([("a", False)], Rule("primary_key", ("a",), "pk"))
     report = validate_constraints(c, {"t": df}.get, where="part = 'x'")
     assert set(counts(report).values()) == {0}
+
+
+def test_long_text_keys_of_long_tables_go_by_hash(spark, monkeypatch):
+    monkeypatch.setattr("pactframe.plans.constraints.HASH_FIRST_ROWS", 3)
+    long, short = (
+        spark.createDataFrame([(t,) for t in texts], "t string") for texts in ("aab", "aa")
+    )
+    columns, rules = (Column("t", "CLOB"),), (Rule("unique", ("t",), "uk"),)
+    contracts = [TableContract(name, columns, rules) for name in ("long", "short")]
+    tables = {"long": long, "short": short}
+    plans = [plan_table(c, tables.get) for c in contracts]
+    sizes = measure(plans, tables.get)
+    assert [sizes.hash_first(plan, plan.key_sets[0]) for plan in plans] == [True, False]
+    report = validate_tables(contracts, tables.get).where("kind = 'unique_duplicate'")
+    assert {r.target_table: r.violations for r in report.collect()} == {"long": 1, "short": 1}

@@ -39,10 +39,12 @@ def store(spark, tmp_path, request):
 
 
 def test_create_then_register_then_replace(spark, store):
-    assert not table_exists(spark, store, "thing")
+    for by_name in (False, True):
+        assert not table_exists(spark, store, "thing", by_name)
     assert create_table(spark, store, CONTRACT) == "created"
-    assert table_exists(spark, store, "thing")
-    table = spark.table(store.identifier("thing"))
+    for by_name in (False, True):
+        assert table_exists(spark, store, "thing", by_name)
+    table = read_table(spark, store, "thing", by_name=True)
     assert table.count() == 0
     assert [f.dataType for f in table.schema] == [f.dataType for f in CONTRACT.schema]
 
