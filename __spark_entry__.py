@@ -6,6 +6,7 @@ tables alone; the three views of `fixture_contracts` are spelled out where it ne
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Callable
 from dataclasses import replace
@@ -244,6 +245,44 @@ def minimum_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.where(report["kind"].isin(kinds)).select(REPORT_COLUMNS)
 
 
+def run_validate(spark: SparkSession, sf_dir: str) -> pf.RunResult:
+    """The validate section of a run over the stored tables as they are."""
+    files = {name.upper(): f"{name}.parquet" for name in TABLES}
+    contracts = [
+        replace(BY_NAME[name], target_name=files[name.upper()])
+        for name in ("customer", "supplier", "orders", "documents", "labels", "region", "nation")
+    ]
+    store = pf.TableStore(sf_dir, "parquet", "shop", overrides=files)
+    return pf.run(spark, "validate", contracts, store)
+
+
+def run_validate_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_validate(spark, sf_dir).outcomes
+
+
+def run_validate_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pf.issue_summary(run_validate(spark, sf_dir).issues)
+
+
+def run_create_load_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables created from their contracts, loaded, and validated as loaded."""
+    customer = replace(
+        BY_NAME["customer"],
+        rules=tuple(rule for rule in BY_NAME["customer"].rules if rule.kind != "foreign_key"),
+    )
+    contracts = [customer, BY_NAME["orders"]]
+    root = scratch_path(spark, "run")
+    store = pf.TableStore(root, "parquet", f"run_{root[-32:]}")
+    options = pf.RunOptions(continue_on_error=False)
+    pf.run(spark, "create", contracts, store, options)
+    find = fixture_lookup(spark, sf_dir)
+    for contract in contracts:
+        pf.load_table(find(contract.target_name), contract, store)
+    result = pf.run(spark, "validate", contracts, store)
+    spark.sql(f"DROP SCHEMA {store.namespace} CASCADE")
+    return result.report.select(*REPORT_COLUMNS, "table_rows")
+
+
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
 
@@ -333,6 +372,10 @@ def queries() -> dict[str, Query]:
         "contracts_round_trip": contracts_round_trip,
         "issue_summary": issue_summary,
         "issue_lines": issue_lines,
+        # runs
+        "run_validate_outcomes": run_validate_outcomes,
+        "run_validate_issues": run_validate_issues,
+        "run_create_load_validate": run_create_load_validate,
     }
 
 
@@ -523,6 +566,8 @@ VIOLATION_TEXTS = """
            || string_agg(before_n || violations || after_n, '; ' ORDER BY place) AS error_message
     FROM report WHERE violations > 0 GROUP BY target_table"""
 
+STORED_RUN = "('customer', 'supplier', 'orders', 'documents', 'labels', 'region', 'nation')"
+
 # Declared and stored columns as the schema oracles see them: table, column, type, position.
 DECLARED = """
     ('region', 'R_REGIONKEY', 'int', true), ('region', 'R_NAME', 'string', true),
@@ -590,6 +635,11 @@ def oracle_sql() -> dict[str, str]:
         for table, kind, name, rows, before, after in REPORT_RULES
         if table == "lineitem"
     ]
+    loaded_rules = [
+        (table, kind, name, re.sub(r" (customer|orders) ", r" \1_loaded ", rows), before, after)
+        for table, kind, name, rows, before, after in REPORT_RULES
+        if table in ("customer", "orders") and (table, kind) != ("customer", "foreign_key")
+    ]
     # region and nation are declared as they are stored; every other table declares a number
     # that is stored as bigint or double.
     drifted = [name for name in [*TABLES, *VIEWS] if name not in ("region", "nation")]
@@ -748,6 +798,36 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'validate_error' AS issue_type, 'shop' AS target_schema, target_table,
                    'ContractViolation: ' || error_message AS detail
             FROM ({VIOLATION_TEXTS})""",
+        "run_validate_outcomes": f"""{REPORT}, counts AS ({ROW_COUNTS})
+            SELECT target_table || '.parquet' AS target_table, row_count,
+                   count(*) FILTER (WHERE violations > 0) AS broken_rules,
+                   CASE WHEN row_count = 0 THEN 'skipped'
+                        WHEN count(*) FILTER (WHERE violations > 0) > 0 THEN 'failed'
+                        ELSE 'passed' END AS outcome
+            FROM report JOIN counts USING (target_table) WHERE target_table IN {STORED_RUN}
+            GROUP BY target_table, row_count""",
+        "run_validate_issues": f"""{REPORT}
+            SELECT 'validate_error' AS issue_type, target_table || '.parquet' AS target_table,
+                   CAST(1 AS BIGINT) AS n
+            FROM ({VIOLATION_TEXTS}) WHERE target_table IN {STORED_RUN}
+            UNION ALL
+            SELECT 'schema_mismatch', t || '.parquet', CAST(1 AS BIGINT)
+            FROM (VALUES ('customer'), ('supplier'), ('orders'), ('documents'), ('labels')) v(t)""",
+        "run_create_load_validate": f"""
+            WITH customer_loaded AS (
+                     SELECT CAST(c_custkey AS DECIMAL(12,0)) AS c_custkey, c_name,
+                            CAST(c_acctbal AS DECIMAL(15,2)) AS c_acctbal FROM customer),
+                 orders_loaded AS (
+                     SELECT CAST(o_orderkey AS DECIMAL(12,0)) AS o_orderkey,
+                            CAST(o_custkey AS DECIMAL(12,0)) AS o_custkey, o_orderstatus
+                     FROM orders),
+                 report AS ({_report_rows(loaded_rules)})
+            SELECT target_table, kind, rule_name, violations, CAST(NULL AS BIGINT) AS table_rows
+            FROM report
+            UNION ALL
+            SELECT 'customer', 'row_count', 'row_count', 0, (SELECT count(*) FROM customer)
+            UNION ALL
+            SELECT 'orders', 'row_count', 'row_count', 0, (SELECT count(*) FROM orders)""",
         "violating_rows": f"""{WITH_VIEWS}
             SELECT 'not_null' AS kind, 'value' AS rule_name, event_id, user_id, value, fk_user
             FROM event_refs WHERE value IS NULL
