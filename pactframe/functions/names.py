@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def target_table_name(source_name: str, overrides: Mapping[str, str] | None = None) -> str:
@@ -29,10 +29,13 @@ def sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "''") + "'"
 
 
+def folded(spark: SparkSession, name: str) -> str:
+    """The name as the session compares it."""
+    return name if spark.conf.get("spark.sql.caseSensitive") == "true" else name.upper()
+
+
 def absent_columns(df: DataFrame, names: Iterable[str]) -> list[str]:
     """The given names that `df` has no column for, under the session's case rule."""
-    if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
-        present = set(df.columns)
-        return [name for name in names if name not in present]
-    present = {name.upper() for name in df.columns}
-    return [name for name in names if name.upper() not in present]
+    spark = df.sparkSession
+    present = {folded(spark, name) for name in df.columns}
+    return [name for name in names if folded(spark, name) not in present]

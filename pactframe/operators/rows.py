@@ -153,8 +153,11 @@ def violation_tags(tests: Sequence[RowTest]) -> Column:
 def rows_violating(df: DataFrame, tests: Sequence[RowTest]) -> DataFrame:
     """Every violating row once per rule it violates: `kind`, `rule_name`, the row's columns.
 
-    One scan serves all rules. Filters and projections only, so it also runs on a stream.
+    One scan serves all rules. The rows are filtered before they are tagged, so that the scan
+    can pass over row groups whose statistics rule a violation out. Filters and projections
+    only, so it also runs on a stream.
     """
     names = [quoted(name) for name in df.columns]
-    tagged = df.select(F.explode(violation_tags(tests)).alias("__tag"), *names)
+    broken = " OR ".join(f"({test.failure})" for test in tests) or "false"
+    tagged = df.where(broken).select(F.explode(violation_tags(tests)).alias("__tag"), *names)
     return tagged.select("__tag.kind", "__tag.rule_name", *names)

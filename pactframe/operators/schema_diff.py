@@ -129,9 +129,8 @@ def schema_diff(
         )
         for kind, found in _drift(compared, check_nullability, type_equivalence).items()
     ]
-    return compared.select(
-        "target_table", F.col("name").alias("column_name"), F.inline(F.array_compact(F.array(*kinds)))
-    )
+    found = F.inline(F.array_compact(F.array(*kinds)))
+    return compared.select("target_table", F.col("name").alias("column_name"), found)
 
 
 def _names_in_order(found: Column, position: str) -> Column:
@@ -192,8 +191,8 @@ def schema_messages(
         )
     )
     lists = compared.groupBy("target_table").agg(
-        _names_in_order(found[MISSING], "e_position").alias("missing"),
-        _names_in_order(found[EXTRA], "a_position").alias("extra"),
+        _names_in_order(found[MISSING], "e_position").alias(MISSING),
+        _names_in_order(found[EXTRA], "a_position").alias(EXTRA),
         F.max(found[ORDER]).alias("reordered"),
         _names_in_order(common, "e_rank").alias("e_order"),
         _names_in_order(common, "a_rank").alias("a_order"),
@@ -211,8 +210,12 @@ def schema_messages(
     )
     summary = F.array_compact(
         F.array(
-            F.when(F.size("missing") > 0, F.concat(F.lit("missing columns: "), _listed(F.col("missing")))),
-            F.when(F.size("extra") > 0, F.concat(F.lit("extra columns: "), _listed(F.col("extra")))),
+            *[
+                F.when(
+                    F.size(kind) > 0, F.concat(F.lit(f"{kind} columns: "), _listed(F.col(kind)))
+                )
+                for kind in (MISSING, EXTRA)
+            ],
             F.when(F.col("reordered"), order_text),
         )
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.conditions import any_present
-from ..functions.names import absent_columns
+from ..functions.names import absent_columns, folded
 from ..model import PRIMARY_KEY, UNIQUE, TableContract
 from ..operators.findings import (
     PRIMARY_KEY_DUPLICATE,
@@ -26,8 +26,8 @@ from ..operators.findings import (
 )
 from ..operators.foreign_keys import (
     ForeignKey,
-    TableLookup,
     ParentKey,
+    TableLookup,
     fk_orphans,
     orphan_count,
     orphan_rows,
@@ -95,7 +95,7 @@ def plan_table(
                 reason = f"no column {missing}"
                 skipped.append(Skipped(f"{kind}_skipped", finding.label, reason))
                 continue
-            same = frozenset(name.upper() for name in rule.columns)
+            same = frozenset(folded(data.sparkSession, name) for name in rule.columns)
             columns_of.setdefault(same, rule.columns)
             grouped.setdefault(same, []).append(finding)
     key_sets = [
@@ -280,7 +280,9 @@ def violating_rows(
     return union_all(parts)
 
 
-def write_violations(rows: DataFrame, path: str, provider: str = "parquet", mode: str = "append") -> None:
+def write_violations(
+    rows: DataFrame, path: str, provider: str = "parquet", mode: str = "append"
+) -> None:
     """Store violating rows, one folder per kind of rule."""
     rows.write.format(provider).mode(mode).partitionBy("kind").save(path)
 

@@ -44,8 +44,8 @@ def table_facts(
 ) -> DataFrame:
     """What every issue says about its table."""
     rows = [
-        (c.target_name, c.source_schema, c.source_name, store.schema_name, store.path(c.target_name))
-        for c in contracts
+        (name, c.source_schema, c.source_name, store.schema_name, store.path(name))
+        for name, c in ((c.target_name, c) for c in contracts)
     ]
     return spark.createDataFrame(rows, FACTS_SCHEMA)
 

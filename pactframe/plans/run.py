@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..model import RunOptions, TableContract
-from ..operators.findings import REPORT_SCHEMA, ROWS_FOUND, RuleBook
+from ..operators.findings import REPORT_SCHEMA, ROWS_FOUND, Finding, RuleBook
 from ..operators.foreign_keys import TableLookup
 from ..operators.rows import count_failures, count_rows_and_failures
 from ..operators.schema_diff import schema_messages
@@ -239,7 +239,8 @@ def evaluate(
         try:
             return report_of(some, lookup, sizes).collect()
         except Exception:
-            return [row for plan in some for row in _evaluate_alone(plan, lookup, sizes, options, log)]
+            alone = (_evaluate_alone(plan, lookup, sizes, options, log) for plan in some)
+            return [row for rows in alone for row in rows]
 
     size = options.tables_per_job
     jobs = [plans[start : start + size] for start in range(0, len(plans), size)]
@@ -254,19 +255,20 @@ def _evaluate_alone(
         return report_of([plan], lookup, sizes).collect()
     except Exception:
         pass
-    table, book = plan.contract.target_name, RuleBook()
-    parts = [(ROWS_FOUND, count_rows_and_failures(plan.data, table, [], book))]
-    parts += [
-        (test.finding, count_failures(plan.data, table, [test], book)) for test in plan.row_tests
-    ]
-    parts += [(keys.findings[0], count_key_set(plan, keys, sizes, book)) for keys in plan.key_sets]
-    parts += [
-        (key.finding, count_orphans(plan, key, lookup, sizes, book)) for key in plan.foreign_keys
+    table, data, book = plan.contract.target_name, plan.data, RuleBook()
+    parts: list[tuple[Finding, Callable[[], DataFrame]]] = [
+        (ROWS_FOUND, lambda: count_rows_and_failures(data, table, [], book))
     ]
+    for test in plan.row_tests:
+        parts.append((test.finding, partial(count_failures, data, table, [test], book)))
+    for keys in plan.key_sets:
+        parts.append((keys.findings[0], partial(count_key_set, plan, keys, sizes, book)))
+    for key in plan.foreign_keys:
+        parts.append((key.finding, partial(count_orphans, plan, key, lookup, sizes, book)))
     rows: list[Row] = []
     for finding, counts in parts:
         try:
-            rows += book.report(plan.data.sparkSession, [counts]).collect()
+            rows += book.report(data.sparkSession, [counts()]).collect()
         except Exception as error:
             log.rule_error(plan.contract, finding.kind, finding.label, error)
             if not options.continue_on_error:

@@ -88,7 +88,9 @@ def from_tables(
     ]
 
 
-def read_contracts(spark: SparkSession, root: str, provider: str = "parquet") -> list[TableContract]:
+def read_contracts(
+    spark: SparkSession, root: str, provider: str = "parquet"
+) -> list[TableContract]:
     """Contracts saved under `root` by `write_contracts`."""
     read = spark.read.format(provider)
     return from_tables(*(read.load(f"{root.rstrip('/')}/{name}") for name in _NAMES))

@@ -98,6 +98,13 @@ def test_row_local_operators_are_one_stage(find):
     assert columns_read(plan_of(conform(orders, contract).select("o_orderkey"))) == [{"o_orderkey"}]
 
 
+def test_violating_rows_are_filtered_by_the_scan(find):
+    customer, contract = find("customer"), BY_NAME["customer"]
+    tests, _ = row_tests(customer, contract)
+    plan = plan_of(rows_violating(customer, tests))
+    assert "PushedFilters: [Or(IsNull(c_custkey),LessThan(c_acctbal,0.0))" in plan
+
+
 def test_slices_reach_the_scan(find):
     report = validate_constraints(
         BY_NAME["customer"], find, BY_NAME, where="c_mktsegment = 'BUILDING'"

@@ -183,3 +183,24 @@ def test_issue_lines(spark, store):
     ]
     stamp = datetime(2030, 1, 1, tzinfo=timezone.utc)
     assert report_lines(result.issues, stamp).first().value.endswith("2030-01-01T00:00:00+00:00")
+
+
+def test_rules_spark_cannot_plan_cost_only_themselves(spark, store):
+    """A foreign key between types that cannot be compared, next to rules that work."""
+    spark.sql("SELECT 1 AS ID, map(1, 2) AS M, array(1) AS A").write.parquet(store.path("odd"))
+    put(spark, store, "parent", [(1,), (1,)], "K int")
+    odd = TableContract(
+        "ODD", (Column("ID", "INTEGER", False),),
+        (
+            Rule("primary_key", ("ID",), "ODD_PK"), Rule("unique", ("M",), "ODD_UK"),
+            Rule("foreign_key", ("A",), "ODD_FK", "PARENT", ("K",)),
+        ),
+    )
+    result = run(spark, "validate", [odd, PARENT], store, RunOptions(validate_schema=False))
+    found = {(r.target_table, r.kind): r.violations for r in result.report.collect()}
+    assert found[("odd", "primary_key_duplicate")] == 0 and found[("odd", "not_null")] == 0
+    assert found[("parent", "primary_key_duplicate")] == 1
+    assert found[("odd", "unique_duplicate")] == 0 and ("odd", "foreign_key") not in found
+    assert {k: n for k, n in kinds(result).items() if k[1] == "odd"} == {
+        ("foreign_key_error", "odd"): 1
+    }
