@@ -277,7 +277,7 @@ def run_create_load_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     pf.run(spark, "create", contracts, store, options)
     find = fixture_lookup(spark, sf_dir)
     for contract in contracts:
-        pf.load_table(find(contract.target_name), contract, store)
+        pf.load_table(find(contract.target_name), contract, store, set_aside=())
     result = pf.run(spark, "validate", contracts, store)
     spark.sql(f"DROP SCHEMA {store.namespace} CASCADE")
     return result.report.select(*REPORT_COLUMNS, "table_rows")

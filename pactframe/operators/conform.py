@@ -137,6 +137,15 @@ def stage(df: DataFrame, contract: TableContract, fill_defaults: bool = True) ->
     return Staged(conformed.withColumn("__tags", violation_tags(tests)), tests)
 
 
+def check_set_aside(set_aside: Collection[str], path: str | None) -> None:
+    """Refuse to set rows aside to nowhere."""
+    if set_aside and not path:
+        raise ValueError(
+            "rows are set aside to a path: pass set_aside_path, or set_aside=() to load every "
+            "row, with NULL for values that do not fit"
+        )
+
+
 def is_set_aside(kinds: Collection[str]) -> Column:
     """Whether a staged row fails a rule of one of the kinds."""
     if not kinds:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import quoted, sql_text
 from ..model import Rule, TableContract
-from ..operators.conform import CAST, is_set_aside, split_staged, stage
+from ..operators.conform import CAST, check_set_aside, is_set_aside, split_staged, stage
 
 # Conditions under which a file source says that nothing is stored at a path.
 NOTHING_STORED = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
@@ -237,9 +237,10 @@ def load_table(
 
     Rows failing a rule of a kind in `set_aside` stay out of the table; other failures are
     only counted. All counts are taken by the write itself. The rows set aside are written
-    to `set_aside_path`, if given, as they came in, with what is wrong with each; that
-    second pass only runs when there are any.
+    to `set_aside_path` as they came in, with what is wrong with each; that second pass only
+    runs when there are any.
     """
+    check_set_aside(set_aside, set_aside_path)
     staged = stage(df, contract, fill_defaults)
     seen = Observation()
     counts = [F.expr(f"count_if({test.failure}) AS t{i}") for i, test in enumerate(staged.tests)]
@@ -261,7 +262,7 @@ def load_table(
         if got[f"t{i}"]
     }
     result = LoadResult(got["n_read"], got["n_loaded"], failures)
-    if set_aside_path and result.rows_set_aside:
+    if result.rows_set_aside:
         _, rejected = split_staged(staged, contract, set_aside)
         rejected.write.format(store.provider).mode("append").save(set_aside_path)
     return result

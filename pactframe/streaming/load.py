@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..model import TableContract
-from ..operators.conform import CAST, split_staged, stage
+from ..operators.conform import CAST, check_set_aside, split_staged, stage
 from ..sources.tables import TableStore
 
 
@@ -26,12 +26,13 @@ def start_load(
     fill_defaults: bool = True,
     trigger: dict | None = None,
 ) -> list[StreamingQuery]:
-    """Start the queries that append `stream` to its table and, if a path is given, the rows
-    set aside to that path. Each keeps its progress under `checkpoint_path`, so a restart
-    neither loses nor repeats rows."""
+    """Start the queries that append `stream` to its table and the rows set aside to their
+    path. Each keeps its progress under `checkpoint_path`, so a restart neither loses nor
+    repeats rows."""
+    check_set_aside(set_aside, set_aside_path)
     fitting, rejected = split_staged(stage(stream, contract, fill_defaults), contract, set_aside)
     outputs = {"load": (fitting, store.path(contract.target_name))}
-    if set_aside_path:
+    if set_aside:
         outputs["set_aside"] = (rejected, set_aside_path)
     return [
         rows.writeStream.format(store.provider)

@@ -48,7 +48,8 @@ def test_create_then_register_then_replace(spark, store):
     assert table.count() == 0
     assert [f.dataType for f in table.schema] == [f.dataType for f in CONTRACT.schema]
 
-    load_table(spark.createDataFrame([(1, "a", 2.5)], "id int, kind string, price double"), CONTRACT, store)
+    rows = spark.createDataFrame([(1, "a", 2.5)], "id int, kind string, price double")
+    load_table(rows, CONTRACT, store, set_aside=())
     assert create_table(spark, store, CONTRACT) == "registered"
     assert read_table(spark, store, "thing").count() == 1
     with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
@@ -131,8 +132,11 @@ def test_load_counts_and_sets_aside_in_the_write(spark, store, tmp_path):
 
 def test_load_can_set_aside_by_rule_or_not_at_all(spark, store, tmp_path):
     create_table(spark, store, CONTRACT)
-    kept = load_table(incoming(spark), CONTRACT, store, set_aside=("cast", "not_null"))
-    assert kept.rows_loaded == 1
+    with pytest.raises(ValueError, match="set_aside_path"):
+        load_table(incoming(spark), CONTRACT, store)
+    aside = str(tmp_path / "aside")
+    kept = load_table(incoming(spark), CONTRACT, store, ("cast", "not_null"), aside)
+    assert kept.rows_loaded == 1 and spark.read.parquet(aside).count() == 3
     kept = load_table(incoming(spark), CONTRACT, store, set_aside=())
     assert kept.rows_loaded == 4
     assert read_table(spark, store, "thing").count() == 5
