@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditions import first_line
@@ -102,39 +102,50 @@ def cast_rejects(df: DataFrame, contract: TableContract) -> DataFrame:
     Rounding and truncation still fit; this finds values the declared type cannot hold.
     """
     plan = cast_plan(df, contract)
-    rejected = ", ".join(
-        f"CASE WHEN {quoted(name)} IS NOT NULL AND {cast} IS NULL THEN {sql_text(name)} END"
-        for name, cast in plan.casts.items()
+    misfits = {
+        name: f"{quoted(name)} IS NOT NULL AND {cast} IS NULL" for name, cast in plan.casts.items()
+    }
+    named = ", ".join(
+        f"CASE WHEN {misfit} THEN {sql_text(name)} END" for name, misfit in misfits.items()
     )
-    found = df.withColumn("rejected_columns", F.expr(f"array_compact(array({rejected}))"))
-    return found.where("size(rejected_columns) > 0")
+    found = df.where(" OR ".join(f"({misfit})" for misfit in misfits.values()) or "false")
+    return found.withColumn("rejected_columns", F.expr(f"array_compact(array({named}))"))
 
 
 @dataclass(frozen=True)
 class Staged:
-    """Rows ready to load: `__raw` (the input row as a struct), the declared columns, and
-    `__tags`, an array of `(kind, rule_name)` for everything wrong with the row."""
+    """Rows ready to load: the declared columns next to the input columns, with the casts and
+    row rules each row is tested for. `raw` gives the staged name of each input column."""
 
     rows: DataFrame
+    raw: dict[str, str]
     tests: list[RowTest]
 
+    def is_set_aside(self, kinds: Collection[str]) -> str:
+        """Condition for a row that fails a rule of one of the kinds."""
+        failures = [f"({test.failure})" for test in self.tests if test.finding.kind in kinds]
+        return f"coalesce({' OR '.join(failures)}, false)" if failures else "false"
+
 
 def stage(df: DataFrame, contract: TableContract, fill_defaults: bool = True) -> Staged:
-    """Conform rows and tag each with the casts and row rules it fails, in one pass.
+    """Conform rows and keep the input beside them, in one projection.
 
-    Works on a stream as well as on a table: it only projects.
+    Works on a stream as well as on a table.
     """
     plan = cast_plan(df, contract, fill_defaults)
-    raw = F.struct(*[quoted(name) for name in df.columns]).alias("__raw")
-    conformed = df.select(raw, *[F.expr(column) for column in plan.columns()])
+    raw = {name: f"__raw{place}" for place, name in enumerate(df.columns)}
+    kept = [f"{quoted(name)} AS {alias}" for name, alias in raw.items()]
+    rows = df.selectExpr(*kept, *plan.columns())
+    alias_of = {name.upper(): alias for name, alias in raw.items()} | raw
     tests = [
         RowTest(
-            Finding(CAST, name), f"__raw.{quoted(name)} IS NOT NULL AND {quoted(name)} IS NULL"
+            Finding(CAST, name),
+            f"{alias_of.get(name) or alias_of[name.upper()]} IS NOT NULL "
+            f"AND {quoted(name)} IS NULL",
         )
         for name in plan.casts
     ]
-    tests += row_tests(conformed, contract)[0]
-    return Staged(conformed.withColumn("__tags", violation_tags(tests)), tests)
+    return Staged(rows, raw, tests + row_tests(rows, contract)[0])
 
 
 def check_set_aside(set_aside: Collection[str], path: str | None) -> None:
@@ -146,20 +157,16 @@ def check_set_aside(set_aside: Collection[str], path: str | None) -> None:
         )
 
 
-def is_set_aside(kinds: Collection[str]) -> Column:
-    """Whether a staged row fails a rule of one of the kinds."""
-    if not kinds:
-        return F.lit(False)
-    listed = ", ".join(sql_text(kind) for kind in kinds)
-    return F.expr(f"exists(__tags, tag -> tag.kind IN ({listed}))")
-
-
 def split_staged(
     staged: Staged, contract: TableContract, set_aside: Collection[str] = (CAST,)
 ) -> tuple[DataFrame, DataFrame]:
     """Staged rows in two frames: those to load, in the declared columns, and those set
     aside, as they came in plus `violations`, what is wrong with each."""
-    out = is_set_aside(set_aside)
-    fitting = staged.rows.where(~out).select(*[quoted(c.name) for c in contract.columns])
-    rejected = staged.rows.where(out).select("__raw.*", F.col("__tags").alias("violations"))
+    out = staged.is_set_aside(set_aside)
+    fitting = staged.rows.where(f"NOT {out}").select(*[quoted(c.name) for c in contract.columns])
+    original = [f"{alias} AS {quoted(name)}" for name, alias in staged.raw.items()]
+    rejected = staged.rows.where(out).select(
+        *[F.expr(column) for column in original],
+        violation_tags(staged.tests).alias("violations"),
+    )
     return fitting, rejected

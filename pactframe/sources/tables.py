@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import quoted, sql_text
 from ..model import Rule, TableContract
-from ..operators.conform import CAST, check_set_aside, is_set_aside, split_staged, stage
+from ..operators.conform import CAST, check_set_aside, split_staged, stage
 
 # Conditions under which a file source says that nothing is stored at a path.
 NOTHING_STORED = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
@@ -249,7 +249,7 @@ def load_table(
         rows=staged.rows.observe(
             seen,
             F.count(F.lit(1)).alias("n_read"),
-            F.count_if(~is_set_aside(set_aside)).alias("n_loaded"),
+            F.expr(f"count_if(NOT {staged.is_set_aside(set_aside)}) AS n_loaded"),
             *counts,
         ),
     )

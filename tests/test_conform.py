@@ -4,6 +4,7 @@ import pytest
 
 from pactframe import Column, TableContract, cast_rejects, conform
 from pactframe.operators.conform import IllegalCast, illegal_casts, stage
+from pactframe.operators.rows import violation_tags
 
 
 def declared(*columns):
@@ -55,7 +56,9 @@ def test_illegal_pairs_are_found_by_analysis(spark):
 def test_stage_tags_casts_and_rules_in_one_pass(spark):
     df = spark.createDataFrame([("x",), ("5",), (None,)], "a string")
     c = TableContract("t", (Column("a", "INTEGER", nullable=False),))
-    tags = {r["__raw"].a: [tuple(t) for t in r["__tags"]] for r in stage(df, c).rows.collect()}
+    staged = stage(df, c)
+    tagged = staged.rows.select("__raw0", violation_tags(staged.tests).alias("tags")).collect()
+    tags = {r["__raw0"]: [tuple(t) for t in r.tags] for r in tagged}
     assert tags == {
         "x": [("cast", "a"), ("not_null", "a")], "5": [], None: [("not_null", "a")]
     }
