@@ -5,6 +5,7 @@ import re
 import pytest
 
 from pactframe import cast_rejects, conform, duplicate_keys, fk_orphans, orphan_rows, validate_constraints
+from pactframe.operators.conform import split_staged, stage
 from pactframe.operators.findings import RuleBook
 from pactframe.operators.foreign_keys import orphan_key_sizes
 from pactframe.operators.rows import count_rows_and_failures, row_tests, rows_violating
@@ -134,3 +135,11 @@ def test_footers_answer_null_counts_where_the_session_allows(spark):
     assert rows[("check", "customer_solvent_ck")] == (11, None)
     plain = validate_constraints(BY_NAME["customer"], fixture_lookup(spark, SF_DIR), BY_NAME)
     assert rows == {(r.kind, r.rule_name): (r.violations, r.table_rows) for r in plain.collect()}
+
+
+def test_load_is_one_stage_of_generated_code(find):
+    orders, contract = find("orders"), BY_NAME["orders"]
+    fitting, rejected = split_staged(stage(orders, contract), contract)
+    plan = plan_of(fitting)
+    assert "Exchange" not in plan and no_python(plan) and "lambda" not in plan
+    assert "lambda" in plan_of(rejected)  # naming what is wrong is left to the rows set aside

@@ -310,3 +310,29 @@ def test_long_text_keys_of_long_tables_go_by_hash(spark, monkeypatch):
     assert [sizes.hash_first(plan, plan.key_sets[0]) for plan in plans] == [True, False]
     report = validate_tables(contracts, tables.get).where("kind = 'unique_duplicate'")
     assert {r.target_table: r.violations for r in report.collect()} == {"long": 1, "short": 1}
+
+
+@pytest.mark.parametrize("bound", [32 << 20, 0])
+def test_empty_tables_on_either_side(spark, monkeypatch, bound):
+    monkeypatch.setattr("pactframe.plans.constraints.BROADCAST_BYTES", bound)
+    rows = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    none = rows.limit(0)
+    rules = (Rule("foreign_key", ("k",), "fk", "parent", ("k",)), Rule("primary_key", ("k",), "pk"))
+    c = contract([("k", False)], *rules)
+    for child, parent, orphans in [(rows, none, 2), (none, rows, 0), (none, none, 0)]:
+        found = counts(validate_constraints(c, {"t": child, "parent": parent}.get))
+        assert found[("foreign_key", "fk")] == orphans
+        assert found[("primary_key_duplicate", "pk")] == 0
+    assert fk_orphans(rows, none, ["k"], ["k"], small_parent=False).count() == 2
+
+
+def test_session_case_rule(spark):
+    df = spark.createDataFrame([(1, 5), (1, 6)], "k int, v int")
+    c = contract([("K", False)], Rule("unique", ("K",), "uk"))
+    assert counts(validate_constraints(c, {"t": df}.get))[("unique_duplicate", "uk")] == 1
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        plan = plan_table(c, {"t": df}.get)
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    assert not plan.key_sets and len(plan.skipped) == 2
