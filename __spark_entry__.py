@@ -31,6 +31,13 @@ from pactframe.plans.issues import mismatch_issues, table_facts, violation_issue
 from pactframe.plans.schemas import actual_rows, declared_rows, row_counts  # noqa: E402
 from pactframe.scratch import scratch_path  # noqa: E402
 
+try:  # the package of text operators may be absent
+    from pactframe.llm import queries as text_operators
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith("pactframe.llm"):
+        raise
+    text_operators = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 REPORT_COLUMNS = ["target_table", "kind", "rule_name", "violations"]
 
@@ -287,6 +294,10 @@ LINE_KEY = ["l_orderkey", "l_linenumber"]
 
 
 def queries() -> dict[str, Query]:
+    return contract_queries() | (text_operators.queries() if text_operators else {})
+
+
+def contract_queries() -> dict[str, Query]:
     return {
         "minimum_slice": minimum_slice,
         # counts over rows
@@ -630,6 +641,10 @@ STORED = """
 
 
 def oracle_sql() -> dict[str, str]:
+    return contract_sql() | (text_operators.oracle_sql() if text_operators else {})
+
+
+def contract_sql() -> dict[str, str]:
     slice_of = [
         (table, kind, name, rows.replace(" lineitem ", " slice "), before, after)
         for table, kind, name, rows, before, after in REPORT_RULES

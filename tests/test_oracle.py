@@ -11,7 +11,8 @@ import __spark_entry__ as driver
 from conftest import SF_DIR
 from fixture_contracts import TABLES
 
-ORACLES = driver.oracle_sql()
+ORACLES = driver.contract_sql()
+QUERIES = driver.contract_queries()
 
 
 @pytest.fixture(scope="module")
@@ -33,12 +34,12 @@ def plain(value):
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLES) == set(driver.queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, duck, name):
-    found = driver.queries()[name](spark, SF_DIR)
+    found = QUERIES[name](spark, SF_DIR)
     columns = sorted(found.columns)
     rows = Counter(tuple(plain(v) for v in row) for row in found.select(*columns).collect())
     result = duck.execute(ORACLES[name])
