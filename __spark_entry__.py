@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+import fixture_queries  # noqa: E402
 import pactframe as pf  # noqa: E402
 from fixture_contracts import (  # noqa: E402
     BY_NAME,
@@ -33,7 +34,7 @@ from pactframe.scratch import scratch_path  # noqa: E402
 
 try:  # the package of text operators may be absent
     from pactframe.llm import queries as text_operators
-except ModuleNotFoundError as error:
+except ImportError as error:
     if not (error.name or "").startswith("pactframe.llm"):
         raise
     text_operators = None
@@ -175,11 +176,12 @@ def load_orders(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
             pf.Column("o_channel", "VARCHAR2(10)", default_expr="'store'"),
         ),
     )
-    root = scratch_path(spark, "load")
-    aside = f"{root}/set_aside"
-    store = pf.TableStore(root, "parquet")
+    store = fixture_queries.fresh_store(spark, "load")
+    aside = f"{store.root}/set_aside"
     orders = fixture_lookup(spark, sf_dir)("orders")
+    pf.run(spark, "create", [contract], store, pf.RunOptions(continue_on_error=False))
     pf.load_table(orders, contract, store, set_aside_path=aside)
+    spark.sql(f"DROP SCHEMA {store.namespace} CASCADE")  # the files stay
     return store.path("orders"), aside
 
 
@@ -298,7 +300,7 @@ def queries() -> dict[str, Query]:
 
 
 def contract_queries() -> dict[str, Query]:
-    return {
+    return fixture_queries.queries() | {
         "minimum_slice": minimum_slice,
         # counts over rows
         "row_count": lambda spark, sf_dir: row_counts(fixture_tables(spark, sf_dir)),
@@ -658,7 +660,7 @@ def contract_sql() -> dict[str, str]:
     # region and nation are declared as they are stored; every other table declares a number
     # that is stored as bigint or double.
     drifted = [name for name in [*TABLES, *VIEWS] if name not in ("region", "nation")]
-    return {
+    found = {
         "minimum_slice": f"""
             SELECT 'lineitem' AS target_table, 'primary_key_duplicate' AS kind,
                    'lineitem_pk' AS rule_name,
@@ -886,6 +888,15 @@ def contract_sql() -> dict[str, str]:
             UNION ALL
             SELECT 'customer', 'row_count', 'row_count', 0, (SELECT count(*) FROM customer)""",
     }
+    lineitem = [(kind, name, rows) for table, kind, name, rows, *_ in REPORT_RULES if table == "lineitem"]
+    lineitem = [
+        (kind, name, rows)
+        if kind != "primary_key_duplicate"
+        else (kind, name, "SELECT * FROM lineitem WHERE (l_orderkey, l_linenumber) IN "
+              f"(SELECT (l_orderkey, l_linenumber) FROM ({rows}))")
+        for kind, name, rows in lineitem
+    ]
+    return found | fixture_queries.oracle_sql(found["table_outcomes"], lineitem)
 
 
 # Rules per table, kind and origin, and columns and rules per table, in the fixture contracts.

@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from .names import absent_columns, quoted
-
-# Fixed value: the one check form that is read even when its name is in double quotes.
-NOT_NULL_CHECK = re.compile(
-    r'\s*"?(?P<name>[A-Za-z_][\w$#]*)"?\s+IS\s+NOT\s+NULL\s*', re.IGNORECASE
-)
-
+from .names import quoted
 
 def any_null(names: Sequence[str]) -> str:
     return " OR ".join(f"{quoted(name)} IS NULL" for name in names)
@@ -27,18 +20,22 @@ def any_present(names: Sequence[str]) -> str:
     return " OR ".join(f"{quoted(name)} IS NOT NULL" for name in names)
 
 
+def _name_before_not_null(expression: str) -> str:
+    """A check that is one double-quoted name and NOT NULL test, with its name in backticks: the
+    quotes can mean nothing else there. Any other text as it is."""
+    empty, *rest = expression.strip().split('"')
+    if empty == "" and len(rest) == 2 and rest[1].upper().split() == ["IS", "NOT", "NULL"]:
+        return f"{quoted(rest[0])}{rest[1]}"
+    return expression
+
+
 def check_failure(df: DataFrame, expression: str) -> str:
     """Condition that holds for the rows of `df` which violate a CHECK expression.
 
     A check that is unknown (NULL) passes. Raises ValueError when the text cannot be used
     as a row condition on `df`; only analysis is done, no job is run.
     """
-    not_null = NOT_NULL_CHECK.fullmatch(expression)
-    if not_null:
-        name = not_null.group("name")
-        if absent_columns(df, [name]):
-            raise ValueError(f"no column {name}")
-        return any_null([name])
+    expression = _name_before_not_null(expression)
     ansi_quotes = df.sparkSession.conf.get("spark.sql.ansi.doubleQuotedIdentifiers")
     if '"' in expression and ansi_quotes != "true":
         raise ValueError("double quotes mean text here, not a name; use backticks")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from typing import NamedTuple
 
 from pyspark.sql import types as T
@@ -32,21 +31,45 @@ BARE_DECIMAL_SCALE = 10
 # A text key longer than this is compared by hash first (see operators.keys).
 WIDE_TEXT_LENGTH = 64
 
-_SHAPE = re.compile(
-    r"(?P<name>[^()]*?)\s*(?:\(\s*(?P<size>\d+|\*)\s*(?:,\s*(?P<scale>-?\d+)\s*)?\))?"
-)
-
-
 class MappedType(NamedTuple):
     data_type: T.DataType
     known: bool  # False when the declared type is not in the table and fell back to string
 
 
-def _decimal(size: str | None, scale: str | None) -> T.DecimalType:
-    if size is None:
+class DeclaredType(NamedTuple):
+    """A declared type taken apart: its name, and what its brackets hold, parted at commas."""
+
+    name: str
+    arguments: tuple[str, ...]
+
+
+def take_apart(declared: str) -> DeclaredType | None:
+    """None if the brackets do not close at the end or hold others."""
+    text = " ".join(declared.upper().split())
+    opening = text.find("(")
+    if opening < 0:
+        return None if ")" in text else DeclaredType(text, ())
+    inner = text[opening + 1 : -1]
+    if text[-1] != ")" or "(" in inner or ")" in inner:
+        return None
+    return DeclaredType(text[:opening].rstrip(), tuple(part.strip() for part in inner.split(",")))
+
+
+def _whole(text: str) -> int | None:
+    digits = text[1:] if text.startswith("-") else text
+    return int(text) if digits.isascii() and digits.isdigit() else None
+
+
+def _decimal(arguments: tuple[str, ...]) -> T.DecimalType | None:
+    """The decimal of `(precision[, scale])`, clamped to Spark's range; None if they are no such."""
+    if not arguments:
         return T.DecimalType(MAX_PRECISION, BARE_DECIMAL_SCALE)
-    precision = MAX_PRECISION if size == "*" else min(max(int(size), 1), MAX_PRECISION)
-    return T.DecimalType(precision, min(max(int(scale or 0), 0), precision))
+    asked = MAX_PRECISION if arguments[0] == "*" else _whole(arguments[0])
+    scale = _whole(arguments[1]) if len(arguments) == 2 else 0
+    if asked is None or asked < 0 or scale is None or len(arguments) > 2:
+        return None
+    precision = min(max(asked, 1), MAX_PRECISION)
+    return T.DecimalType(precision, min(max(scale, 0), precision))
 
 
 def map_declared_type(declared: str) -> MappedType:
@@ -56,15 +79,15 @@ def map_declared_type(declared: str) -> MappedType:
     for prefixes, data_type in PREFIX_FAMILIES:
         if text.startswith(prefixes):
             return MappedType(data_type, True)
-    shape = _SHAPE.fullmatch(text)
-    if shape:
-        name, size, scale = shape.group("name", "size", "scale")
-        if name in DECIMAL_NAMES:
-            return MappedType(_decimal(size, scale), True)
+    found, parts = None, take_apart(declared)
+    if parts and parts.name in DECIMAL_NAMES:
+        found = _decimal(parts.arguments)
+    elif parts and parts.name in EXACT_NAMES:
         # FLOAT may carry a binary precision, which does not change its Spark type.
-        if name in EXACT_NAMES and (size is None or name == "FLOAT"):
-            return MappedType(EXACT_NAMES[name], True)
-    return MappedType(T.StringType(), False)
+        binary = parts.name == "FLOAT" and _decimal(parts.arguments) is not None
+        if binary or not parts.arguments:
+            found = EXACT_NAMES[parts.name]
+    return MappedType(found or T.StringType(), found is not None)
 
 
 def is_wide_text(declared: str) -> bool:
@@ -72,8 +95,10 @@ def is_wide_text(declared: str) -> bool:
     mapped = map_declared_type(declared)
     if not isinstance(mapped.data_type, (T.StringType, T.BinaryType)) or not mapped.known:
         return False
-    length = re.search(r"\(\s*(\d+)", declared)
-    return length is None or int(length.group(1)) > WIDE_TEXT_LENGTH
+    parts = take_apart(declared)
+    stated = parts.arguments[0].split() if parts and parts.arguments else []
+    length = _whole(stated[0]) if stated else None
+    return length is None or length > WIDE_TEXT_LENGTH
 
 
 def _fits(source: T.DataType, target: T.DataType) -> str | None:

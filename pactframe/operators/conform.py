@@ -66,18 +66,22 @@ def _plan(df: DataFrame, contract: TableContract, fill_defaults: bool) -> CastPl
     sources = {
         name: field.dataType for name, field in zip([n for n in types if n not in absent], stored)
     }
-    defaults = contract.defaults if fill_defaults else {}
     casts = {
         name: fitting_cast(quoted(name), source, types[name]) for name, source in sources.items()
     }
     filled = {
-        name: f"CAST({defaults.get(name, 'NULL')} AS {types[name].simpleString()})"
+        name: f"CAST({_filling(contract, name, fill_defaults)} AS {types[name].simpleString()})"
         for name in types
         if name in absent
     }
     return CastPlan(casts, filled, list(types))
 
 
+def _filling(contract: TableContract, name: str, fill_defaults: bool) -> str:
+    expression = contract.fill_expression(name) if fill_defaults else None
+    return "NULL" if expression is None else expression
+
+
 def cast_plan(df: DataFrame, contract: TableContract, fill_defaults: bool = False) -> CastPlan:
     illegal = illegal_casts(df, contract)
     if illegal:

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REPORT_SCHEMA = (
-    "target_table string, position int, kind string, rule_name string, "
-    "violations bigint, table_rows bigint, message string"
+    "target_table string, position bigint, kind string, rule_name string, "
+    "violations bigint, table_rows bigint, message string, status string"
 )
 RULES_SCHEMA = (
-    "rule_id int, target_table string, position int, kind string, rule_name string, "
+    "rule_id int, target_table string, position bigint, kind string, rule_name string, "
     "before string, after string"
 )
 
@@ -29,6 +29,12 @@ PRIMARY_KEY_DUPLICATE = "primary_key_duplicate"
 CHECK = "check"
 UNIQUE_DUPLICATE = "unique_duplicate"
 FOREIGN_KEY = "foreign_key"
+SCHEMA = "schema"
+
+# What became of a rule. Every declared rule of a report has one of these.
+TESTED = "tested"
+SKIPPED = "skipped"  # cannot be tested; the message says why
+ERROR = "error"  # failed while it was tested, or the table is missing or cannot be read
 
 # The wording of each finding around its number, in the order of reporting.
 # {rule} is the rule's name, or its columns if it has none.
@@ -64,33 +70,48 @@ class Finding:
 ROWS_FOUND = Finding(ROW_COUNT, ROW_COUNT)
 
 
+def place_of(kind: str, rule_id: int) -> int:
+    """Where a rule stands in a report: by kind, then by number."""
+    ranks = [*MESSAGES, SCHEMA]
+    return (ranks.index(kind) << 32) + rule_id
+
+
 class RuleBook:
     """Numbers the rules of a report and turns their counts into report rows."""
 
     def __init__(self) -> None:
         self._rules: list[tuple] = []
+        self._untested: list[tuple] = []
 
     def number(self, table: str, finding: Finding) -> int:
         rule_id = len(self._rules)
-        position = list(MESSAGES).index(finding.kind) * 1_000_000 + rule_id
+        position = place_of(finding.kind, rule_id)
         self._rules.append(
             (rule_id, table, position, finding.kind, finding.label, *finding.wording())
         )
         return rule_id
 
+    def untested(self, table: str, kind: str, name: str, status: str, reason: str) -> None:
+        """A rule that has no count, with the reason."""
+        place = place_of(kind, len(self._rules) + len(self._untested))
+        self._untested.append((table, place, kind, name, None, None, reason, status))
+
     def report(self, spark: SparkSession, counts: Sequence[DataFrame]) -> DataFrame:
         """Join `(rule_id, n)` frames with the rules. There is one row per rule on either
         side, so broadcasting the rules is bounded by the contracts."""
+        untested = spark.createDataFrame(self._untested, REPORT_SCHEMA)
         if not counts:
-            return spark.createDataFrame([], REPORT_SCHEMA)
+            return untested
         rules = spark.createDataFrame(self._rules, RULES_SCHEMA)
         joined = union_all(counts).join(F.broadcast(rules), "rule_id")
-        return joined.selectExpr(
+        tested = joined.selectExpr(
             "target_table", "position", "kind", "rule_name",
             f"if(kind = '{ROW_COUNT}', 0L, n) AS violations",
             f"if(kind = '{ROW_COUNT}', n, NULL) AS table_rows",
             f"if(kind <> '{ROW_COUNT}' AND n > 0, concat(before, n, after), NULL) AS message",
+            f"'{TESTED}' AS status",
         )
+        return tested.unionAll(untested) if self._untested else tested
 
 
 def numbered(counts: DataFrame, columns: dict[int, str]) -> DataFrame:

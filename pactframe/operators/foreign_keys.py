@@ -5,7 +5,7 @@ A row with a NULL in any part of the key passes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -43,25 +43,51 @@ class ForeignKey:
         return Finding(FOREIGN_KEY, self.rule.name, self.columns)
 
 
+def parents_named(
+    rule: Rule, contracts: Iterable[TableContract], schema: str | None
+) -> list[TableContract]:
+    """The contracts a foreign key's parent may be, by source schema and name. More than one is
+    left only if neither the rule nor the child's schema tells them apart."""
+    table = rule.ref_table.upper()
+    named = [c for c in contracts if c.source_name == table]
+    if rule.ref_schema:
+        # a contract without a schema may stand for any
+        return [c for c in named if c.source_schema in (None, rule.ref_schema.upper())]
+    beside = [c for c in named if schema and c.source_schema == schema.upper()]
+    return beside or named
+
+
 def resolve(
     rule: Rule,
     df: DataFrame,
     lookup: TableLookup,
     contracts: Mapping[str, TableContract],
     overrides: Mapping[str, str] | None = None,
+    schema: str | None = None,
 ) -> ForeignKey | Skipped:
     """Settle from the contracts alone whether, and against what, a foreign key is tested.
 
+    The parent is the contract whose source table the rule names, in the schema the rule names or
+    else in `schema`, the child's own; without one an override or the naming rule gives its table.
     Without parent columns the parent's primary key is meant.
     """
 
     def skip(reason: str) -> Skipped:
-        return Skipped("foreign_key_skipped", rule.label, reason)
-
-    parent_table = target_table_name(rule.ref_table, overrides)
+        return Skipped(FOREIGN_KEY, rule.label, reason)
+
+    named = parents_named(rule, contracts.values(), schema)
+    if len(named) > 1:
+        places = sorted(f"{c.source_schema}.{c.source_name}" for c in named)
+        return skip(f"the parent may be any of {places}")
+    parent_contract = named[0] if named else None
+    if parent_contract:
+        parent_table = parent_contract.target_name
+    else:
+        parent_table = target_table_name(rule.ref_table, overrides)
+        if not rule.ref_schema:
+            parent_contract = contracts.get(parent_table)
     ref_columns = rule.ref_columns
     if not ref_columns:
-        parent_contract = contracts.get(parent_table)
         if parent_contract and parent_contract.primary_key:
             ref_columns = parent_contract.primary_key.columns
     if not ref_columns:
@@ -114,7 +140,12 @@ def with_parent_marks(df: DataFrame, keys: Sequence[tuple[ForeignKey, DataFrame]
 
 def orphan_count(key: ForeignKey, place: int) -> str:
     """Aggregate over `with_parent_marks` that counts the orphans of one foreign key."""
-    return f"count_if({all_present(key.columns)} AND NOT __found{place})"
+    return f"count_if({is_orphan(key, place)})"
+
+
+def is_orphan(key: ForeignKey, place: int) -> str:
+    """Condition over `with_parent_marks` that holds for the orphans of one foreign key."""
+    return f"{all_present(key.columns)} AND NOT __found{place}"
 
 
 def orphan_key_sizes(

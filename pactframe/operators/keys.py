@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 from ..functions.conditions import any_present
 from ..functions.names import quoted
 from ..scratch import checkpointed
-from .matching import fits_broadcast, rows_with_keys
+from .matching import (
+    MOST_PASSES,
+    key_bytes,
+    passes_for,
+    rows_with_keys,
+    semi_join_in_passes,
+)
 
 # Below this many rows a second scan costs more than shuffling the full key.
 HASH_FIRST_ROWS = 10_000_000
@@ -37,15 +43,16 @@ def key_sizes(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def _suspects(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows whose 64-bit key hash is not unique; every duplicate is among them.
 
-    Only hashes are shuffled. When there are too many repeated hashes to broadcast, most
-    rows are suspect anyway and `df` is returned as it is.
+    Only hashes are shuffled. Repeated ones are broadcast, in several passes over `df` if they are
+    many. Beyond MOST_PASSES most rows are suspect anyway and `df` is returned as it is.
     """
     digest = f"xxhash64({', '.join(quoted(name) for name in key)})"
     hashes = df.selectExpr(f"{digest} AS __h").groupBy("__h").count()
     repeated = checkpointed(hashes.where("count > 1").select("__h"))
-    if not fits_broadcast(repeated):
+    passes = passes_for(key_bytes(repeated).first()["n_bytes"])
+    if passes > MOST_PASSES:
         return df
-    return df.join(F.broadcast(repeated), F.expr(f"{digest} = __h"), "left_semi")
+    return semi_join_in_passes(df, repeated, F.expr(f"{digest} = __h"), digest, "__h", passes)
 
 
 def duplicate_key_sizes(

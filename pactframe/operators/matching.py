@@ -1,26 +1,51 @@
 """Keep the rows of a large table whose key is in a set of keys.
 
 The set is computed once and measured. Within the bound it is broadcast and the table is
-filtered in place. Beyond it the table is shuffled on the key, after the keys that hold many
-rows have been dealt with by broadcast: no task receives the rows of a hot key.
+filtered in place. Up to MOST_PASSES times the bound the set is cut into ranges of the keys' hash
+and each range is broadcast in a pass of its own over the table: still nothing is shuffled but the
+keys. Beyond that most rows are wanted anyway and the table is shuffled on the key, after the keys that
+hold many rows have been dealt with by broadcast: no task receives the rows of a hot key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import quoted
 from ..scratch import checkpointed
+from .findings import union_all
 
 # Raw key bytes; a hash table of fixed-width keys takes a small multiple of this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A key with this many rows is hot. A table has at most one such key per HOT_ROWS rows.
 HOT_ROWS = 1_000_000
 UNMEASURED = 1 << 62
+MOST_PASSES = 16
+
+
+def passes_for(n_bytes: int, limit: int | None = None) -> int:
+    """Passes in which keys of so many bytes can each be broadcast within the bound."""
+    limit = BROADCAST_BYTES if limit is None else limit
+    return max(1, -(-n_bytes // max(limit, 1)))
+
+
+def semi_join_in_passes(
+    df: DataFrame, keys: DataFrame, same: Column, df_hash: str, key_hash: str, passes: int
+) -> DataFrame:
+    """Left semi join that broadcasts one range of the keys' hash in each pass over `df`. The ranges
+    are disjoint, so no row is found twice."""
+    if passes == 1:
+        return df.join(F.broadcast(keys), same, "left_semi")
+    found = []
+    for place in range(passes):
+        part = keys.where(f"pmod({key_hash}, {passes}) = {place}")
+        rows = df.where(f"pmod({df_hash}, {passes}) = {place}")
+        found.append(rows.join(F.broadcast(part), same, "left_semi"))
+    return union_all(found)
 
 
 def key_bytes(keys: DataFrame) -> DataFrame:
@@ -46,6 +71,7 @@ def rows_with_keys(
     null_safe: bool = False,
     hot_rows: int | None = None,
     broadcast_bytes: int | None = None,
+    most_passes: int | None = None,
 ) -> DataFrame:
     """Rows of `df` whose `names` equal the key columns of a wanted row of `keys`.
 
@@ -64,8 +90,10 @@ def rows_with_keys(
         return known.where(condition).select(*parts)
 
     wanted = picked("__wanted")
-    if fits_broadcast(wanted, broadcast_bytes):
-        return df.join(F.broadcast(wanted), same, "left_semi")
+    passes = passes_for(key_bytes(wanted).first()["n_bytes"], broadcast_bytes)
+    if passes <= (MOST_PASSES if most_passes is None else most_passes):
+        hashes = [f"xxhash64({', '.join(columns)})" for columns in (map(quoted, names), parts)]
+        return semi_join_in_passes(df, wanted, same, *hashes, passes)
 
     least = HOT_ROWS if hot_rows is None else hot_rows
     while not fits_broadcast(picked(f"__count >= {least}"), broadcast_bytes):

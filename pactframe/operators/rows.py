@@ -52,27 +52,30 @@ class Skipped:
     rule_name: str
     reason: str
 
+    @property
+    def issue_type(self) -> str:
+        return f"{self.kind}_skipped"
+
 
 def row_tests(df: DataFrame, contract: TableContract) -> tuple[list[RowTest], list[Skipped]]:
     """The row rules of a contract that `df` has the columns for, and those it has not."""
     tests: list[RowTest] = []
     skipped: list[Skipped] = []
-    nullable = [Finding(findings.NOT_NULL, name, (name,)) for name in contract.not_null_columns]
+    nullable = [Finding(findings.NOT_NULL, name, (name,)) for name in contract.required]
     key = contract.primary_key
     if key:
         nullable.append(Finding(findings.PRIMARY_KEY_NULL, key.name, key.columns))
     for finding in nullable:
         missing = absent_columns(df, finding.columns)
         if missing:
-            kind = f"{finding.kind}_skipped"
-            skipped.append(Skipped(kind, finding.label, f"no column {missing}"))
+            skipped.append(Skipped(finding.kind, finding.label, f"no column {missing}"))
         else:
             tests.append(RowTest(finding, any_null(finding.columns)))
     for rule in contract.rules_of("check"):
         try:
             failure = check_failure(df, rule.expression)
         except ValueError as error:
-            skipped.append(Skipped("check_skipped", rule.label, str(error)))
+            skipped.append(Skipped(findings.CHECK, rule.label, str(error)))
         else:
             tests.append(RowTest(Finding(findings.CHECK, rule.label), failure))
     return tests, skipped

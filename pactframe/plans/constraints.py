@@ -7,17 +7,22 @@ are independent branches of one union, so a single action runs them side by side
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.conditions import any_present
-from ..functions.names import absent_columns, folded
+from ..functions.names import absent_columns, folded, quoted
 from ..model import PRIMARY_KEY, UNIQUE, TableContract
 from ..operators.findings import (
+    ERROR,
     PRIMARY_KEY_DUPLICATE,
+    ROW_COUNT,
+    SCHEMA,
+    SKIPPED,
     UNIQUE_DUPLICATE,
     Finding,
     RuleBook,
@@ -29,6 +34,7 @@ from ..operators.foreign_keys import (
     ParentKey,
     TableLookup,
     fk_orphans,
+    is_orphan,
     orphan_count,
     orphan_rows,
     parent_keys,
@@ -93,7 +99,7 @@ def plan_table(
             missing = absent_columns(data, rule.columns)
             if missing:
                 reason = f"no column {missing}"
-                skipped.append(Skipped(f"{kind}_skipped", finding.label, reason))
+                skipped.append(Skipped(kind, finding.label, reason))
                 continue
             same = frozenset(folded(data.sparkSession, name) for name in rule.columns)
             columns_of.setdefault(same, rule.columns)
@@ -105,7 +111,9 @@ def plan_table(
 
     foreign_keys = []
     for rule in contract.rules_of("foreign_key"):
-        found = resolve(rule, data, lookup, contracts or {}, overrides)
+        found = resolve(
+            rule, data, lookup, contracts or {}, overrides, contract.source_schema
+        )
         (foreign_keys if isinstance(found, ForeignKey) else skipped).append(found)
     return TablePlan(contract, data, tests, key_sets, foreign_keys, skipped)
 
@@ -118,6 +126,18 @@ class Sizes:
     parents: Mapping[ParentKey, int]
     long_tables: frozenset[str]
 
+    def within(self, plans: Sequence[TablePlan], budget: int) -> Sizes:
+        """Only the parents, smallest first, that may be broadcast together in one action over
+        `plans`; a parent that several keys refer to counts once. The rest are shuffled."""
+        asked = {key.parent for plan in plans for key in plan.foreign_keys}
+        kept, used = {}, 0
+        for parent in sorted(asked & self.parents.keys(), key=lambda p: (self.parents[p], p)):
+            used += self.parents[parent]
+            if used > budget:
+                break
+            kept[parent] = self.parents[parent]
+        return Sizes(kept, self.long_tables)
+
     def hash_first(self, plan: TablePlan, keys: KeySet) -> bool:
         return keys.wide and plan.contract.target_name in self.long_tables
 
@@ -125,37 +145,49 @@ class Sizes:
 UNMEASURED = Sizes({}, frozenset())  # every parent counts as large, no table as long
 
 
-def measure(plans: Sequence[TablePlan], lookup: TableLookup) -> Sizes:
+def measure(
+    plans: Sequence[TablePlan],
+    lookup: TableLookup,
+    failed: Callable[[str, Exception], None] | None = None,
+) -> Sizes:
     """Measure all parents and all tables with long text keys in one job.
 
-    Row counts, and with them the size of fixed-width keys, come from file footers.
+    Row counts, and with them the size of fixed-width keys, come from file footers. With
+    `failed` a table that cannot be measured is reported to it and counts as large, and only the
+    others' sizes are then taken one by one.
     """
     parents = list(dict.fromkeys(key.parent for plan in plans for key in plan.foreign_keys))
     wide = {plan.contract.target_name: plan for plan in plans if any(k.wide for k in plan.key_sets)}
-    asked = [key_bytes(parent_keys(lookup(table), columns)) for table, columns in parents]
-    asked += [plan.data.selectExpr("count(1)") for plan in wide.values()]
+    asked = [partial(_parent_bytes, lookup, *parent) for parent in parents]
+    asked += [partial(plan.data.selectExpr, "count(1)") for plan in wide.values()]
     if not asked:
         return UNMEASURED
-    rows = union_all([df.selectExpr(f"{place} AS place", "*") for place, df in enumerate(asked)])
-    sizes = {row[0]: row[1] for row in rows.collect()}
-    by_parent = {parent: sizes[place] for place, parent in enumerate(parents)}
-    lengths = {name: sizes[len(parents) + place] for place, name in enumerate(wide)}
+
+    def sizes_of(some: Sequence[int]) -> dict[int, int]:
+        rows = union_all([asked[place]().selectExpr(f"{place} AS place", "*") for place in some])
+        return {row[0]: row[1] for row in rows.collect()}
+
+    try:
+        sizes = sizes_of(range(len(asked)))
+    except Exception:
+        if failed is None:
+            raise
+        sizes = {}
+        for place, name in enumerate([table for table, _ in parents] + list(wide)):
+            try:
+                sizes |= sizes_of([place])
+            except Exception as error:
+                failed(name, error)
+    by_parent = {p: sizes[place] for place, p in enumerate(parents) if place in sizes}
+    lengths = {n: sizes.get(len(parents) + place, 0) for place, n in enumerate(wide)}
     return Sizes(
         {parent: n for parent, n in by_parent.items() if n <= BROADCAST_BYTES},
         frozenset(name for name, n in lengths.items() if n >= HASH_FIRST_ROWS),
     )
 
 
-def parents_broadcast_together(plan: TablePlan, sizes: Sizes) -> list[ForeignKey]:
-    """The foreign keys of a table whose parents, smallest first, fit one broadcast budget."""
-    together, used = [], 0
-    small = [key for key in plan.foreign_keys if key.parent in sizes.parents]
-    for key in sorted(small, key=lambda key: sizes.parents[key.parent]):
-        used += sizes.parents[key.parent]
-        if used > BROADCAST_BYTES:
-            break
-        together.append(key)
-    return together
+def _parent_bytes(lookup: TableLookup, table: str, columns: Sequence[str]) -> DataFrame:
+    return key_bytes(parent_keys(lookup(table), columns))
 
 
 def count_key_set(plan: TablePlan, keys: KeySet, sizes: Sizes, book: RuleBook) -> DataFrame:
@@ -194,7 +226,7 @@ def table_counts(
     """The counts of all rules of a table: one frame for the row rules and the foreign keys to
     small parents, one per key set, one per remaining foreign key."""
     table, data, tests = plan.contract.target_name, plan.data, plan.row_tests
-    together = parents_broadcast_together(plan, sizes)
+    together = [key for key in plan.foreign_keys if key.parent in sizes.parents]
     orphans = [(key.finding, orphan_count(key, place)) for place, key in enumerate(together)]
     parts = []
     if footers_answer_counts(data.sparkSession):
@@ -217,11 +249,24 @@ def table_counts(
     return parts
 
 
-def report_of(plans: Sequence[TablePlan], lookup: TableLookup, sizes: Sizes) -> DataFrame:
-    """The report of planned tables, one row per tested rule (see `operators.findings`)."""
-    book = RuleBook()
+def report_of(
+    plans: Sequence[TablePlan],
+    lookup: TableLookup,
+    sizes: Sizes,
+    budget: int | None = None,
+    book: RuleBook | None = None,
+) -> DataFrame:
+    """The report of planned tables: one row per declared rule (see `operators.findings`).
+
+    All parents broadcast by the report share `budget` bytes of keys.
+    """
+    book = book or RuleBook()
+    sizes = sizes.within(plans, BROADCAST_BYTES if budget is None else budget)
     counts = [part for plan in plans for part in table_counts(plan, lookup, sizes, book)]
-    return book.report(plans[0].data.sparkSession, counts)
+    for plan in plans:
+        for rule in plan.skipped:
+            book.untested(plan.contract.target_name, rule.kind, rule.rule_name, SKIPPED, rule.reason)
+    return book.report(plans[0].data.sparkSession if plans else SparkSession.active(), counts)
 
 
 def validate_constraints(
@@ -242,13 +287,17 @@ def validate_tables(
     overrides: Mapping[str, str] | None = None,
     where: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """The report of many tables as one frame."""
+    """The report of many tables as one frame. A table that is not there has one row, with status
+    `error`."""
     by_name = {contract.target_name: contract for contract in contracts}
-    plans = [
-        plan_table(c, lookup, by_name, overrides, (where or {}).get(c.target_name))
-        for c in contracts
-    ]
-    return report_of(plans, lookup, measure(plans, lookup))
+    plans, book = [], RuleBook()
+    for contract in contracts:
+        slice_of = (where or {}).get(contract.target_name)
+        try:
+            plans.append(plan_table(contract, lookup, by_name, overrides, slice_of))
+        except LookupError as error:
+            book.untested(contract.target_name, ROW_COUNT, ROW_COUNT, ERROR, str(error))
+    return report_of(plans, lookup, measure(plans, lookup), book=book)
 
 
 def violating_rows(
@@ -259,10 +308,17 @@ def violating_rows(
     where: str | None = None,
 ) -> DataFrame:
     """The violating rows themselves: `kind`, `rule_name` and the row's columns, one row per
-    rule broken. Row rules share one scan."""
+    rule broken. Row rules and foreign keys to small parents share one scan; each key set and
+    each larger parent has one more."""
     plan = plan_table(contract, lookup, contracts, overrides, where)
-    sizes = measure([plan], lookup)
-    parts = [rows_violating(plan.data, plan.row_tests)]
+    sizes = measure([plan], lookup).within([plan], BROADCAST_BYTES)
+    together = [key for key in plan.foreign_keys if key.parent in sizes.parents]
+    tests, data = list(plan.row_tests), plan.data
+    if together:
+        data = with_parent_marks(data, [(key, lookup(key.parent_table)) for key in together])
+        tests += [RowTest(key.finding, is_orphan(key, place)) for place, key in enumerate(together)]
+    own = ["kind", "rule_name", *map(quoted, plan.data.columns)]
+    parts = [rows_violating(data, tests).select(own)]
     for keys in plan.key_sets:
         primary = any(finding.kind == PRIMARY_KEY_DUPLICATE for finding in keys.findings)
         kind = PRIMARY_KEY if primary else UNIQUE
@@ -271,12 +327,13 @@ def violating_rows(
         )
         # A key that is NULL in all parts breaks a primary key but no unique key.
         broken = {PRIMARY_KEY_DUPLICATE: "true", UNIQUE_DUPLICATE: any_present(keys.columns)}
-        tests = [RowTest(finding, broken[finding.kind]) for finding in keys.findings]
-        parts.append(rows_violating(rows, tests))
+        marks = [RowTest(finding, broken[finding.kind]) for finding in keys.findings]
+        parts.append(rows_violating(rows, marks))
     for fk in plan.foreign_keys:
-        parent, small = lookup(fk.parent_table), fk.parent in sizes.parents
-        rows = fk_orphans(plan.data, parent, fk.columns, fk.ref_columns, small)
-        parts.append(rows_violating(rows, [RowTest(fk.finding, "true")]))
+        if fk not in together:
+            parent = lookup(fk.parent_table)
+            rows = fk_orphans(plan.data, parent, fk.columns, fk.ref_columns, small_parent=False)
+            parts.append(rows_violating(rows, [RowTest(fk.finding, "true")]))
     return union_all(parts)
 
 
@@ -287,16 +344,26 @@ def write_violations(
     rows.write.format(provider).mode(mode).partitionBy("kind").save(path)
 
 
-def table_outcomes(reported: DataFrame) -> DataFrame:
-    """`(target_table, row_count, broken_rules, outcome)`; outcome is `passed`, `failed`, or
-    `skipped` for a table without rows. A group holds the rules of one table."""
+def table_outcomes(reported: DataFrame, drifted: Collection[str] = ()) -> DataFrame:
+    """`(target_table, row_count, broken_rules, outcome)` of every table of a report.
+
+    The first that holds: `failed` (a rule is broken, or the schema differs: a `schema` row of the
+    report, or `drifted`), `error` (a rule failed to run, the table is missing or unreadable),
+    `incomplete` (a rule was skipped), `skipped` (no rows), `passed`. A group holds the rules of one table.
+    """
+    differs = (F.col("kind") == SCHEMA) | F.col("target_table").isin(list(drifted))
     outcomes = reported.groupBy("target_table").agg(
         F.max("table_rows").alias("row_count"),
         F.count_if(F.col("violations") > 0).alias("broken_rules"),
+        F.count_if(differs).alias("differences"),
+        F.count_if(F.col("status") == ERROR).alias("errors"),
+        F.count_if((F.col("status") == SKIPPED) & (F.col("kind") != SCHEMA)).alias("skips"),
     )
     outcome = (
-        F.when(F.col("row_count") == 0, "skipped")
-        .when(F.col("broken_rules") > 0, "failed")
+        F.when((F.col("broken_rules") > 0) | (F.col("differences") > 0), "failed")
+        .when(F.col("errors") > 0, "error")
+        .when(F.col("skips") > 0, "incomplete")
+        .when(F.col("row_count") == 0, "skipped")
         .otherwise("passed")
     )
-    return outcomes.withColumn("outcome", outcome)
+    return outcomes.select("target_table", "row_count", "broken_rules", outcome.alias("outcome"))

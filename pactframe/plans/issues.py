@@ -14,6 +14,7 @@ from ..operators.rows import Skipped
 from ..sources.tables import TableStore
 
 _COLUMNS = "array<struct<name:string,data_type:string,nullable:boolean>>"
+# The fields of an issue.
 ISSUE_FIELDS = {
     "logged_at_utc": "timestamp",
     "issue_type": "string",
@@ -107,6 +108,15 @@ class IssueLog:
         values = base | fields
         self.rows.append(Row(**{name: values.get(name) for name in ISSUE_FIELDS}))
 
+    def namespace_error(self, error: BaseException) -> None:
+        """The schema could not be made; its tables may still be written by path."""
+        values = {
+            "logged_at_utc": datetime.now(timezone.utc), "issue_type": "namespace_error",
+            "target_schema": self.store.schema_name, "operation": "create",
+            "error_type": type(error).__name__, "error_message": str(error),
+        }
+        self.rows.append(Row(**{name: values.get(name) for name in ISSUE_FIELDS}))
+
     def error(self, contract: TableContract, operation: str, error: BaseException) -> None:
         self.add(
             contract, f"{operation}_error", operation=operation,
@@ -124,7 +134,7 @@ class IssueLog:
 
     def skipped(self, contract: TableContract, skipped: Skipped) -> None:
         self.add(
-            contract, skipped.kind, operation="validate", error_type="Skipped",
+            contract, skipped.issue_type, operation="validate", error_type="Skipped",
             error_message=f"{skipped.rule_name}: {skipped.reason}",
         )
 

@@ -4,19 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
-from functools import cache, partial
-
+from dataclasses import dataclass, field, replace
+from functools import cache
+
+from pyspark.errors import (
+    AnalysisException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    IllegalArgumentException,
+    NumberFormatException,
+    ParseException,
+    SparkRuntimeException,
+)
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..model import RunOptions, TableContract
-from ..operators.findings import REPORT_SCHEMA, ROWS_FOUND, Finding, RuleBook
+from ..functions.conditions import first_line
+from ..operators.findings import (
+    CHECK,
+    ERROR,
+    REPORT_SCHEMA,
+    ROW_COUNT,
+    ROWS_FOUND,
+    SCHEMA,
+    SKIPPED,
+    Finding,
+    RuleBook,
+)
 from ..operators.foreign_keys import TableLookup
-from ..operators.rows import count_failures, count_rows_and_failures
+from ..operators.matching import BROADCAST_BYTES
+from ..operators.rows import count_failures
 from ..operators.schema_diff import schema_messages
 from ..sources.contracts import to_tables
 from ..sources.reports import write_issues, write_report
 from ..sources.tables import (
+    SchemaMismatch,
     TableStore,
     create_table,
     ensure_namespace,
@@ -38,13 +61,14 @@ from .issues import IssueLog, mismatch_issues, violation_issues
 from .schemas import actual_rows, declared_rows
 from .summaries import table_summary
 
+# Errors that the text of a rule causes; any other is the table's or the cluster's.
+RULE_FAULTS = (
+    AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException,
+    IllegalArgumentException, NumberFormatException, ParseException, SparkRuntimeException,
+)
 SECTIONS = ("parse", "create", "validate", "all")
 
 
-class SchemaMismatch(ValueError):
-    """An existing table differs from its contract."""
-
-
 class ContractViolation(ValueError):
     """The rows of a table break its rules."""
 
@@ -78,7 +102,7 @@ def run(
     written even when a table fails."""
     section = section.strip().lower()
     if section not in SECTIONS:
-        raise ValueError(f"section must be one of {', '.join(SECTIONS)}")
+        raise ValueError(f"no section {section!r}; there are {', '.join(SECTIONS)}")
     options = options or RunOptions()
     log = IssueLog(spark, contracts, store)
     for contract in contracts:
@@ -92,11 +116,11 @@ def run(
             store, result.created = create_tables(spark, contracts, store, options, log, drifted)
         if section in ("validate", "all"):
             result.report = validate_stored_tables(spark, contracts, store, options, log, drifted)
-            result.outcomes = table_outcomes(result.report)
+            result.outcomes = table_outcomes(result.report, drifted)
     finally:
         result.issues = log.to_df()
         if options.issues_path and log.rows:
-            write_issues(result.issues, options.issues_path)
+            write_issues(result.issues, options.issues_path, store.provider)
         if options.report_path:
             write_report(result.issues, options.report_path)
     return result
@@ -147,16 +171,24 @@ def create_tables(
 ) -> tuple[TableStore, dict[str, str]]:
     """Create or register every table. A table that was there is compared with its contract;
     its properties are left alone if it differs and mismatches count as failures."""
-    store = ensure_namespace(spark, store)
+    try:
+        store = ensure_namespace(spark, store)
+    except Exception as error:  # it may be there although it cannot be made
+        log.namespace_error(error)
+        if not options.continue_on_error:
+            raise
     mode = "replace" if options.replace_existing else "register"
-    created: dict[str, str] = {}
-    for contract in contracts:
-        state = _guarded(
+
+    def create(contract: TableContract) -> str | None:
+        return _guarded(
             contract, "create", options, log,
             lambda: create_table(spark, store, contract, mode, options.allow_data_loss),
         )
-        if state:
-            created[contract.target_name] = state
+
+    # Listings, empty writes and catalogue calls: the cluster idles, so several run at a time.
+    with ThreadPoolExecutor(options.jobs_at_once) as pool:
+        states = list(pool.map(create, contracts))
+    created = {c.target_name: state for c, state in zip(contracts, states) if state}
     there = {
         name: find_table(spark, store, name)
         for name, state in created.items()
@@ -197,8 +229,15 @@ def validate_stored_tables(
             tables[contract.target_name] = table
     if options.validate_schema:
         _log_drift(spark, contracts, tables, store, options, log, drifted)
+    book = RuleBook()
+    for contract in contracts:
+        name = contract.target_name
+        if name not in tables:
+            book.untested(name, ROW_COUNT, ROW_COUNT, ERROR, "the table is missing or unreadable")
+        elif name in drifted:
+            book.untested(name, SCHEMA, SCHEMA, SKIPPED, "the schema differs from the contract")
     if not options.validate_constraints:
-        return spark.createDataFrame([], REPORT_SCHEMA)
+        return book.report(spark, [])
 
     by_name = {contract.target_name: contract for contract in contracts}
     plans = []
@@ -214,7 +253,11 @@ def validate_stored_tables(
             plans.append(plan)
             for skipped in plan.skipped:
                 log.skipped(contract, skipped)
-    rows = evaluate(plans, lookup, options, log)
+        else:
+            book.untested(
+                contract.target_name, ROW_COUNT, ROW_COUNT, ERROR, "the rules could not be planned"
+            )
+    rows = evaluate(plans, lookup, options, log) + book.report(spark, []).collect()
     reported = spark.createDataFrame(rows, REPORT_SCHEMA)
     before = len(log.rows)
     log.collected(violation_issues(reported, log.facts))
@@ -228,19 +271,24 @@ def evaluate(
     plans: Sequence[TablePlan], lookup: TableLookup, options: RunOptions, log: IssueLog
 ) -> list[Row]:
     """Report rows of all planned tables: a few tables per job, a few jobs at a time. What
-    comes back is one row per rule. A job that fails is repeated table by table, and a table
-    that fails rule by rule, so that only the faulty rule is lost."""
-    try:
-        sizes = measure(plans, lookup)
-    except Exception:  # a table that cannot be read; its rules will say so
-        sizes = UNMEASURED
+    comes back is one row per rule. A job that fails is repeated table by table, so that only the
+    table at fault, or its faulty check, is lost."""
+    by_name = {plan.contract.target_name: plan.contract for plan in plans}
+
+    def unmeasured(table: str, error: Exception) -> None:
+        if table in by_name:
+            log.error(by_name[table], "measure", error)
+
+    sizes = measure(plans, lookup, unmeasured)
+    budget = BROADCAST_BYTES // options.jobs_at_once  # for all jobs under way together
 
     def evaluate_some(some: Sequence[TablePlan]) -> list[Row]:
         try:
-            return report_of(some, lookup, sizes).collect()
-        except Exception:
-            alone = (_evaluate_alone(plan, lookup, sizes, options, log) for plan in some)
-            return [row for rows in alone for row in rows]
+            return report_of(some, lookup, sizes, budget).collect()
+        except Exception as error:
+            if len(some) == 1:
+                return _evaluate_parts(some[0], lookup, sizes, options, log, error)
+            return [row for plan in some for row in evaluate_some([plan])]
 
     size = options.tables_per_job
     jobs = [plans[start : start + size] for start in range(0, len(plans), size)]
@@ -248,29 +296,71 @@ def evaluate(
         return [row for rows in pool.map(evaluate_some, jobs) for row in rows]
 
 
-def _evaluate_alone(
-    plan: TablePlan, lookup: TableLookup, sizes: Sizes, options: RunOptions, log: IssueLog
+def _evaluate_parts(
+    plan: TablePlan, lookup: TableLookup, sizes: Sizes, options: RunOptions, log: IssueLog,
+    error: Exception,
 ) -> list[Row]:
-    try:
-        return report_of([plan], lookup, sizes).collect()
-    except Exception:
-        pass
-    table, data, book = plan.contract.target_name, plan.data, RuleBook()
-    parts: list[tuple[Finding, Callable[[], DataFrame]]] = [
-        (ROWS_FOUND, lambda: count_rows_and_failures(data, table, [], book))
-    ]
-    for test in plan.row_tests:
-        parts.append((test.finding, partial(count_failures, data, table, [test], book)))
-    for keys in plan.key_sets:
-        parts.append((keys.findings[0], partial(count_key_set, plan, keys, sizes, book)))
-    for key in plan.foreign_keys:
-        parts.append((key.finding, partial(count_orphans, plan, key, lookup, sizes, book)))
-    rows: list[Row] = []
-    for finding, counts in parts:
+    """Report rows of a table whose job failed with `error`.
+
+    Keys and foreign keys that Spark cannot plan are found by analysis alone. The rest but the
+    checks is counted in one more job if a rule can be at fault, and each check in one of its own. A rule
+    that fails again has status `error`. Any other error is the table's: all its rules have that status.
+    """
+    table, data = plan.contract.target_name, plan.data
+    spark, rows, faults = data.sparkSession, [], []
+
+    def plannable(findings: Sequence[Finding], count: Callable[[], DataFrame]) -> bool:
         try:
-            rows += book.report(data.sparkSession, [counts()]).collect()
-        except Exception as error:
-            log.rule_error(plan.contract, finding.kind, finding.label, error)
+            count().schema
+        except Exception as fault:
+            faults.extend((finding, fault) for finding in findings)
+            return False
+        return True
+
+    checks = [test for test in plan.row_tests if test.finding.kind == CHECK]
+    rest = replace(
+        plan,
+        row_tests=[test for test in plan.row_tests if test not in checks],
+        key_sets=[
+            keys for keys in plan.key_sets
+            if plannable(keys.findings, lambda: count_key_set(plan, keys, UNMEASURED, RuleBook()))
+        ],
+        foreign_keys=[
+            key for key in plan.foreign_keys
+            if plannable([key.finding], lambda: count_orphans(plan, key, lookup, UNMEASURED, RuleBook()))
+        ],
+    )
+    isolated = isinstance(error, RULE_FAULTS) and bool(checks or faults)
+    if isolated:
+        try:
+            rows += report_of([rest], lookup, sizes).collect()
+        except Exception as again:
+            isolated, error = False, again
+    if not isolated:
+        log.error(plan.contract, "validate", error)
+        if not options.continue_on_error:
+            raise error
+        faults = [(finding, error) for finding in (ROWS_FOUND, *planned_findings(plan))]
+        checks = []
+    for test in checks:
+        book = RuleBook()
+        try:
+            rows += book.report(spark, [count_failures(data, table, [test], book)]).collect()
+        except Exception as fault:
+            faults.append((test.finding, fault))
+    book = RuleBook()
+    for finding, fault in faults:
+        if isolated:
+            log.rule_error(plan.contract, finding.kind, finding.label, fault)
             if not options.continue_on_error:
-                raise
-    return rows
+                raise fault
+        book.untested(table, finding.kind, finding.label, ERROR, first_line(fault))
+    return rows + book.report(spark, []).collect()
+
+
+def planned_findings(plan: TablePlan) -> list[Finding]:
+    return [
+        *(test.finding for test in plan.row_tests),
+        *(finding for keys in plan.key_sets for finding in keys.findings),
+        *(key.finding for key in plan.foreign_keys),
+    ]

@@ -10,7 +10,7 @@ from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..model import Column, Rule, TableContract
 
@@ -55,9 +55,14 @@ def to_tables(spark: SparkSession, contracts: Sequence[TableContract]) -> Contra
 
 
 def from_tables(
-    tables: DataFrame, columns: DataFrame, rules: DataFrame, targets: Iterable[str] | None = None
+    tables: DataFrame, columns: DataFrame, rules: DataFrame, targets: Iterable[str] | None = None,
+    faults: dict[str, str] | None = None,
 ) -> list[TableContract]:
-    """The contracts held in the three tables, or those of the given target tables."""
+    """The contracts held in the three tables, or those of the given target tables.
+
+    With `faults` a table whose rows make no contract is left out, and what is wrong with it is put
+    there under its name; without, it raises.
+    """
     if targets is not None:
         wanted = list(targets)
         tables, columns, rules = (
@@ -72,28 +77,39 @@ def from_tables(
     # The last two columns of the rules may be left out of hand-made contract tables.
     places = ["position"] if "position" in rules.columns else []
     for row in rules.orderBy("target_name", *places, "rule_name").collect():
-        rules_of[row.target_name].append(
-            Rule(
-                row.kind, tuple(row.columns or ()), row.rule_name, row.ref_table,
-                tuple(row.ref_columns or ()), row.expression, row.origin or "constraint",
-                row["ref_schema"] if "ref_schema" in rules.columns else None,
-            )
-        )
-    return [
-        TableContract(
-            row.source_name, tuple(columns_of[row.target_name]),
-            tuple(rules_of[row.target_name]), row.source_schema, row.target_name,
+        rules_of[row.target_name].append(row)
+
+    def rule(row: Row) -> Rule:
+        return Rule(
+            row.kind, tuple(row.columns or ()), row.rule_name, row.ref_table,
+            tuple(row.ref_columns or ()), row.expression, row.origin or "constraint",
+            row["ref_schema"] if "ref_schema" in rules.columns else None,
         )
-        for row in tables.orderBy("target_name").collect()
-    ]
+
+    contracts = []
+    for row in tables.orderBy("target_name").collect():
+        name = row.target_name
+        try:
+            contract = TableContract(
+                row.source_name, tuple(columns_of[name]), tuple(map(rule, rules_of[name])),
+                row.source_schema, name,
+            )
+        except ValueError as error:
+            if faults is None:
+                raise
+            faults[name] = str(error)
+        else:
+            contracts.append(contract)
+    return contracts
 
 
 def read_contracts(
-    spark: SparkSession, root: str, provider: str = "parquet"
+    spark: SparkSession, root: str, provider: str = "parquet", faults: dict[str, str] | None = None
 ) -> list[TableContract]:
-    """Contracts saved under `root` by `write_contracts`."""
+    """Contracts saved under `root` by `write_contracts`; for `faults` see `from_tables`."""
     read = spark.read.format(provider)
-    return from_tables(*(read.load(f"{root.rstrip('/')}/{name}") for name in _NAMES))
+    frames = [read.load(f"{root.rstrip('/')}/{name}") for name in _NAMES]
+    return from_tables(*frames, faults=faults)
 
 
 def write_contracts(

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import quoted, sql_text
+from ..functions.names import folded, quoted, sql_text
 from ..model import Rule, TableContract
 from ..operators.conform import CAST, check_set_aside, split_staged, stage
 
@@ -51,6 +51,14 @@ class DataLossError(RuntimeError):
     """Replacing a table would drop its rows."""
 
 
+class SchemaMismatch(ValueError):
+    """A stored table differs from its contract."""
+
+
+class UnrepeatableInput(RuntimeError):
+    """The input of a load gave other rows when it was read again."""
+
+
 class LocationError(RuntimeError):
     """A catalogue name already stands for another path."""
 
@@ -184,8 +192,12 @@ def contract_properties(contract: TableContract, prefix: str = "oracle") -> dict
         "unique_keys": unique("constraint"),
         "foreign_keys": foreign_keys,
         "check_constraints": checks,
-        "not_null_columns": contract.not_null_columns,
-        "defaults": contract.defaults,
+        "not_null_columns": list(contract.required),
+        "defaults": {
+            c.name: contract.fill_expression(c.name)
+            for c in contract.columns
+            if contract.fill_expression(c.name) is not None
+        },
         "unique_indexes": unique("index"),
     }
     texts = {"source_schema": contract.source_schema or "", "source_table": contract.source_name}
@@ -212,6 +224,36 @@ def read_contract_properties(
     return {row.key: row.value for row in mine.collect()}
 
 
+def check_loadable(spark: SparkSession, contract: TableContract, store: TableStore) -> None:
+    """Raises unless the table is there and has the contract's columns, in type and name.
+
+    Files appended in another type would make a file table unreadable; to a path without a table
+    they would make one that no catalogue knows.
+    """
+    target = contract.target_name
+    stored = find_table(spark, store, target)
+    if stored is None:
+        raise LookupError(f"table {target} was not found at {store.path(target)}; create it first")
+    declared = {folded(spark, f.name): f.dataType for f in contract.schema.fields}
+    actual = {folded(spark, f.name): f.dataType for f in stored.schema.fields}
+    found = [f"no column {name}" for name in declared if name not in actual]
+    found += [f"column {name} is not declared" for name in actual if name not in declared]
+    found += [
+        f"{name} is stored as {actual[name].simpleString()}, declared as {kind.simpleString()}"
+        for name, kind in declared.items()
+        if name in actual and actual[name] != kind
+    ]
+    if found:
+        raise SchemaMismatch(f"{target} cannot take rows: {'; '.join(found)}")
+
+
+def refresh(spark: SparkSession, store: TableStore, target: str) -> None:
+    """Lets later reads of this session, by path and by name, see new files."""
+    spark.catalog.refreshByPath(store.path(target))
+    if spark.catalog.tableExists(store.identifier(target)):
+        spark.catalog.refreshTable(store.identifier(target))
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """What a load saw: rows read, rows appended, and the failures of each rule."""
@@ -238,9 +280,12 @@ def load_table(
     Rows failing a rule of a kind in `set_aside` stay out of the table; other failures are
     only counted. All counts are taken by the write itself. The rows set aside are written
     to `set_aside_path` as they came in, with what is wrong with each; that second pass only
-    runs when there are any.
+    runs when there are any, and raises if it finds another number of them than the first. The table
+    must be there and have the contract's schema.
     """
+    spark, target = df.sparkSession, contract.target_name
     check_set_aside(set_aside, set_aside_path)
+    check_loadable(spark, contract, store)
     staged = stage(df, contract, fill_defaults)
     seen = Observation()
     counts = [F.expr(f"count_if({test.failure}) AS t{i}") for i, test in enumerate(staged.tests)]
@@ -254,7 +299,8 @@ def load_table(
         ),
     )
     fitting, _ = split_staged(observed, contract, set_aside)
-    fitting.write.format(store.provider).mode("append").save(store.path(contract.target_name))
+    fitting.write.format(store.provider).mode("append").save(store.path(target))
+    refresh(spark, store, target)
     got = seen.get
     failures = {
         (test.finding.kind, test.finding.label): got[f"t{i}"]
@@ -264,5 +310,12 @@ def load_table(
     result = LoadResult(got["n_read"], got["n_loaded"], failures)
     if result.rows_set_aside:
         _, rejected = split_staged(staged, contract, set_aside)
+        again = Observation()
+        rejected = rejected.observe(again, F.count(F.lit(1)).alias("n"))
         rejected.write.format(store.provider).mode("append").save(set_aside_path)
+        if again.get["n"] != result.rows_set_aside:
+            raise UnrepeatableInput(
+                f"{target}: {result.rows_set_aside} rows were set aside while loading and "
+                f"{again.get['n']} when they were read again to be stored at {set_aside_path}"
+            )
     return result

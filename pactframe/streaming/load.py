@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..model import TableContract
 from ..operators.conform import CAST, check_set_aside, split_staged, stage
-from ..sources.tables import TableStore
+from ..sources.tables import TableStore, check_loadable
 
 
 def start_load(
@@ -27,9 +27,10 @@ def start_load(
     trigger: dict | None = None,
 ) -> list[StreamingQuery]:
     """Start the queries that append `stream` to its table and the rows set aside to their
-    path. Each keeps its progress under `checkpoint_path`, so a restart neither loses nor
+    path. The table must be there and have the contract's schema. Each keeps its progress under `checkpoint_path`, so a restart neither loses nor
     repeats rows."""
     check_set_aside(set_aside, set_aside_path)
+    check_loadable(stream.sparkSession, contract, store)
     fitting, rejected = split_staged(stage(stream, contract, fill_defaults), contract, set_aside)
     outputs = {"load": (fitting, store.path(contract.target_name))}
     if set_aside:

@@ -89,8 +89,9 @@ def test_contract_derives_facts():
     )
     assert (contract.source_schema, contract.source_name) == ("OWN", "BIG TABLE")
     assert contract.target_name == "big_table"
-    assert contract.not_null_columns == ["a"]
-    assert contract.defaults == {"b": "'x'"}
+    assert contract.required == ("a",)
+    assert contract.fill_expression("a") is None
+    assert contract.fill_expression("b") == "'x'"
     assert contract.unknown_types == {"b": "ROWID"}
     assert contract.schema == T.StructType(
         [T.StructField("a", T.IntegerType(), False), T.StructField("b", T.StringType(), True)]

@@ -164,3 +164,35 @@ def test_stream_takes_the_same_path(spark, store, tmp_path):
     run_once()
     assert read_table(spark, store, "thing").count() == 3
     assert spark.read.parquet(aside).count() == 2
+
+
+def test_loads_that_would_spoil_a_table_are_refused(spark, tmp_path):
+    from pactframe import start_load
+    from pactframe.sources.tables import SchemaMismatch
+
+    store = TableStore(str(tmp_path / "t"), "parquet", "default")
+    contract = TableContract("SPOILT", (Column("V", "NUMBER(15,2)"),))
+    rows = spark.createDataFrame([(1.5,)], "V double")
+    with pytest.raises(LookupError):
+        load_table(rows, contract, store, set_aside=())
+    rows.write.parquet(store.path("spoilt"))
+    with pytest.raises(SchemaMismatch, match="stored as double"):
+        load_table(rows, contract, store, set_aside=())
+    with pytest.raises(SchemaMismatch):
+        start_load(rows, contract, store, str(tmp_path / "c"), set_aside=())
+    assert read_table(spark, store, "spoilt").count() == 1
+
+
+def test_an_input_that_changes_between_passes_is_noticed(spark, tmp_path):
+
+    from pactframe.sources.tables import UnrepeatableInput
+
+    store = TableStore(str(tmp_path / "t"), "parquet", "unrepeatable")
+    spark.sql("CREATE SCHEMA unrepeatable")
+    contract = TableContract("MOVING", (Column("V", "NUMBER(3)"),))
+    create_table(spark, store, contract)
+    now = "pmod(unix_micros(current_timestamp()), 5000)"  # another one for each job
+    moving = spark.range(5001).selectExpr(f"if(id <= {now}, 5000, 1) AS V")
+    with pytest.raises(UnrepeatableInput):
+        load_table(moving, contract, store, set_aside_path=str(tmp_path / "aside"))
+    spark.sql("DROP SCHEMA unrepeatable CASCADE")
