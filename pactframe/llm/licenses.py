@@ -131,15 +131,17 @@ def license_matches(
     def units(kind: str, parts: Column) -> Column:
         return F.transform(
             parts,
-            lambda body, k: F.struct(F.lit(kind).alias("unit"), k.alias("number"), F.trim(body).alias("body")),
+            lambda body, k: F.struct(F.lit(kind).alias("unit"), k.alias("number"), one_line(body).alias("body")),
         )
 
+    def one_line(body: Column) -> Column:
+        return F.trim(F.regexp_replace(body, "[ \n]+", " "))
+
     def several(kind: str, parts: Column) -> Column:
         return F.when(F.size(parts) > 1, units(kind, parts)).otherwise(F.slice(units(kind, parts), 1, 0))
 
-    whole = F.array(F.regexp_replace("body", "[ \n]+", " "))
     cut = F.concat(
-        units("text", whole),
+        units("text", F.array("body")),
         several("paragraph", F.split("body", "\n *\n")),
         several("line", F.split("body", "\n")),
     )

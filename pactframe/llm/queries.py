@@ -216,14 +216,14 @@ normal AS (
     SELECT doc_id, regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^a-z0-9\n]+', ' ', 'g') AS body
     FROM documents
 ), cut AS (
-    SELECT doc_id, 'text' AS unit, [regexp_replace(body, '[ \n]+', ' ', 'g')] AS parts FROM normal
+    SELECT doc_id, 'text' AS unit, [body] AS parts FROM normal
     UNION ALL SELECT doc_id, 'paragraph', regexp_split_to_array(body, '\n *\n') FROM normal
     UNION ALL SELECT doc_id, 'line', string_split(body, chr(10)) FROM normal
 ), units AS (
     SELECT doc_id, unit, unnest(range(len(parts))) AS number, unnest(parts) AS body FROM cut
     WHERE unit = 'text' OR len(parts) > 1
 ), worded AS (
-    SELECT doc_id, unit, number, string_split(trim(body), ' ') AS w FROM units
+    SELECT doc_id, unit, number, string_split(trim(regexp_replace(body, '[ \n]+', ' ', 'g')), ' ') AS w FROM units
 ), grams AS (
     SELECT doc_id, unit, number, len(w) - 1 AS held, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram
     FROM worded

@@ -71,11 +71,6 @@ def high_windows(text: str, window: int, bits: float, mixed: bool) -> Iterator[t
     counts: dict[str, int] = {}
     total, digits, letters, start, end = 0.0, 0, 0, -1, -1
     for place, new in enumerate(text):
-        n = counts.get(new, 0)
-        counts[new] = n + 1
-        total += cost[n + 1] - cost[n]
-        digits += new.isdigit()
-        letters += new.isalpha()
         if place >= window:
             old = text[place - window]
             n = counts[old]
@@ -83,6 +78,11 @@ def high_windows(text: str, window: int, bits: float, mixed: bool) -> Iterator[t
             total += cost[n - 1] - cost[n]
             digits -= old.isdigit()
             letters -= old.isalpha()
+        n = counts.get(new, 0)
+        counts[new] = n + 1
+        total += cost[n + 1] - cost[n]
+        digits += new.isdigit()
+        letters += new.isalpha()
         if place + 1 < window:
             continue
         entropy = math.log2(window) - total / window

@@ -1,0 +1,49 @@
+import hashlib
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from pactframe.llm.exact_dedup import exact_dedup
+
+from .conftest import ODD_ROWS
+
+
+def expected(rows):
+    groups = defaultdict(list)
+    for i, text in rows:
+        body = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        groups[body].append(i)
+    out = []
+    for i, text in rows:
+        body = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        ids = [x for x in groups[body] if x is not None]
+        keep = max(ids) if ids else None
+        out.append((i, keep, len(groups[body]), i == keep))
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted(((r["id"], r["keep_id"], r["group_size"], r["kept"]) for r in df.collect()), key=str)
+
+
+def test_groups_of_odd_rows(docs):
+    rows = [*ODD_ROWS, (20, "ABC É"), (21, "abc É"), (22, "abc é")]
+    assert found(exact_dedup(docs(rows))) == expected(rows)
+
+
+def test_texts_with_one_digest_stay_apart(docs):
+    rows = [(i, f"text {i % 5}") for i in range(40)] + [(99, None)]
+    weak = exact_dedup(docs(rows), digest=lambda text: F.substring(F.unhex(F.sha2(text, 256)), 1, 0))
+    assert found(weak) == expected(rows)
+
+
+def test_one_group_of_a_third(docs):
+    rows = [(i, "Hot" if i % 3 == 0 else f"own {i}") for i in range(600)]
+    result = exact_dedup(docs(rows), salts=7)
+    assert found(result) == expected(rows)
+    digest = {bytes(r["digest"]) for r in result.collect() if r["id"] == 0}
+    assert digest == {hashlib.sha256(b"hot").digest()}
+
+
+def test_empty_table(docs):
+    assert exact_dedup(docs([])).collect() == []

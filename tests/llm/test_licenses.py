@@ -1,0 +1,72 @@
+import re
+from collections import Counter
+
+from pactframe.llm import licenses as x
+
+from .conftest import ODD_ROWS
+
+
+def grams(text):
+    words = re.sub("[^a-z0-9]+", " ", "".join(c.lower() if c.isascii() else c for c in text)).split()
+    return Counter(zip(words, words[1:]))
+
+
+def brute(rows, templates, threshold):
+    out = []
+    for i, text in rows:
+        text = text or ""
+        lines = text.split("\n")
+        paragraphs = re.split(r"\n[^A-Za-z0-9\n]*\n", text)
+        units = [("text", 0, text)]
+        units += [("paragraph", k, p) for k, p in enumerate(paragraphs) if len(paragraphs) > 1]
+        units += [("line", k, p) for k, p in enumerate(lines) if len(lines) > 1]
+        hits = []
+        for unit, k, body in units:
+            a = grams(body)
+            for name, texts in templates.items():
+                dice = max((2 * (a & grams(t)).total() / max(1, a.total() + grams(t).total()) for t in texts), default=0)
+                if dice >= threshold:
+                    hits.append((unit, k, name, round(dice, 9)))
+        top = max((h[3] for h in hits), default=None)
+        best = min((h[2] for h in hits if h[3] == top), default=None)
+        out.append((i, best, top, sorted(hits)))
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted(
+        (
+            (r["id"], r["license"], r["dice"] and round(r["dice"], 9), [(m["unit"], m["number"], m["license"], round(m["dice"], 9)) for m in r["matches"]])
+            for r in df.collect()
+        ),
+        key=str,
+    )
+
+
+def test_against_all_templates(docs):
+    mit = x.TEMPLATES["MIT"][2]
+    rows = [
+        *ODD_ROWS,
+        (20, mit), (21, "prose first.\n\n" + mit.replace(". ", ".\n") + "\n \nprose last"),
+        (22, "Some line.\nLicensed under the Apache License, Version 2.0.\nOther."),
+        (23, "licensed under the apache license version 2"), (24, "Licensed under CC BY 4.0.\n*** \nLicensed under CC BY-NC 4.0."),
+        (25, "the the the the the the the the the"), (26, x.TEMPLATES["GPL-3.0"][1].upper() + " and more words here"),
+    ]
+    assert found(x.license_matches(docs(rows))) == brute(rows, x.TEMPLATES, x.THRESHOLD)
+
+
+def test_bounds_lose_nothing(docs):
+    templates = {"A": ["a b c d e f"], "B": ["a b a b a b a b", "q r"], "none": ["word"]}
+    rows = [(k, " ".join("abcdefabcdef"[:k])) for k in range(13)] + [(50, "a b " * 9), (51, "q r"), (52, "q r s"), (53, "word")]
+    for threshold in (0.5, 0.8, 1.0):
+        got = found(x.license_matches(docs(rows), templates=templates, threshold=threshold))
+        assert got == brute(rows, templates, threshold)
+
+
+def test_no_python_in_the_plan(docs):
+    plan = x.license_matches(docs(ODD_ROWS))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_empty_table(docs):
+    assert x.license_matches(docs([])).collect() == []
