@@ -12,31 +12,47 @@ from pyspark.sql import functions as F
 from pactframe.llm import queries as llm
 from pactframe.llm import secrets
 from pactframe.llm.common import table, written
-from pactframe.llm.exact_dedup import exact_dedup
+from pactframe.llm.exact_dedup import ascii_lower, exact_dedup, sha256
 from pactframe.llm.jaccard_join import jaccard_join
 from pactframe.llm.packing import pack
-from pactframe.llm.quality import quality_scores
+from pactframe.llm.quality import quality_filter
+from pactframe.scratch import checkpointed
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id is in `ids`, which holds each once."""
-    return docs.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").select(docs.columns)
+    """The rows of `docs` whose doc_id is in `ids`; a null id is one like any other."""
+    same = docs["doc_id"].eqNullSafe(ids["id"])
+    return docs.join(ids.select("id"), same, "left_semi").select(docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts."""
-    scores = quality_scores(docs, table(spark, sf_dir, "labels"))
-    return _only(docs, scores.where("predicted = 1"))
+    """Documents that the classifier accepts; all columns stay as they are."""
+    return quality_filter(docs, table(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return _only(docs, exact_dedup(docs).where("kept"))
+    """One document of each group of equal texts: that with the largest id.
+
+    Rows that repeat id and text become one. Rows without an id stay if no row with one has their text.
+    """
+    kept = checkpointed(exact_dedup(docs).where("kept").select("id", "digest"))
+    found = _only(docs, kept)
+    if kept.count() == kept.select("id").distinct().count():
+        return found
+    # Ids repeat: their rows are told apart by text, and copies of one row are merged.
+    return (
+        found.withColumn("_digest", sha256(ascii_lower(F.coalesce("text", F.lit("")))))
+        .join(kept.withColumnRenamed("digest", "_kept"),
+              F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_digest") == F.col("_kept")), "left_semi")
+        .dropDuplicates(["doc_id", "_digest"])
+        .select(docs.columns)
+    )
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-equal texts: the one that names the class."""
-    return _only(docs, jaccard_join(docs).where("id = class_id"))
+    """One document of each class of near-equal texts: the one that names the class. Rows without
+    an id are classes of their own."""
+    return _only(docs, jaccard_join(docs).where("id <=> class_id"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

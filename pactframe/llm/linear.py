@@ -256,3 +256,18 @@ def score(df: DataFrame, model: LinearModel | None, id_col: str = "doc_id", text
             yield batch_of(schema, batch.column(0), scores, [int(s >= 0.5) for s in scores])
 
     return rows.mapInArrow(run, ddl)
+
+
+def accepted(df: DataFrame, model: LinearModel | None, text_col: str = "text") -> DataFrame:
+    """The rows of `df` whose text scores 0.5 or more, with all their columns, in one pass."""
+    if model is None:
+        return df
+    place = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features(model.settings)
+        for batch in batches:
+            texts = [text or "" for text in batch.column(place).to_pylist()]
+            yield batch.filter(pa.array([s >= 0.5 for s in model.scores(texts, features)], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -30,3 +30,20 @@ def quality_scores(
     """
     sample = linear.training_sample(df, labels, id_col, text_col, label_id, label_col, learn, settings)
     return linear.score(df, linear.fit(sample, settings), id_col, text_col)
+
+
+def quality_filter(
+    df: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    *,
+    label_id: str = "doc_id",
+    label_col: str = "quality",
+    learn: Column | None = None,
+    settings: linear.ClassifierSettings = SETTINGS,
+) -> DataFrame:
+    """The rows of `df` that `quality_scores` predicts as 1, as they are; nothing is shuffled but the
+    sample. Rows with null ids are judged like any other."""
+    sample = linear.training_sample(df, labels, id_col, text_col, label_id, label_col, learn, settings)
+    return linear.accepted(df, linear.fit(sample, settings), text_col)

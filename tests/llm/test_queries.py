@@ -61,3 +61,40 @@ def test_run_equals_its_stages(session):
     pieces = ["doc_id", "piece", "start", "length", "ids_crc32"]
     run = corpus_pipeline.run(session, SMALL)
     assert sorted(map(tuple, run.select(pieces).collect())) == sorted(map(tuple, docs.select(pieces).collect()))
+
+
+def test_stages_on_odd_rows(session):
+    """Nulls in any column, empty and long texts, and repeated rows go through every stage."""
+    rows = [
+        (1, None, None, None, None), (2, "", "en", "s", 0), (None, "a row without an id", "en", "s", 19),
+        (None, "a row without an id", "en", "s", 19), (None, None, None, None, None),
+        (3, "The same text twice over.", "en", "s", 25), (3, "The same text twice over.", "en", "s", 25),
+        (4, "the SAME text twice over.", "en", None, 25), (3, "another text with the id three", "en", "s", None),
+        (5, "word " * 40_000, "en", "s", 200_000), (6, "token = 11acdfb36bb72224148e6160f674b4be45601bff", "en", "s", 48),
+    ]
+    schema = session.read.parquet(f"{SMALL}/documents.parquet").schema
+    docs = session.createDataFrame(rows, schema)
+    kept = corpus_pipeline.quality(session, docs, SMALL)
+    assert kept.schema.names == schema.names and kept.count() <= len(rows)
+    once = corpus_pipeline.exact(session, docs, SMALL)
+    found = sorted(((r["doc_id"], r["text"]) for r in once.collect()), key=str)
+    assert found == sorted(
+        [
+            (2, ""), (None, "a row without an id"), (4, "the SAME text twice over."),
+            (3, "another text with the id three"), (5, "word " * 40_000), (6, rows[-1][1]),
+        ],
+        key=str,
+    )
+    apart = corpus_pipeline.near(session, once, SMALL)
+    assert apart.count() == len(found)
+    masked = corpus_pipeline.mask_secrets(session, apart, SMALL)
+    assert "[SECRET]" in {r["text"] for r in masked.collect()}
+    pieces = corpus_pipeline.sequences(session, masked, SMALL)
+    assert pieces.select("doc_id").distinct().count() == len(found)
+
+
+def test_stages_on_an_empty_table(session):
+    docs = session.read.parquet(f"{SMALL}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(session, docs, SMALL), "stage-test")
+        assert docs.count() == 0
