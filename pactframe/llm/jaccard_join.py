@@ -39,7 +39,7 @@ class JoinSettings:
 
     n: int = 5
     threshold: float = 0.8
-    tolerance: float = 1e-6
+    tolerance: float = 1e-7
     bands: int = 32
     rows: int = 5
     step: int = 16
