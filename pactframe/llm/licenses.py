@@ -158,10 +158,11 @@ def license_matches(
         lambda a, b: F.concat(a, F.lit(" "), b),
     )
     exploded = sized.where(fits | (F.col("unit") == "text")).select(
-        "row", "id", "unit", "number", "held", F.explode_outer(F.when(fits, grams)).alias("gram")
+        "row", "id", "unit", "number", "held", F.posexplode_outer(F.when(fits, grams)).alias("place", "gram")
     )
+    # Only matches are shuffled, and one bigram of each text.
     met = exploded.join(F.broadcast(known), "gram", "left").where(
-        "unit = 'text' OR held BETWEEN low AND high"
+        "held BETWEEN low AND high OR (unit = 'text' AND coalesce(place, 0) = 0)"
     )
     unit = ["row", "id", "unit", "number", "held"]
     template = ["license", "template", "size", "low", "high"]
