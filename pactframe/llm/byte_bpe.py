@@ -23,7 +23,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task pe
 
 # Fixed value: how text is cut before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WORDS_KEPT = 200_000  # distinct words a worker remembers
+WORDS_KEPT = 400_000  # distinct words a worker remembers, and as many older ones
 LONG_WORD = 64
 
 
@@ -40,6 +40,11 @@ def load_json(path: str):
     return Tokenizer.from_file(path)
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+
 def load_ranks(path: str):
     """A tokenizer that merges as tiktoken does with the ranks in `path`.
 
@@ -49,9 +54,7 @@ def load_ranks(path: str):
     """
     from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    table = byte_characters()
+    ranks, table = read_ranks(path), byte_characters()
     shown = {token: "".join(table[b] for b in token) for token in ranks}
     merges = []
     for token in sorted(ranks, key=ranks.get):
@@ -76,15 +79,21 @@ class PieceEncoder:
 
     A single space between two characters that are no white space always starts a new match of
     the pattern, so a text may be cut there without changing any id. Each distinct word goes
-    through the tokenizer once; its ids are kept packed, as little-endian 32-bit numbers.
+    through the tokenizer once while it is remembered; many new words go in one call, joined as
+    they would stand in a text, and their ids are parted again by the bytes of the tokens. Ids are
+    kept packed, as little-endian 32-bit numbers.
     """
 
     _shared: dict = {}
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        self.lengths = np.array([len(token) for token in token_bytes(tokenizer)], np.int64)
+        # Keys are words after a space, without it; what starts a text is kept apart.
         self.words: dict[str, bytes] = {}
-        self.uneven = re.compile(r"\s | \s|^ | $")
+        self.older: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}
+        self.other_space = re.compile(r"[^\S \n]")
         self.cut = re.compile(r"(?<=\S) (?=\S)").split
 
     @classmethod
@@ -95,28 +104,64 @@ class PieceEncoder:
             cls._shared[key] = cls(load(path))
         return cls._shared[key]
 
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(got.ids, "<u4").tobytes() for got in encoded]
+
     def _learn(self, words: list[str]) -> None:
-        for low, high in slices(words, 200_000):
-            encoded = self.tokenizer.encode_batch_fast(words[low:high], add_special_tokens=False)
-            for word, got in zip(words[low:high], encoded, strict=True):
-                self.words[word] = np.array(got.ids, "<u4").tobytes()
+        # What ends in white space would take in the next word's space.
+        alone = [word for word in words if word[-1].isspace()]
+        for word, packed in zip(alone, self._ids([" " + word for word in alone]), strict=True):
+            self.words[word] = packed
+        joined = [word for word in words if not word[-1].isspace()]
+        for low, high in slices(joined, 100_000):
+            part = joined[low:high]
+            packed = self._ids([" " + " ".join(part)])[0]
+            ends = np.cumsum(self.lengths[np.frombuffer(packed, "<u4")])
+            bounds = np.cumsum([1 + len(word.encode("utf-8", "surrogatepass")) for word in part])
+            places = 4 * (np.searchsorted(ends, bounds) + 1)
+            start = 0
+            for word, end in zip(part, places.tolist(), strict=True):
+                self.words[word] = packed[start:end]
+                start = end
+
+    def _cut(self, text: str) -> list[str]:
+        if "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " ":
+            return self.cut(text)
+        return self.cut(text) if self.other_space.search(text) else text.split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
-        cut = []
-        for text in texts:
-            words = self.cut(text) if self.uneven.search(text) else text.split(" ")
-            cut.append([words[0], *[" " + word for word in words[1:]]])
-        known = self.words
-        new = {word for words in cut for word in words if word not in known}
-        self._learn(list(new))
-        packed = [b"".join([known[word] for word in words]) for words in cut]
+        if len(self.words) > WORDS_KEPT:  # words in use come back from the older ones
+            self.older, self.words = self.words, {}
+        if len(self.starts) > WORDS_KEPT:
+            self.starts.clear()
+        cut = [self._cut(text) for text in texts]
+        first = list({words[0] for words in cut if words[0] not in self.starts})
+        self.starts.update(zip(first, self._ids(first), strict=True))
+        get = self.words.get
+        found = [list(map(get, words[1:])) for words in cut]
+        gaps, new = [], set()
+        for words, packed in zip(cut, found, strict=True):
+            gaps.append([place for place, got in enumerate(packed) if got is None] if None in packed else ())
+            new.update([words[place + 1] for place in gaps[-1]])
+        for word in new & self.older.keys():
+            self.words[word] = self.older[word]
+            new.discard(word)
+        if new:
+            self._learn(list(new))
+        out = []
+        for words, packed, places in zip(cut, found, gaps, strict=True):
+            for place in places:
+                packed[place] = self.words[words[place + 1]]
+            out.append(self.starts[words[0]] + b"".join(packed))
+        for word in first:
+            if len(word) > LONG_WORD:
+                del self.starts[word]
         for word in new:
             if len(word) > LONG_WORD:
-                del known[word]
-        return packed
+                del self.words[word]
+        return out
 
 
 def _byte_places(text: str) -> np.ndarray:
