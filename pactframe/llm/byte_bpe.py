@@ -23,7 +23,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task pe
 
 # Fixed value: how text is cut before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WORDS_KEPT = 400_000  # distinct words a worker remembers, and as many older ones
+WORDS_KEPT = 300_000  # distinct words a worker remembers, and as many older ones
 LONG_WORD = 64
 
 
@@ -181,6 +181,17 @@ def token_bytes(tokenizer) -> list[bytes]:
     return table
 
 
+def read_table(path: str, load: Callable) -> list[bytes]:
+    """The bytes of each id of a vocabulary file; a file of ranks needs no tokenizer for it."""
+    if load is not load_ranks:
+        return token_bytes(load(path))
+    ranks = read_ranks(path)
+    table = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table
+
+
 def offsets_of(text: str, ids: list[int], table: list[bytes]) -> list[tuple[int, int, int, int]]:
     """Per token: first byte, end byte, first character and end character it touches.
 
@@ -242,7 +253,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids_packed", *, load:
     place = df.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_bytes(PieceEncoder.shared(vocabulary, load).tokenizer)
+        table = read_table(vocabulary, load)
         for batch in batches:
             decoded = [
                 None if packed is None else b"".join([table[i] for i in np.frombuffer(packed, "<u4").tolist()])

@@ -96,3 +96,9 @@ def test_query_on_the_table(session, tik):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
+
+
+def test_tables_with_and_without_a_tokenizer_agree():
+    assert b.read_table(RANKS, b.load_ranks) == b.token_bytes(b.load_ranks(RANKS))
+    table = b.read_table(public_tokenizers.path("byte_bpe_50k.json"), b.load_json)
+    assert table[:50_256] == b.read_table(RANKS, b.load_ranks) and table[50_256] == b"<|endoftext|>"
