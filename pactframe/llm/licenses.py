@@ -4,6 +4,9 @@ Everything is built-in expressions. The whole text, its paragraphs and its lines
 whose number of bigrams lies outside a template's bounds cannot reach the threshold and is pruned
 before any bigram is compared. Bigrams of the rest meet the templates' in a broadcast join: the
 templates are a fixed list, so its size is known.
+
+`license_windows` finds notices that are no unit of their own: runs of consecutive words, wherever they
+begin and end.
 """
 
 from __future__ import annotations
@@ -186,3 +189,120 @@ def license_matches(
         F.transform(F.filter("matches", lambda m: m["dice"] == F.col("dice")), lambda m: m["license"])
     )
     return found.select("id", top.alias("license"), "dice", F.size("matches").alias("n_matches"), "matches")
+
+
+def license_windows(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    *,
+    templates: dict[str, list[str]] | None = None,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """`id, license, dice, n_windows, windows` for every row of `df`.
+
+    A window is a run of words of the text, over line ends, blank lines and marks alike. `windows` has
+    `start` (words before it), `words`, `license` and `dice` of every window at or above the threshold that
+    no better one of its licence overlaps: the highest coefficient is taken first, then the window that
+    begins first, then the shorter one. `license` and `dice` are the best as in `license_matches`, and so are null
+    and repeated rows.
+
+    Bigrams that a template has are dealt into bands as long as the template's upper bound; each goes to
+    its own band and the one before, so that a window lies whole in the band it begins in.
+    """
+    templates = TEMPLATES if templates is None else templates
+    known = template_rows(df.sparkSession, templates, threshold)
+    lower = F.translate(F.col("text"), ascii_uppercase, ascii_lowercase)
+    rows = id_and_text(df, id_col, text_col).select(
+        F.monotonically_increasing_id().alias("row"),
+        "id",
+        F.split(F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " ")), " ").alias("words"),
+    )
+    held = F.size("words") - 1
+    grams = F.zip_with(
+        F.slice("words", F.lit(1), held), F.slice("words", F.lit(2), held), lambda a, b: F.concat(a, F.lit(" "), b)
+    )
+    met = (
+        rows.select("row", "id", F.posexplode_outer(grams).alias("place", "gram"))
+        .join(F.broadcast(known), "gram", "left")
+        .where("license IS NOT NULL OR coalesce(place, 0) = 0")
+    )
+    # The band -1 keeps rows without a window.
+    bands = F.expr(
+        """concat(
+            if(license IS NULL, slice(array(0), 1, 0), array(cast(place DIV high AS int))),
+            if(license IS NULL OR place < high, slice(array(0), 1, 0), array(cast(place DIV high AS int) - 1)),
+            if(coalesce(place, 0) = 0, array(-1), slice(array(0), 1, 0))
+        )"""
+    )
+    template = ["row", "id", "license", "template", "size", "low", "high", "band"]
+    places = met.select("*", F.explode(bands).alias("band")).groupBy(*template, "gram", "times").agg(
+        F.sort_array(F.collect_list("place")).alias("places")
+    )
+    # A bigram counts in a window if the one `times` before it lies outside.
+    counted = F.transform(
+        "places",
+        lambda p, k: F.struct(
+            p.alias("place"),
+            F.when(k >= F.col("times"), F.get("places", k - F.col("times"))).otherwise(-1).alias("before"),
+        ),
+    )
+    hits = (
+        places.groupBy(*template)
+        .agg(
+            F.sum(F.least(F.size("places"), F.col("times"))).alias("common"),
+            F.sort_array(F.flatten(F.collect_list(counted))).alias("hits"),
+        )
+        .where("band = -1 OR common >= low")
+    )
+
+    def best_from(a: Column) -> Column:
+        reached = F.filter(
+            "hits",
+            lambda e: (e["place"] >= a["place"]) & (e["place"] < a["place"] + F.col("high")) & (e["before"] < a["place"]),
+        )
+        return F.array_max(
+            F.transform(
+                reached,
+                lambda e, k: F.struct(
+                    (2.0 * (k + 1) / (e["place"] - a["place"] + 1 + F.col("size"))).alias("dice"),
+                    (-a["place"]).alias("first"),
+                    (-e["place"]).alias("last"),
+                ),
+            )
+        )
+
+    begins = F.filter("hits", lambda a: F.floor(a["place"] / F.col("high")) == F.col("band"))
+    reaching = F.filter(F.transform(begins, best_from), lambda w: w["dice"] >= threshold)
+    kind = "array<struct<dice:double,first:int,last:int>>"
+    per_license = (
+        hits.select("row", "id", "license", reaching.cast(kind).alias("found"))
+        .groupBy("row", "id", "license")
+        .agg(F.sort_array(F.flatten(F.collect_list("found")), asc=False).alias("found"))
+    )
+    apart = F.aggregate(
+        "found",
+        F.array().cast(kind),
+        lambda kept, w: F.when(
+            F.exists(kept, lambda x: (x["first"] >= w["last"]) & (x["last"] <= w["first"])), kept
+        ).otherwise(F.concat(kept, F.array(w))),
+    )
+    windows = F.transform(
+        apart,
+        lambda w: F.struct(
+            (-w["first"]).alias("start"),
+            (w["first"] - w["last"] + 2).alias("words"),
+            F.col("license"),
+            w["dice"].alias("dice"),
+        ),
+    )
+    out = (
+        per_license.select("row", "id", windows.alias("windows"))
+        .groupBy("row", "id")
+        .agg(F.sort_array(F.flatten(F.collect_list("windows"))).alias("windows"))
+    )
+    dice = F.array_max(F.transform("windows", lambda w: w["dice"]))
+    top = F.array_min(F.transform(F.filter("windows", lambda w: w["dice"] == F.col("dice")), lambda w: w["license"]))
+    return out.withColumn("dice", dice).select(
+        "id", top.alias("license"), "dice", F.size("windows").alias("n_windows"), "windows"
+    )

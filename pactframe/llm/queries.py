@@ -115,6 +115,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices anywhere in a text; `op10_licenses` has the units that its SQL has."""
+    found = licenses.license_windows(table(spark, sf_dir, "documents"))
+    windows = F.array_join(
+        F.transform(
+            "windows",
+            lambda w: F.concat_ws(":", w["start"].cast("string"), w["words"].cast("string"), w["license"]),
+        ),
+        ",",
+    )
+    return found.select(
+        F.col("id").alias("doc_id"), "license", F.round("dice", 6).alias("dice"), "n_windows", windows.alias("windows")
+    )
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -136,6 +151,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_packing": op9_packing,
         "op10_licenses": op10_licenses,
+        "op10_license_windows": op10_license_windows,
         "pipeline": corpus_pipeline.run,
     }
     return {name: shipped(query) for name, query in found.items()}

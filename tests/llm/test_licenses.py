@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -70,3 +71,73 @@ def test_no_python_in_the_plan(docs):
 
 def test_empty_table(docs):
     assert x.license_matches(docs([])).collect() == []
+
+
+def windows_brute(rows, templates, threshold):
+    out = []
+    for i, text in rows:
+        words = re.sub("[^a-z0-9]+", " ", "".join(c.lower() if c.isascii() else c for c in text or "")).split()
+        runs = list(zip(words, words[1:]))
+        hits = []
+        for name, texts in templates.items():
+            found = []
+            for own in (grams(t) for t in texts):
+                size = own.total()
+                for first in range(len(runs)):
+                    for last in range(first, min(len(runs), first + int(size * (2 - threshold) / threshold + 1e-9))):
+                        if runs[first] in own and runs[last] in own:
+                            dice = 2 * (Counter(runs[first : last + 1]) & own).total() / (last - first + 1 + size)
+                            if dice >= threshold:
+                                found.append((-dice, first, last))
+            kept = []
+            for dice, first, last in sorted(found):
+                if not any(f <= last and first <= e for _, f, e in kept):
+                    kept.append((dice, first, last))
+            hits += [(f, e - f + 2, name, round(-dice, 9)) for dice, f, e in kept]
+        top = max((h[3] for h in hits), default=None)
+        out.append((i, min((h[2] for h in hits if h[3] == top), default=None), top, sorted(hits)))
+    return sorted(out, key=str)
+
+
+def windows_found(df):
+    return sorted(
+        (
+            (r["id"], r["license"], r["dice"] and round(r["dice"], 9), [(w["start"], w["words"], w["license"], round(w["dice"], 9)) for w in r["windows"]])
+            for r in df.collect()
+        ),
+        key=str,
+    )
+
+
+def test_notices_inside_prose_and_over_lines(docs):
+    mit, apache = x.TEMPLATES["MIT"][2], x.TEMPLATES["Apache-2.0-notice"][0]
+    published = mit.replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+    header = "#!/bin/sh\n# " + re.sub(r"((?:\S+ ){9})", r"\1\n# ", apache) + "\nset -e\nmake all"
+    rows = [
+        (1, "# Tool\n\nWhat it does.\n\nCopyright 2020 Someone\n\n" + published + "\n\nOther words follow here."),
+        (2, "Words first. This project is licensed under the MIT License. Then other words."), (3, header),
+        (4, "prose " * 50 + x.TEMPLATES["GPL-3.0"][1] + " prose" * 50 + " licensed under CC BY 4.0 and more"),
+        (5, "Licensed under the MIT License. " * 3), (6, "nothing of the kind"), (7, None), (7, ""), (None, "one"),
+        (8, "licensed words"),
+    ]
+    got = windows_found(x.license_windows(docs(rows)))
+    assert got == windows_brute(rows, x.TEMPLATES, x.THRESHOLD)
+    best = {i: name for i, name, _, _ in got if i is not None and i < 6}
+    assert [best[1], best[2], best[4], best[5]] == ["MIT", "MIT", "CC-BY-4.0", "MIT"]
+    assert "Apache-2.0-notice" in {w[2] for i, _, _, ws in got if i == 3 for w in ws}
+
+
+def test_windows_against_all_windows(docs):
+    source = random.Random(5)
+    templates = {"A": ["a b a b c", "c c c c"], "B": ["b c d a b c d"], "none": ["word"]}
+    rows = [(k, " ".join(source.choice("abcd") for _ in range(k % 60))) for k in range(150)]
+    for threshold in (0.6, 0.8, 1.0):
+        got = windows_found(x.license_windows(docs(rows), templates=templates, threshold=threshold))
+        assert got == windows_brute(rows, templates, threshold)
+
+
+def test_windows_without_python(docs):
+    plan = x.license_windows(docs(ODD_ROWS))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
+    assert x.license_windows(docs([])).collect() == []
+    assert len(x.license_windows(docs(ODD_ROWS)).collect()) == len(ODD_ROWS)
