@@ -5,9 +5,11 @@
    Large cells are split at random into shards of bounded size.
 3. Each shard gets a graph of robust-pruned neighbour lists. The lists of a vector from all
    its shards are united.
-4. In each shard every vector of the cell searches greedily from the shard's medoid, with a beam; from
-   then on everything in range is expanded until nothing new is in range.
-5. What is found is verified by cosine in double precision. Recall is audited against brute force
+4. Each two shards of a cell are a group, of bounded size. In it the vectors of each shard search greedily
+   from the other's medoid, with a beam; from then on everything in range is expanded until nothing new is
+   in range. The graph of a shard has only those edges of the united lists that stay in it.
+5. If anything is found in a group, its shards are compared in full by cosine in double precision. A link
+   counts in the first cell that both vectors share; numbers of links and roots leave the group, not pairs. Recall is audited against brute force
    for a sample of queries over all rows; below the target the search is run again, wider.
 """
 
@@ -207,39 +209,97 @@ def range_search(
 
 
 def _assigned(reps: DataFrame, centroids: np.ndarray, splits: np.ndarray | None, overlap: int) -> DataFrame:
-    """Rows of `reps` in each of their cells. With `splits` (shards per cell) each row is sent to
-    every shard of a cell: as a `member` of one, and as a query to all."""
+    """Rows of `reps` in each of their cells. With `splits` (shards per cell) each row is a member of
+    one `shard` of a cell and is sent to the groups of this shard with each of the cell's shards: a group
+    (cell, low, high) holds two shards, or one if they are equal. `cells` are all of the row's, in order."""
     schema = pa.schema(
-        [("cell", pa.int32()), ("shard", pa.int32()), ("member", pa.bool_()), ("rep", pa.int64()), ("size", pa.int64()), ("unit", pa.binary())]
-    )
+        [
+            *((name, pa.int32()) for name in ("cell", "low", "high", "shard")),
+            ("cells", pa.list_(pa.int32())), ("rep", pa.int64()), ("size", pa.int64()), ("unit", pa.binary()),
+        ]
+    )
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = batch.column("unit").to_pylist()
             similar = matrix_of(packed, centroids.shape[1]) @ centroids.T
             k = min(overlap, len(centroids))
-            cells = np.argsort(-similar, axis=1, kind="stable")[:, :k]
+            cells = np.sort(np.argsort(-similar, axis=1, kind="stable")[:, :k], axis=1)
             out = []
             for row, (rep, size) in enumerate(
                 zip(batch.column("rep").to_pylist(), batch.column("size").to_pylist(), strict=True)
             ):
-                for cell in cells[row].tolist():
+                own_cells = cells[row].tolist()
+                for cell in own_cells:
                     if splits is None:
-                        out.append((cell, 0, True, rep, size, b""))
+                        out.append((cell, 0, 0, 0, [], rep, size, b""))
                         continue
                     own = (rep * 0x9E3779B97F4A7C15 >> 20) % int(splits[cell])
-                    out += [(cell, s, s == own, rep, size, packed[row]) for s in range(int(splits[cell]))]
-            yield batch_of(schema, *(zip(*out, strict=True) if out else [[]] * 6))
+                    for other in range(int(splits[cell])):
+                        out.append((cell, min(own, other), max(own, other), own, own_cells, rep, size, packed[row]))
+                        if len(out) >= 20_000:
+                            yield batch_of(schema, *zip(*out, strict=True))
+                            out = []
+            if out:
+                yield batch_of(schema, *zip(*out, strict=True))
 
     return reps.mapInArrow(
-        assign, "cell int, shard int, member boolean, rep long, size long, unit binary"
+        assign, "cell int, low int, high int, shard int, cells array<int>, rep long, size long, unit binary"
     )
 
 
+def shares_before(cell: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of rows of `a` and `b` (the cells of each vector) share a cell before this one."""
+    out = np.zeros((len(a), len(b)), bool)
+    for x in a.T:
+        for y in b.T:
+            out |= (x[:, None] == y[None, :]) & (x < cell)[:, None]
+    return out
+
+
+def linked_in_group(
+    found: np.ndarray, q: np.ndarray, m: np.ndarray, units: np.ndarray, size: np.ndarray, cells: np.ndarray, cell: int,
+    settings: GraphSettings,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`root, near, pairs` of all rows of a group whose two shards are the rows `q` and `m`: the least row
+    joined with each by links, the number of rows behind its links and that of its links. A link is
+    counted in the first cell that both vectors share. `found` says for which pairs the search found a link;
+    if it found any, the two shards are compared in full. Work space is bounded."""
+    count = len(units)
+    root, near, pairs = np.arange(count), np.zeros(count, np.int64), np.zeros(count, np.int64)
+    if not found.any():
+        return root, near, pairs
+    same = len(q) == len(m) and (q == m).all()
+    step = max(1, 1_000_000 // len(m))
+    parts = [slice(low, low + step) for low in range(0, len(q), step)]
+    for part in parts:
+        found[part] = units[q[part]] @ units[m].T >= settings.threshold - settings.least
+    if same:
+        found &= found.T
+        np.fill_diagonal(found, False)
+    parts = [part for part in parts if found[part].any()]
+    for part in parts:
+        new = found[part] & ~shares_before(cell, cells[q[part]], cells[m])
+        near[q[part]] += np.where(new, size[m][None, :], 0).sum(axis=1)
+        pairs[q[part]] += new.sum(axis=1)
+        if not same:
+            near[m] += np.where(new, size[q[part]][:, None], 0).sum(axis=0)
+            pairs[m] += new.sum(axis=0)
+    while True:
+        before = root.copy()
+        for part in parts:
+            own = q[part]
+            root[own] = np.minimum(root[own], np.where(found[part], root[m][None, :], count).min(axis=1))
+            root[m] = np.minimum(root[m], np.where(found[part], root[own][:, None], count).min(axis=0))
+        root = root[root]
+        if (root == before).all():
+            return root, near, pairs
+
+
 def _searched(placed: DataFrame, width: int, settings: GraphSettings) -> DataFrame:
-    """`rep, root, linked` found in each shard: verified links both ways, and the least vector
-    joined with each over them."""
-    keys = ["cell", "shard"]
+    """`rep, root, near, pairs` found in each group of two shards: the least vector joined with each over
+    verified links, the number of rows behind the links that are counted here, and that of the links."""
+    keys = ["cell", "low", "high"]
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("rep", ignore_index=True)
@@ -247,7 +307,7 @@ def _searched(placed: DataFrame, width: int, settings: GraphSettings) -> DataFra
         reps = frame["rep"].to_numpy()
         return pd.DataFrame({"rep": reps, "around": [reps[x] for x in lists]})
 
-    members = placed.where("member")
+    members = placed.where("low = high")
     built = members.groupBy(*keys).applyInPandas(build, "rep long, around array<long>")
     united = built.groupBy("rep").agg(
         F.array_distinct(F.flatten(F.collect_list("around"))).alias("around")
@@ -257,83 +317,70 @@ def _searched(placed: DataFrame, width: int, settings: GraphSettings) -> DataFra
         frame = frame.sort_values("rep", ignore_index=True)
         units = matrix_of(frame["unit"].tolist(), width)
         short = units.astype(np.float32)
-        reps, size = frame["rep"].to_numpy(), frame["size"].to_numpy()
-        inside = np.flatnonzero(frame["member"].to_numpy())
-        ours = reps[inside]
-        lists = []
-        for k in inside.tolist():
-            around = np.asarray(frame["around"].iloc[k], np.int64)
-            at = np.minimum(np.searchsorted(ours, around), len(ours) - 1)
-            lists.append(at[ours[at] == around])
-        found_q, found_v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        if len(ours):
+        reps, size, shard = (frame[name].to_numpy() for name in ("rep", "size", "shard"))
+
+        def hits(inside: np.ndarray, asked: np.ndarray) -> np.ndarray:
+            """For which vectors `asked` (rows) and members `inside` (columns) a link is found."""
+            out = np.zeros((len(asked), len(inside)), bool)
+            if not len(inside):
+                return out
+            ours, lists = reps[inside], []
+            for k in inside.tolist():
+                around = np.asarray(frame["around"].iloc[k], np.int64)
+                at = np.minimum(np.searchsorted(ours, around), len(ours) - 1)
+                lists.append(at[ours[at] == around])
             graph, nodes = padded(lists), np.ascontiguousarray(short[inside])
             medoid = int((nodes @ nodes.mean(axis=0)).argmax())
             block = max(32, 1_000_000 // len(ours))
-            for low in range(0, len(frame), block):
-                q, v = range_search(short[low : low + block], nodes, graph, medoid, settings)
-                found_q.append(q + low)
-                found_v.append(inside[v])
-        a, b = np.concatenate(found_q), np.concatenate(found_v)
-        a, b = a[a != b], b[a != b]
-        exact = np.zeros(len(a))
-        for low in range(0, len(a), 100_000):
-            part = slice(low, low + 100_000)
-            exact[part] = np.einsum("ij,ij->i", units[a[part]], units[b[part]])
-        a, b = a[exact >= settings.threshold - settings.least], b[exact >= settings.threshold - settings.least]
-        both = np.unique(np.concatenate([a * len(frame) + b, b * len(frame) + a]))
-        a, b = both // max(len(frame), 1), both % max(len(frame), 1)
-        root = np.arange(len(frame))
-        while True:
-            before = root.copy()
-            np.minimum.at(root, a, root[b])
-            root = root[root]
-            if (root == before).all():
-                break
-        begins = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, np.int64)
-        ends = np.r_[begins[1:], len(a)] if len(a) else begins
-        spans = list(zip(begins.tolist(), ends.tolist(), strict=True))
-        owner = a[begins]
-        return pd.DataFrame(
-            {
-                "rep": reps[owner],
-                "root": reps[root[owner]],
-                "others": pd.Series([reps[b[s:e]] for s, e in spans], dtype=object),
-                "sizes": pd.Series([size[b[s:e]] for s, e in spans], dtype=object),
-            }
+            for low in range(0, len(asked), block):
+                q, v = range_search(short[asked[low : low + block]], nodes, graph, medoid, settings)
+                out[q + low, v] = True
+            return out
+
+        low, high = (np.flatnonzero(shard == frame[name].iloc[0]) for name in ("low", "high"))
+        found = hits(low, high)
+        if frame["low"].iloc[0] == frame["high"].iloc[0]:
+            found |= found.T
+            np.fill_diagonal(found, False)
+        else:
+            found |= hits(high, low).T
+        cells = np.array(frame["cells"].tolist(), np.int64)
+        root, near, pairs = linked_in_group(
+            found, high, low, units, size, cells, int(frame["cell"].iloc[0]), settings
         )
+        told = np.flatnonzero((pairs > 0) | (root < np.arange(len(root))))
+        return pd.DataFrame({"rep": reps[told], "root": reps[root[told]], "near": near[told], "pairs": pairs[told]})
 
     rows = placed.join(united, "rep", "left")
-    found = rows.groupBy(*keys).applyInPandas(
-        search, "rep long, root long, others array<long>, sizes array<long>"
-    )
-    return found.select("rep", "root", F.arrays_zip("others", "sizes").alias("linked"))
+    return rows.groupBy(*keys).applyInPandas(search, "rep long, root long, near long, pairs long")
 
 
 def audited_recall(reps: DataFrame, links: DataFrame, width: int, settings: GraphSettings) -> float:
     """Share of the true links of `settings.audit` queries, chosen by a hash of their id, that
-    `links` has. The queries, a bounded number, are compared with all rows in blocks."""
+    `links` has: `rep` with the number of its `pairs`, or with its partners, `linked`. What it has is verified, so
+    numbers are compared. The queries, a bounded number, are compared with all rows in blocks."""
     queries = reps.orderBy(F.xxhash64("rep"), "rep").limit(settings.audit).select("rep", "unit").collect()
     if not queries:
         return 1.0
     names = np.array([q["rep"] for q in queries])
     matrix = matrix_of([bytes(q["unit"]) for q in queries], width)
-    schema = pa.schema([("rep", pa.int64()), ("other", pa.int64())])
+    schema = pa.schema([("rep", pa.int64()), ("true", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             others = batch.column("rep").to_numpy()
             similar = matrix @ matrix_of(batch.column("unit").to_pylist(), width).T
-            q, v = np.nonzero(similar >= settings.threshold)
-            apart = names[q] != others[v]
-            yield batch_of(schema, names[q][apart], others[v][apart])
+            near = (similar >= settings.threshold) & (names[:, None] != others[None, :])
+            yield batch_of(schema, names, near.sum(axis=1))
 
-    true = reps.select("rep", "unit").mapInArrow(compare, "rep long, other long")
+    true = reps.select("rep", "unit").mapInArrow(compare, "rep long, true long").groupBy("rep").agg(F.sum("true").alias("true"))
     asked = F.broadcast(reps.sparkSession.createDataFrame([(int(n),) for n in names], "rep long"))
-    got = links.join(asked, "rep").select("rep", F.explode("linked.others").alias("other"))
-    missed = true.join(got, ["rep", "other"], "left_anti").count()
-    total = true.count()
-    return 1.0 if not total else 1.0 - missed / total
+    pairs = F.size("linked") if "linked" in links.columns else F.col("pairs")
+    got = links.join(asked, "rep").groupBy("rep").agg(F.sum(pairs).alias("got"))
+    both = true.join(got, "rep", "left").agg(
+        F.sum("true").alias("total"), F.sum(F.least("true", F.coalesce("got", F.lit(0)))).alias("had")
+    ).first()
+    return both["had"] / both["total"] if both["total"] else 1.0
 
 
 def near_vectors(
@@ -371,17 +418,13 @@ def near_vectors(
             splits[row["cell"]] = -(-row["count"] // (2 * settings.shard_rows))
         placed = written(_assigned(reps, centroids, splits, settings.overlap), "placed")
         found = written(_searched(placed, width, settings), "links")
-        links = found.groupBy("rep").agg(
-            F.array_distinct(F.flatten(F.collect_list("linked"))).alias("linked")
-        )
+        links = found.groupBy("rep").agg(F.sum("near").alias("near"), F.sum("pairs").alias("pairs"))
         if attempt + 1 == settings.attempts or audited_recall(reps, links, width, settings) >= settings.recall:
             break
         settings = replace(
             settings, beam=2 * settings.beam, overlap=settings.overlap + 1, degree=settings.degree + 8
         )
-    counted = links.select(
-        "rep", F.aggregate("linked", F.lit(0).cast("long"), lambda n, x: n + x["sizes"]).alias("near")
-    )
+    counted = links.select("rep", "near")
     joined = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     named = (
         reps.join(counted, "rep", "left")

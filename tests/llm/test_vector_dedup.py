@@ -95,3 +95,27 @@ def test_audit_sees_what_is_missing(session, drop):
     linked = [(i, [] if drop else [(i // 5 * 5 + k, 1) for k in range(5) if i // 5 * 5 + k != i]) for i, _ in rows]
     links = session.createDataFrame(linked, "rep long, linked array<struct<others:long,sizes:long>>")
     assert v.audited_recall(reps, links, 16, v.GraphSettings()) == 1.0 - drop
+
+
+def test_groups_of_a_dense_cell_are_bounded_and_hold_each_pair_once(session):
+    rows = clustered(7, 1, 400, 0.01)
+    units = [(i, 1, bytearray((np.array(x) / np.linalg.norm(x)).tobytes())) for i, x in rows]
+    reps = session.createDataFrame(units, "rep long, size long, unit binary")
+    centroids = np.frombuffer(units[0][2])[None, :]
+    placed = v._assigned(reps, centroids, np.array([8]), 1)
+    groups = {}
+    for r in placed.collect():
+        groups.setdefault((r["low"], r["high"]), {}).setdefault(r["shard"], []).append(r["rep"])
+    assert len(groups) == 8 * 9 // 2 and max(sum(map(len, g.values())) for g in groups.values()) <= 200
+    pairs = []
+    for (low, high), group in groups.items():
+        pairs += [tuple(sorted((a, b))) for a in group[low] for b in group[high] if low != high or a < b]
+    assert len(pairs) == len(set(pairs)) == 400 * 399 // 2
+    told = v._searched(placed, 16, v.GraphSettings())
+    assert not [f for f in told.schema if f.dataType.typeName() == "array"]
+    assert [r["n"] for r in told.groupBy("rep").agg({"pairs": "sum"}).toDF("rep", "n").collect()] == [399] * 400
+
+
+def test_links_in_several_shared_cells_count_once(session):
+    rows = clustered(8, 12, 20, 0.08)
+    assert found(v.near_vectors(frame_of(session, rows), settings=v.GraphSettings(shard_rows=30, overlap=4))) == brute(rows)
