@@ -10,7 +10,8 @@
    in range. The graph of a shard has only those edges of the united lists that stay in it.
 5. If anything is found in a group, its shards are compared in full by cosine in double precision. A link
    counts in the first cell that both vectors share; numbers of links and roots leave the group, not pairs. Recall is audited against brute force
-   for a sample of queries over all rows; below the target the search is run again, wider.
+   for a sample of queries over all rows; below the target the search is run again, wider, at last
+   in full in each group. A result below the recall required is an error.
 """
 
 from __future__ import annotations
@@ -32,7 +33,9 @@ from .components import connected_components
 class GraphSettings:
     """`sample` rows fit at most `most_cells` centroids (the broadcast is that large at most);
     a shard holds about `shard_rows` vectors; `degree` bounds a neighbour list, `alpha` slackens
-    pruning; `beam` is the width of the search; `audit` queries measure recall."""
+    pruning; `beam` is the width of the search. Recall is measured on `audit` queries, or on ten times as many if
+    these have fewer than `audit_links` true links; below `recall` the search is run again, wider, and the last
+    of `attempts` compares all vectors of each group. Below `required` after that an error is raised."""
 
     threshold: float = 0.95
     overlap: int = 3
@@ -44,7 +47,9 @@ class GraphSettings:
     alpha: float = 1.2
     beam: int = 24
     audit: int = 200
+    audit_links: int = 100
     recall: float = 0.98
+    required: float = 0.9
     attempts: int = 3
     least: float = 1e-12  # slack of the double comparison
 
@@ -296,10 +301,11 @@ def linked_in_group(
             return root, near, pairs
 
 
-def _searched(placed: DataFrame, width: int, settings: GraphSettings) -> DataFrame:
+def _searched(placed: DataFrame, width: int, settings: GraphSettings, full: bool = False) -> DataFrame:
     """`rep, root, near, pairs` found in each group of two shards: the least vector joined with each over
-    verified links, the number of rows behind the links that are counted here, and that of the links."""
-    keys = ["cell", "low", "high"]
+    verified links, the number of rows behind the links that are counted here, and that of the links.
+    With `full` the graph is left out and all vectors of a group are compared."""
+    keys, told = ["cell", "low", "high"], "rep long, root long, near long, pairs long"
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("rep", ignore_index=True)
@@ -307,12 +313,6 @@ def _searched(placed: DataFrame, width: int, settings: GraphSettings) -> DataFra
         reps = frame["rep"].to_numpy()
         return pd.DataFrame({"rep": reps, "around": [reps[x] for x in lists]})
 
-    members = placed.where("low = high")
-    built = members.groupBy(*keys).applyInPandas(build, "rep long, around array<long>")
-    united = built.groupBy("rep").agg(
-        F.array_distinct(F.flatten(F.collect_list("around"))).alias("around")
-    )
-
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("rep", ignore_index=True)
         units = matrix_of(frame["unit"].tolist(), width)
@@ -321,8 +321,8 @@ def _searched(placed: DataFrame, width: int, settings: GraphSettings) -> DataFra
 
         def hits(inside: np.ndarray, asked: np.ndarray) -> np.ndarray:
             """For which vectors `asked` (rows) and members `inside` (columns) a link is found."""
-            out = np.zeros((len(asked), len(inside)), bool)
-            if not len(inside):
+            out = np.full((len(asked), len(inside)), full)
+            if full or not len(inside):
                 return out
             ours, lists = reps[inside], []
             for k in inside.tolist():
@@ -348,39 +348,55 @@ def _searched(placed: DataFrame, width: int, settings: GraphSettings) -> DataFra
         root, near, pairs = linked_in_group(
             found, high, low, units, size, cells, int(frame["cell"].iloc[0]), settings
         )
-        told = np.flatnonzero((pairs > 0) | (root < np.arange(len(root))))
-        return pd.DataFrame({"rep": reps[told], "root": reps[root[told]], "near": near[told], "pairs": pairs[told]})
+        rows = np.flatnonzero((pairs > 0) | (root < np.arange(len(root))))
+        return pd.DataFrame({"rep": reps[rows], "root": reps[root[rows]], "near": near[rows], "pairs": pairs[rows]})
 
+    if full:
+        return placed.groupBy(*keys).applyInPandas(search, told)
+    members = placed.where("low = high")
+    built = members.groupBy(*keys).applyInPandas(build, "rep long, around array<long>")
+    united = built.groupBy("rep").agg(
+        F.array_distinct(F.flatten(F.collect_list("around"))).alias("around")
+    )
     rows = placed.join(united, "rep", "left")
-    return rows.groupBy(*keys).applyInPandas(search, "rep long, root long, near long, pairs long")
+    return rows.groupBy(*keys).applyInPandas(search, told)
 
 
 def audited_recall(reps: DataFrame, links: DataFrame, width: int, settings: GraphSettings) -> float:
     """Share of the true links of `settings.audit` queries, chosen by a hash of their id, that
     `links` has: `rep` with the number of its `pairs`, or with its partners, `linked`. What it has is verified, so
-    numbers are compared. The queries, a bounded number, are compared with all rows in blocks."""
-    queries = reps.orderBy(F.xxhash64("rep"), "rep").limit(settings.audit).select("rep", "unit").collect()
-    if not queries:
-        return 1.0
-    names = np.array([q["rep"] for q in queries])
-    matrix = matrix_of([bytes(q["unit"]) for q in queries], width)
-    schema = pa.schema([("rep", pa.int64()), ("true", pa.int64())])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            others = batch.column("rep").to_numpy()
-            similar = matrix @ matrix_of(batch.column("unit").to_pylist(), width).T
-            near = (similar >= settings.threshold) & (names[:, None] != others[None, :])
-            yield batch_of(schema, names, near.sum(axis=1))
-
-    true = reps.select("rep", "unit").mapInArrow(compare, "rep long, true long").groupBy("rep").agg(F.sum("true").alias("true"))
-    asked = F.broadcast(reps.sparkSession.createDataFrame([(int(n),) for n in names], "rep long"))
+    numbers are compared. The queries, a bounded number, are compared with all rows in blocks. If they have fewer
+    than `settings.audit_links` true links, ten times as many are asked."""
+    queries = reps.orderBy(F.xxhash64("rep"), "rep").limit(10 * settings.audit).select("rep", "unit").collect()
     pairs = F.size("linked") if "linked" in links.columns else F.col("pairs")
-    got = links.join(asked, "rep").groupBy("rep").agg(F.sum(pairs).alias("got"))
-    both = true.join(got, "rep", "left").agg(
-        F.sum("true").alias("total"), F.sum(F.least("true", F.coalesce("got", F.lit(0)))).alias("had")
-    ).first()
-    return both["had"] / both["total"] if both["total"] else 1.0
+    schema = pa.schema([("rep", pa.int64()), ("true", pa.int64())])
+    recall = 1.0
+    for many in sorted({min(len(queries), settings.audit), len(queries)}):
+        names = np.array([q["rep"] for q in queries[:many]], np.int64)
+        matrix = matrix_of([bytes(q["unit"]) for q in queries[:many]], width)
+
+        def compare(batches: Iterator[pa.RecordBatch], names=names, matrix=matrix) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                others = batch.column("rep").to_numpy()
+                units = matrix_of(batch.column("unit").to_pylist(), width)
+                for low in range(0, len(names), 200):
+                    part = slice(low, low + 200)
+                    near = (matrix[part] @ units.T >= settings.threshold) & (names[part, None] != others[None, :])
+                    yield batch_of(schema, names[part], near.sum(axis=1))
+
+        true = (
+            reps.select("rep", "unit").mapInArrow(compare, "rep long, true long")
+            .groupBy("rep").agg(F.sum("true").alias("true"))
+        )
+        asked = F.broadcast(reps.sparkSession.createDataFrame([(int(n),) for n in names], "rep long"))
+        got = links.join(asked, "rep").groupBy("rep").agg(F.sum(pairs).alias("got"))
+        both = true.join(got, "rep", "left").agg(
+            F.sum("true").alias("total"), F.sum(F.least("true", F.coalesce("got", F.lit(0)))).alias("had")
+        ).first()
+        recall = both["had"] / both["total"] if both["total"] else 1.0
+        if (both["total"] or 0) >= settings.audit_links:
+            break
+    return recall
 
 
 def near_vectors(
@@ -395,6 +411,7 @@ def near_vectors(
     non-finite components link with nothing, and so do rows with a null id (their component is
     null). Shorter vectors count as filled up with zeros. Rows that repeat an id and a vector
     link with each other; ids are otherwise expected to be unique. An empty table gives no rows.
+    Raises if the audited recall stays below `settings.required`.
     """
     settings = settings or GraphSettings()
     spark = df.sparkSession
@@ -417,10 +434,14 @@ def near_vectors(
         for row in counts:
             splits[row["cell"]] = -(-row["count"] // (2 * settings.shard_rows))
         placed = written(_assigned(reps, centroids, splits, settings.overlap), "placed")
-        found = written(_searched(placed, width, settings), "links")
+        last = attempt + 1 == settings.attempts
+        found = written(_searched(placed, width, settings, full=last), "links")
         links = found.groupBy("rep").agg(F.sum("near").alias("near"), F.sum("pairs").alias("pairs"))
-        if attempt + 1 == settings.attempts or audited_recall(reps, links, width, settings) >= settings.recall:
+        recall = audited_recall(reps, links, width, settings)
+        if recall >= (settings.required if last else settings.recall):
             break
+        if last:
+            raise RuntimeError(f"near_vectors: recall {recall:.4f} is below {settings.required}; raise `overlap`")
         settings = replace(
             settings, beam=2 * settings.beam, overlap=settings.overlap + 1, degree=settings.degree + 8
         )

@@ -119,3 +119,29 @@ def test_groups_of_a_dense_cell_are_bounded_and_hold_each_pair_once(session):
 def test_links_in_several_shared_cells_count_once(session):
     rows = clustered(8, 12, 20, 0.08)
     assert found(v.near_vectors(frame_of(session, rows), settings=v.GraphSettings(shard_rows=30, overlap=4))) == brute(rows)
+
+
+def test_low_recall_of_the_last_attempt_is_an_error(session, monkeypatch):
+    asked = []
+    monkeypatch.setattr(v, "audited_recall", lambda *a: asked.append(1) or 0.89)
+    rows = clustered(9, 5, 4, 0.05)
+    with pytest.raises(RuntimeError, match="recall 0.8900"):
+        v.near_vectors(frame_of(session, rows), settings=v.GraphSettings(attempts=2))
+    assert len(asked) == 2
+
+
+def test_last_attempt_compares_in_full(session, monkeypatch):
+    def nothing(*_):
+        raise AssertionError("the graph is not needed")
+
+    monkeypatch.setattr(v, "shard_graph", nothing)
+    rows = clustered(10, 20, 6, 0.08)
+    assert found(v.near_vectors(frame_of(session, rows), settings=v.GraphSettings(attempts=1))) == brute(rows)
+
+
+def test_audit_goes_on_where_links_are_rare(session):
+    rows = clustered(11, 300, 1, 0.0) + [(1000 + k, x) for k, x in clustered(12, 3, 2, 0.01)]
+    units = [(i, bytearray((np.array(x) / np.linalg.norm(x)).tobytes())) for i, x in rows]
+    reps = session.createDataFrame(units, "rep long, unit binary")
+    nothing = session.createDataFrame([], "rep long, pairs long")
+    assert v.audited_recall(reps, nothing, 16, v.GraphSettings(audit=31)) == 0.0
