@@ -39,11 +39,12 @@ class CharacterClass:
     candidate: str
     bits: float
     mixed: bool = False  # a window must hold letters and digits
+    cased: bool = False  # ... or letters of both cases
 
 
 CLASSES = (
     CharacterClass("entropy_hex", r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{20,}", 3.0, mixed=True),
-    CharacterClass("entropy_base64", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", 3.75, mixed=True),
+    CharacterClass("entropy_base64", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", 3.75, mixed=True, cased=True),
 )
 ALLOWED = (
     r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}",  # UUIDs
@@ -65,11 +66,11 @@ class EntropyScan:
         return (*BASE_KINDS, *(c.kind for c in self.classes))
 
 
-def high_windows(text: str, window: int, bits: float, mixed: bool) -> Iterator[tuple[int, int]]:
+def high_windows(text: str, window: int, bits: float, mixed: bool, cased: bool = False) -> Iterator[tuple[int, int]]:
     """Stretches of `text` covered by windows of at least `bits` entropy, by incremental counts."""
     cost = [0.0] + [n * math.log2(n) for n in range(1, window + 1)]
     counts: dict[str, int] = {}
-    total, digits, letters, start, end = 0.0, 0, 0, -1, -1
+    total, digits, letters, upper, start, end = 0.0, 0, 0, 0, -1, -1
     for place, new in enumerate(text):
         if place >= window:
             old = text[place - window]
@@ -78,15 +79,17 @@ def high_windows(text: str, window: int, bits: float, mixed: bool) -> Iterator[t
             total += cost[n - 1] - cost[n]
             digits -= old.isdigit()
             letters -= old.isalpha()
+            upper -= old.isupper()
         n = counts.get(new, 0)
         counts[new] = n + 1
         total += cost[n + 1] - cost[n]
         digits += new.isdigit()
         letters += new.isalpha()
+        upper += new.isupper()
         if place + 1 < window:
             continue
         entropy = math.log2(window) - total / window
-        if entropy >= bits - 1e-9 and (not mixed or digits and letters):
+        if entropy >= bits - 1e-9 and (not mixed or digits and letters or cased and 0 < upper < letters):
             first = place + 1 - window
             if first > end:
                 if end >= 0:
@@ -119,12 +122,12 @@ class Scanner:
             for match in pattern.finditer(text):
                 if self.allowed and self.allowed.fullmatch(match.group()):
                     continue
-                at = match.start()
-                for start, end in high_windows(match.group(), self.settings.window, kind.bits, kind.mixed):
-                    span = (at + start, at + end)
-                    # what an earlier kind covers is not reported again
-                    if not any(s <= span[0] and span[1] <= e for s, e, _ in found):
-                        found.append((*span, kind.kind))
+                # One window gives the whole candidate away. What an earlier kind covers is not reported again.
+                start, end = match.span()
+                if not any(s <= start and end <= e for s, e, _ in found) and any(
+                    high_windows(match.group(), self.settings.window, kind.bits, kind.mixed, kind.cased)
+                ):
+                    found.append((start, end, kind.kind))
         return sorted(found, key=lambda x: (x[0], self.rank[x[2]], x[1]))
 
 

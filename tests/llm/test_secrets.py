@@ -105,3 +105,15 @@ def test_query_against_plain_search(session):
         assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert [row["n_assign"], row["n_access"], row["n_hex"]] == [sum(x[2] == k for x in base) for k in rank]
         assert set(filter(None, joined.split(","))) <= set(row["spans"].split(","))
+
+
+def test_a_candidate_is_reported_and_masked_whole():
+    for secret in ("kXbvBamQszLptRowNicYqpDe" + RANDOM, "x" * 20 + RANDOM, RANDOM + "y" * 20):
+        text = f"see {secret} here"
+        assert scan(text) == [(4, 4 + len(secret), "entropy_base64")]
+        assert s.redacted(text, scan(text), "[SECRET]") == "see [SECRET] here"
+
+
+def test_letters_of_both_cases_need_no_digit():
+    assert scan("see kXbvBamQszLptRowNicYqpDe here") == [(4, 28, "entropy_base64")]
+    assert scan("see kxbvbamqszlptrownicyqpde here") == []
