@@ -51,7 +51,20 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-equal texts: the one that names the class. Rows without
-    an id are classes of their own."""
+    an id are classes of their own. Where ids repeat, rows are told apart by a number of their own, and the
+    least row of the least id stays."""
+    named = docs.where("doc_id IS NOT NULL")
+    if not named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        classes = jaccard_join(numbered.where("doc_id IS NOT NULL"), "_row").select(F.col("id").alias("_row"), "class_id")
+        kept = (
+            numbered.join(classes, "_row")
+            .groupBy("class_id")
+            .agg(F.min(F.struct("doc_id", "_row")).alias("one"))
+            .select("one._row")
+        )
+        found = numbered.join(kept, "_row", "left_semi").select(docs.columns)
+        return found.unionByName(numbered.where("doc_id IS NULL").select(docs.columns))
     return _only(docs, jaccard_join(docs).where("id <=> class_id"))
 
 

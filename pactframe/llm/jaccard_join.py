@@ -360,6 +360,20 @@ def verified_links(rows: DataFrame, settings: JoinSettings) -> DataFrame:
     return _grouped(rows, verify, "rep long, links long, root long")
 
 
+def _numbered_join(texts: DataFrame, settings: JoinSettings) -> DataFrame:
+    """The join of rows that repeat ids: by a number of each row, named by the least id at the end."""
+    rows = written(texts.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    found = jaccard_join(rows.where("id IS NOT NULL").select("row", "text"), "row", "text", settings)
+    named = written(
+        found.select(F.col("id").alias("row"), "class_id", "n_links").join(rows.select("row", "id"), "row"), "named"
+    )
+    least = named.groupBy("class_id").agg(F.min("id").alias("least"))
+    alone = rows.where("id IS NULL").select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return (
+        named.join(least, "class_id").select("id", F.col("least").alias("class_id"), "n_links").unionByName(alone)
+    )
+
+
 def jaccard_join(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -371,8 +385,8 @@ def jaccard_join(
     Two texts are linked if the Jaccard similarity of their sets of `n`-word runs reaches the threshold (texts of
     fewer words are one run). `n_links` counts the other rows linked directly, copies included;
     `class_id` is the least id reachable over links. A null or wordless text is linked with nothing and is a class of its own, as is a row
-    whose id is null (its class is null). Ids are expected to be unique: rows that repeat id and text count
-    as copies, and of different texts with one id only one is compared. An empty table gives no rows.
+    whose id is null (its class is null). Ids may repeat: each row is compared, and rows that repeat id and text count
+    as copies. An empty table gives no rows.
     """
     settings = settings or JoinSettings()
     texts = id_and_text(df, id_col, text_col)
@@ -387,14 +401,12 @@ def jaccard_join(
         ),
         "classes",
     )
-    # Only rows that repeat an id can give two classes one name; one of them is compared then.
-    twice = classes.groupBy("rep").agg(F.count("*").alias("n"), F.min("digest").alias("one")).where("n > 1")
-    compared = classes
-    if not twice.isEmpty():
-        compared = classes.join(twice, "rep", "left").where("one IS NULL OR one = digest")
+    # Only rows that repeat an id can give two classes one name.
+    if not classes.groupBy("rep").count().where("count > 1").isEmpty():
+        return _numbered_join(texts, settings)
     near = written(
         surviving_rows(
-            bucket_rows(compared, settings).join(compared.select("rep", "sig"), "rep"), settings
+            bucket_rows(classes, settings).join(classes.select("rep", "sig"), "rep"), settings
         ),
         "survivors",
     )
@@ -403,7 +415,7 @@ def jaccard_join(
         wanted = F.broadcast(wanted)
     chosen = texts.join(wanted, texts["id"] == wanted["rep"], "left_semi")
     sets = gram_sets(chosen, settings).groupBy("rep", "digest").agg(F.first("set").alias("set"))
-    rows = near.join(compared.select("rep", "digest", "size", "sig"), "rep").join(sets, ["rep", "digest"])
+    rows = near.join(classes.select("rep", "digest", "size", "sig"), "rep").join(sets, ["rep", "digest"])
     found = written(verified_links(rows, settings), "links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))

@@ -111,3 +111,18 @@ def test_overlaps_two_ways():
     few = np.concatenate([j.overlaps(sets, a[k : k + 5], b[k : k + 5]) for k in range(0, len(a), 5)])
     assert (many == few).all()
     assert many[0] == len(np.intersect1d(sets[a[0]], sets[b[0]]))
+
+
+def test_different_texts_with_one_id_are_all_compared(docs):
+    import corpus_pipeline
+
+    near, base = (" ".join(f"w{k}" for k in range(n)) for n in (61, 60))
+    other, copy = " ".join(f"v{k}" for k in range(40)), " ".join(f"v{k}" for k in range(41))
+    rows = [(3, near), (5, base), (5, other), (8, copy), (None, base), (6, None), (6, "")]
+    assert found(j.jaccard_join(docs(rows))) == sorted(
+        [(3, 3, 1), (5, 3, 1), (5, 5, 1), (8, 5, 1), (None, None, 0), (6, 6, 0), (6, 6, 0)], key=str
+    )
+    kept = corpus_pipeline.near(docs(rows).sparkSession, docs(rows), "")
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(3, near), (5, other), (None, base), (6, None), (6, "")], key=str
+    )
