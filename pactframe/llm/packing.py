@@ -123,7 +123,9 @@ def pack(
     sequence part empty, in some thousands. Null and empty texts are documents of one token; ids may be null
     or repeat; an empty table gives no rows.
     """
-    pieces = written(token_pieces(df, vocabulary, id_col, text_col, size, end_id), "pieces")
+    # Rows are numbered as they are written: equal ones are dealt like others.
+    cut = token_pieces(df, vocabulary, id_col, text_col, size, end_id)
+    pieces = written(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
     full = pieces.where(F.col("length") == size)
     rest = pieces.where(F.col("length") < size)
     shares = max(1, -(-rest.count() // share_pieces))
@@ -134,17 +136,17 @@ def pack(
         # shares count in steps of their number: no two give the same sequence
         frame["sequence_id"] = places * shares + int(frame["share"].iloc[0]) if len(frame) else places
         frame["offset"] = offsets
-        return frame.drop(columns="share")
+        return frame.drop(columns=["share", "row"])
 
     packed = (
         rest.withColumn(
-            "share", F.pmod(F.xxhash64("id", "piece", "length", "ids_crc32"), F.lit(shares)).cast("long")
+            "share", F.pmod(F.xxhash64("row", "id", "piece", "length", "ids_crc32"), F.lit(shares)).cast("long")
         )
         .groupBy("share")
         .applyInPandas(pack_share, f"{PIECES}, sequence_id long, offset long")
     )
     alone = full.select(
-        *pieces.columns,
+        *cut.columns,
         (-1 - F.monotonically_increasing_id()).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )

@@ -1,6 +1,6 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -99,3 +99,9 @@ def test_whole_table_is_packed_tightly(session, share):
 
 def test_empty_table(docs):
     assert pack(docs([]), VOCABULARY).collect() == []
+
+
+def test_equal_rows_are_dealt_over_the_shares(docs):
+    rows = pack(docs([(None, "the same text")] * 400), VOCABULARY, share_pieces=50).collect()
+    shares = Counter(r["sequence_id"] % 8 for r in rows)
+    assert len(rows) == 400 and len(shares) == 8 and max(shares.values()) < 120
