@@ -12,6 +12,7 @@ from . import byte_bpe, licenses, secrets, warc
 from .common import ship, table
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_join
+from .merkle import hex_text, manifest
 from .packing import pack
 from .quality import quality_scores
 from .toxicity import toxicity_scores
@@ -130,6 +131,21 @@ def op10_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the manifest; where the checksum of its id is even, a version of the tree
+    in which its line breaks are gone."""
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(chosen, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    found = manifest(table(spark, sf_dir, "documents"), {"text": text})
+    beside = F.transform("steps", lambda s: F.concat(hex_text(s["left"]), hex_text(s["right"])))
+    return found.select(
+        F.col("id").alias("doc_id"), hex_text(F.col("leaf")).alias("leaf"),
+        hex_text(F.col("subroot")).alias("subroot"), hex_text(F.col("root")).alias("root"),
+        F.sha2(F.array_join(beside, "").cast("binary"), 256).alias("proof_sha256"),
+        hex_text(F.col("folded")).alias("folded_root"), "verified",
+    )
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -152,6 +168,7 @@ def queries() -> dict[str, Query]:
         "op9_packing": op9_packing,
         "op10_licenses": op10_licenses,
         "op10_license_windows": op10_license_windows,
+        "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
     return {name: shipped(query) for name, query in found.items()}
@@ -261,6 +278,61 @@ SELECT doc_id, license, round(dice, 6) AS dice, coalesce(n_matches, 0)::INT AS n
 FROM documents LEFT JOIN best USING (doc_id)"""
 
 
+def _crc32_sql(number: str) -> str:
+    """CRC-32 of a number's decimal text, bit by bit."""
+    codes = f"list_transform(range(1, len({number}::VARCHAR) + 1), lambda i: ord(({number}::VARCHAR)[i])::UBIGINT)"
+    bits = (
+        "list_reduce(list_prepend(xor(c, b), range(8)::UBIGINT[]), "
+        "lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)"
+    )
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), lambda c, b: {bits}), 4294967295)"
+
+
+def _climb_sql(name: str, rows: str, levels: int) -> list[str]:
+    """Tables `{name}_{k}`: the rows (tree, pos, digest, cur, path, rest) after k levels of runs of three."""
+    out = [f"{name}_0 AS MATERIALIZED ({rows})"]
+    for k in range(levels):
+        out.append(f"""{name}_nodes_{k} AS MATERIALIZED (
+            SELECT tree, pos, any_value(digest) AS digest FROM {name}_{k} GROUP BY ALL
+        ), {name}_runs_{k} AS MATERIALIZED (
+            SELECT tree, pos // 3 AS up, list(digest ORDER BY pos) AS run, max(size) AS size
+            FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS size FROM {name}_nodes_{k}) GROUP BY ALL
+        ), {name}_{k + 1} AS MATERIALIZED (
+            SELECT tree, up AS pos, CASE WHEN size > 1 THEN sha256(array_to_string(run, '')) ELSE digest END AS digest,
+                CASE WHEN size > 1 THEN sha256(array_to_string(run[1:pos % 3], '') || cur || array_to_string(run[pos % 3 + 2:], ''))
+                    ELSE cur END AS cur,
+                path || CASE WHEN size > 1 THEN array_to_string(run[1:pos % 3], '') || array_to_string(run[pos % 3 + 2:], '')
+                    ELSE '' END AS path, rest
+            FROM {name}_{k} JOIN {name}_runs_{k} USING (tree) WHERE up = pos // 3
+        )""")
+    return out
+
+
+def _merkle_sql(levels: int = 14) -> str:
+    """Runs of three up to 3 ** `levels` leaves, written out level by level."""
+
+    def leaf(text: str) -> str:
+        fields = ["doc_id", "source", "lang", "n_chars", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen(({f})::VARCHAR) || ':' || ({f})::VARCHAR, '-')" for f in fields) + ")"
+
+    tampered = f"CASE WHEN {_crc32_sql('doc_id')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+    leaves = f"""
+        SELECT coalesce('=' || source, '-') AS tree,
+            row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS pos,
+            {leaf("text")} AS digest, {leaf(tampered)} AS cur, '' AS path, {{'id': doc_id, 'leaf': {leaf("text")}}} AS rest
+        FROM documents"""
+    subroots = f"""
+        SELECT '' AS tree, dense_rank() OVER (ORDER BY tree) - 1 AS pos, digest, cur, path,
+            {{'id': rest.id, 'leaf': rest.leaf, 'subroot': digest}} AS rest
+        FROM leaf_{levels}"""
+    steps = _climb_sql("leaf", leaves, levels) + _climb_sql("sub", subroots, levels)
+    return f"""
+WITH {", ".join(steps)}
+SELECT rest.id AS doc_id, rest.leaf AS leaf, rest.subroot AS subroot, digest AS root, sha256(path) AS proof_sha256,
+    cur AS folded_root, cur = digest AS verified
+FROM sub_{levels}"""
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
@@ -270,6 +342,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_near_vectors": VECTOR_SQL,
         "op6_exact_dedup": EXACT_SQL,
         "op10_licenses": _license_sql(),
+        "op13_merkle_manifest": _merkle_sql(),
     }
     if corpus_pipeline.ORACLE_SQL is not None:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,0 +1,122 @@
+from collections import defaultdict
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from pactframe.llm import merkle
+from pactframe.llm.merkle import BlockTree, folded, manifest
+
+from .conftest import ODD_ROWS
+
+
+def digest(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def leaf(row):
+    return digest("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def tree(leaves, ways):
+    """The root of some leaves and, per leaf, the siblings beside its path."""
+    level, spans, beside = list(leaves), [[k] for k in range(len(leaves))], [[] for _ in leaves]
+    while len(level) > 1:
+        up, up_spans = [], []
+        for start in range(0, len(level), ways):
+            run = level[start : start + ways]
+            for k in range(len(run)):
+                for leaf_no in spans[start + k]:
+                    beside[leaf_no].append(("".join(run[:k]), "".join(run[k + 1 :])))
+            up.append(digest("".join(run)))
+            up_spans.append([n for s in spans[start : start + ways] for n in s])
+        level, spans = up, up_spans
+    return level[0], beside
+
+
+def expected(rows, change, ways):
+    """(id, leaf, subroot, root, siblings, folded) of each row, from whole trees in memory."""
+    trees = defaultdict(list)
+    for row in rows:
+        trees[row[1]].append(row)
+    order = sorted(trees, key=lambda s: (s is not None, (s or "").encode()))
+    made = {}
+    for source in order:
+        trees[source].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r), leaf(change(r))))
+        made[source] = tree([leaf(r) for r in trees[source]], ways)
+    root, top = tree([made[s][0] for s in order], ways)
+    out = []
+    for source, above in zip(order, top):
+        for row, inner in zip(trees[source], made[source][1]):
+            steps, up = inner + above, leaf(change(row))
+            for left, right in steps:
+                up = digest(left + up + right)
+            out.append((row[0], leaf(row), made[source][0], root, "".join(a + b for a, b in steps), up, up == root))
+    return sorted(out, key=str)
+
+
+def found(df):
+    steps = F.array_join(F.transform("steps", lambda s: F.concat(F.lower(F.hex(s["left"])), F.lower(F.hex(s["right"])))), "")
+    text = [F.lower(F.hex(c)) for c in ("leaf", "subroot", "root")]
+    rows = df.select("id", *text, steps, F.lower(F.hex("folded")), "verified").collect()
+    return sorted(map(tuple, rows), key=str)
+
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string, tree string, digest int, place int, size string, steps int"
+
+
+def frame(session, rows):
+    return session.createDataFrame([(*r, "t", 1, 2, "s", 3) for r in rows], SCHEMA)
+
+
+def break_free(row):
+    ours = row[0] is not None and row[0] % 2 == 0 and row[4] is not None
+    return (*row[:4], row[4].replace("\n", "")) if ours else row
+
+
+def broken():
+    return {"text": F.when(F.col("doc_id") % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))}
+
+
+@pytest.mark.parametrize("ways, block_levels", [(3, 1), (3, 2), (2, 1), (3, 7)])
+def test_against_whole_trees(session, ways, block_levels):
+    """A third of all rows in one source, sources of one row, null sources, odd texts, repeated rows."""
+    rows = [(i, "hot" if i % 3 == 0 else f"s{i % 7}", None if i % 5 == 0 else "en", i, f"line\n{i}") for i in range(100)]
+    rows += [(i, None, "en", None, t) for i, t in ODD_ROWS]
+    rows += [(500, "alone", None, None, None), (501, "", "x", 1, "a\nb"), (7, "é漢", "x", 1, "a\nb"), (8, "-", "x", 1, "\n")]
+    rows += [(3, "hot", "en", 3, "other"), (3, "hot", "en", 3, "other")]
+    df = manifest(frame(session, rows).repartition(5), broken(), ways=ways, block_levels=block_levels)
+    assert found(df) == expected(rows, break_free, ways)
+
+
+def test_steps_lead_to_the_root_and_copies_are_the_path(session):
+    rows = [(i, "s", "en", i, f"a\n{i}") for i in range(20)]
+    df = manifest(frame(session, rows), broken(), block_levels=2)
+    again = df.withColumn("again", folded(F.col("leaf"), F.col("steps"))).collect()
+    assert all(r["again"] == r["root"] for r in again)
+    assert all((r["copied"] is None) == r["verified"] == (r["id"] % 2 == 1) for r in again)
+    assert all(len(r["copied"]) == 2 for r in again if r["copied"] is not None)
+
+
+def test_versions_share_what_they_do_not_copy():
+    leaves = [bytes([k]) * 32 for k in range(20)]
+    before = BlockTree(leaves, 3, 3)
+    for place in range(20):
+        changed = [*leaves[:place], b"x" * 32, *leaves[place + 1 :]]
+        whole = BlockTree(changed, 3, 3)
+        copies = before.version(place, b"x" * 32)
+        for level in (1, 2, 3):
+            for index, digest_there in enumerate(whole.levels[level]):
+                assert before.node_of(copies, place, level, index) == digest_there
+    assert before.levels == BlockTree(leaves, 3, 3).levels
+
+
+def test_one_row_empty_table_and_no_tampering(session):
+    row = (1, None, None, None, None)
+    (one,) = manifest(frame(session, [row])).collect()
+    assert one["leaf"].hex() == one["root"].hex() == leaf(row) and one["steps"] == [] and one["verified"]
+    assert manifest(frame(session, []), broken()).collect() == []
+
+
+def test_height():
+    assert [merkle.height(n, 3) for n in (0, 1, 2, 3, 4, 9, 10)] == [0, 0, 1, 1, 2, 2, 3]
