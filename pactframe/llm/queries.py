@@ -14,6 +14,7 @@ from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_join
 from .merkle import hex_text, manifest
 from .packing import pack
+from .periodic import periodic_runs
 from .quality import quality_scores
 from .toxicity import toxicity_scores
 from .vector_dedup import near_vectors
@@ -131,10 +132,57 @@ def op10_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _checksum(id_col: str):
+    return F.crc32(F.col(id_col).cast("string").cast("binary"))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """`doc_id, text` of all documents; where ten divides the checksum of the id, the words from some place
+    on repeat with some period."""
+    space = r"[ \t-\r]+"
+    chosen = F.coalesce(_checksum("doc_id") % 10 == 0, F.lit(False))
+    words = F.filter(F.split("text", space), lambda w: w != "")
+    cut = docs.select(
+        "doc_id", "text", F.when(chosen, words).alias("words"), F.floor(_checksum("doc_id") / 10).alias("g")
+    )
+    n = F.greatest(F.size("words"), F.lit(1))
+    first = F.col("g") % n
+    period = 1 + F.floor((n - first) / (3 + F.col("g") % 8))
+    placed = cut.select("*", first.cast("int").alias("a"), period.cast("int").alias("p"))
+    repeated = F.transform(
+        "words",
+        lambda w, i: F.when(i < F.col("a"), w).otherwise(
+            F.get(F.col("words"), F.col("a") + (i - F.col("a")) % F.col("p"))
+        ),
+    )
+    text = F.when(F.size("words") > 0, F.array_join(repeated, " ")).otherwise(F.col("text"))
+    return placed.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its periodic runs, the one of the most repeats, and checksums."""
+    found = periodic_runs(with_repeats(table(spark, sf_dir, "documents")))
+    best = F.expr(
+        "aggregate(runs, CAST(NULL AS struct<start:bigint,length:bigint,period:bigint>), "
+        "(b, r) -> if(b IS NULL OR r.length * b.period > b.length * r.period, r, b))"
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n"))
+    )
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the manifest; where the checksum of its id is even, a version of the tree
     in which its line breaks are gone."""
-    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    chosen = _checksum("doc_id") % 2 == 0
     text = F.when(chosen, F.translate("text", "\n", "")).otherwise(F.col("text"))
     found = manifest(table(spark, sf_dir, "documents"), {"text": text})
     beside = F.transform("steps", lambda s: F.concat(hex_text(s["left"]), hex_text(s["right"])))
@@ -168,6 +216,7 @@ def queries() -> dict[str, Query]:
         "op9_packing": op9_packing,
         "op10_licenses": op10_licenses,
         "op10_license_windows": op10_license_windows,
+        "op11_periodic_runs": op11_periodic_runs,
         "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
@@ -288,6 +337,57 @@ def _crc32_sql(number: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), lambda c, b: {bits}), 4294967295)"
 
 
+def _periodic_sql() -> str:
+    """Every period of every document: the words that equal the one a period on, as ones and noughts, cut at
+    the noughts."""
+    crc = _crc32_sql("doc_id")
+    return f"""
+WITH cut AS MATERIALIZED (
+    SELECT doc_id, {crc} AS h, {crc} // 10 AS g,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS w
+    FROM documents
+), placed AS (
+    SELECT *, (g % greatest(len(w), 1))::BIGINT AS a,
+        1 + ((len(w) - (g % greatest(len(w), 1))::BIGINT) // (3 + g % 8))::BIGINT AS p FROM cut
+), worded AS MATERIALIZED (
+    SELECT doc_id, CASE WHEN h % 10 = 0 AND len(w) > 0
+        THEN list_transform(range(len(w)), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w
+    FROM placed
+), hashed AS (SELECT doc_id, list_transform(w, lambda x: hash(x)) AS w, len(w) AS n FROM worded),
+periods AS (SELECT doc_id, w, n, unnest(range(1, n // 3 + 1)) AS q FROM hashed),
+marks AS (
+    SELECT doc_id, q, list_transform(list_zip(w[1:n - q], w[q + 1:]), lambda z: z[1] = z[2]) AS same FROM periods
+), lines AS (
+    SELECT doc_id, q, array_to_string(list_transform(same, lambda x: CASE WHEN x THEN '1' ELSE '0' END), '') AS line
+    FROM marks WHERE list_contains(same, true)
+), parts AS (
+    SELECT doc_id, q, string_split(line, '0') AS parts FROM lines WHERE contains(line, repeat('1', greatest(24 - q, 2 * q)))
+), spots AS (
+    SELECT doc_id, q, unnest(list_transform(parts, lambda x: len(x))) AS size, unnest(range(len(parts))) AS k FROM parts
+), stretches AS (
+    SELECT doc_id, q, size, (sum(size + 1) OVER (PARTITION BY doc_id, q ORDER BY k) - size - 1)::BIGINT AS start FROM spots
+), runs AS MATERIALIZED (
+    SELECT doc_id, start, size + q AS length, min(q) AS period FROM stretches
+    WHERE size + q >= greatest(24, 3 * q) GROUP BY ALL
+), best AS (
+    SELECT * FROM runs QUALIFY row_number() OVER (
+        PARTITION BY doc_id ORDER BY length::DECIMAL(38, 18) / period DESC, start, period
+    ) = 1
+), said AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS line
+    FROM runs GROUP BY doc_id
+), gone AS (
+    SELECT doc_id, list_distinct(flatten(list(range(start + period, start + length)))) AS places FROM runs GROUP BY doc_id
+), kept AS (
+    SELECT worded.doc_id, CASE WHEN places IS NULL THEN array_to_string(w, ' ') ELSE array_to_string(
+        list_where(w, list_transform(range(len(w)), lambda i: NOT list_contains(places, i))), ' ') END AS body
+    FROM worded LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, length * 1000 // period AS exponent_milli,
+    sha256(coalesce(line, '')) AS runs_sha256, sha256(body) AS collapsed_sha256
+FROM kept LEFT JOIN said USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
 def _climb_sql(name: str, rows: str, levels: int) -> list[str]:
     """Tables `{name}_{k}`: the rows (tree, pos, digest, cur, path, rest) after k levels of runs of three."""
     out = [f"{name}_0 AS MATERIALIZED ({rows})"]
@@ -342,6 +442,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_near_vectors": VECTOR_SQL,
         "op6_exact_dedup": EXACT_SQL,
         "op10_licenses": _license_sql(),
+        "op11_periodic_runs": _periodic_sql(),
         "op13_merkle_manifest": _merkle_sql(),
     }
     if corpus_pipeline.ORACLE_SQL is not None:
