@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import pactframe as pf
-from fixture_contracts import BY_NAME, CONTRACTS, TABLES, fixture_lookup
+from fixture_contracts import BY_NAME, CONTRACTS, TABLES, VIEWS, fixture_lookup
 from pactframe.operators import matching
-from pactframe.operators.foreign_keys import orphan_key_sizes
+from pactframe.operators.findings import union_all
+from pactframe.operators.foreign_keys import ForeignKey, count_orphans_together, orphan_key_sizes
 from pactframe.operators.matching import rows_with_keys
-from pactframe.operators.keys import key_sizes
+from pactframe.operators.keys import count_duplicates_together, key_sizes
 from pactframe.scratch import scratch_path
 from pactframe.sources.tables import read_contract_properties, write_contract_properties
 
@@ -216,6 +217,58 @@ def rows_in_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def keys_in_one_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two and more keys of a table counted in one scan, with NULLs in some."""
+    find = fixture_lookup(spark, sf_dir)
+    keys = {
+        "events": [["event_id"], ["user_id", "ts"], ["user_id", "event_type"]],
+        "customer": [["c_custkey"], ["c_name"]],
+        "event_refs": [["event_id"], ["fk_user"], ["fk_user", "value"], ["value"]],
+        "line_keys": [["l_linenumber"], ["l_orderkey", "L_LINENUMBER"]],
+    }
+    parts = []
+    for table, sets in keys.items():
+        found = count_duplicates_together(find(table), sets)
+        for place, key in enumerate(sets):
+            parts.append(
+                found.select(
+                    F.lit(table).alias("target_table"), F.lit(",".join(key)).alias("key_columns"),
+                    F.col(f"primary_groups{place}").alias("primary_groups"),
+                    F.col(f"unique_groups{place}").alias("unique_groups"),
+                )
+            )
+    return union_all(parts)
+
+
+def orphans_in_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Foreign keys of one child to large parents, among them a parent of two keys and keys of
+    two parts, counted with one scan of the child."""
+    find = fixture_lookup(spark, sf_dir)
+    asked = {
+        "lineitem": [
+            ("l_orderkey", "orders", "o_orderkey"), ("l_partkey", "part", "p_partkey"),
+            ("l_suppkey", "supplier", "s_suppkey"), ("l_linenumber", "part", "p_partkey"),
+            ("l_orderkey l_linenumber", "line_keys", "l_orderkey l_linenumber"),
+        ],
+        "event_refs": [("fk_user", "customer", "c_custkey"), ("user_id fk_user", "orders", "o_custkey o_orderkey")],
+    }
+    parts = []
+    for table, links in asked.items():
+        keys = []
+        for columns, parent, ref_columns in links:
+            rule = pf.Rule("foreign_key", tuple(columns.split()), None, parent, tuple(ref_columns.split()))
+            keys.append((ForeignKey(rule, parent, rule.columns, rule.ref_columns), find(parent)))
+        found = count_orphans_together(find(table), keys)
+        for place, (key, _) in enumerate(keys):
+            parts.append(
+                found.select(
+                    F.lit(table).alias("target_table"), F.lit(",".join(key.columns)).alias("key_columns"),
+                    F.lit(key.parent_table).alias("parent_table"), F.col(f"orphans{place}").alias("orphan_rows"),
+                )
+            )
+    return union_all(parts)
+
+
 def violating_rows_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pf.violating_rows(BY_NAME["lineitem"], fixture_lookup(spark, sf_dir), BY_NAME)
     return rows.select("kind", "rule_name", "l_orderkey", "l_linenumber")
@@ -233,9 +286,28 @@ def queries() -> dict[str, Query]:
         "parents_by_contract": parents_by_contract,
         "rows_in_passes": rows_in_passes,
         "violating_rows_lineitem": violating_rows_lineitem,
+        "keys_in_one_scan": keys_in_one_scan,
+        "orphans_in_one_shuffle": orphans_in_one_shuffle,
     }
 
 
+def _key_groups(table: str, key: str, present: str) -> str:
+    return f"""
+        SELECT '{table}' AS target_table, '{key}' AS key_columns, count(*) AS primary_groups,
+            count(*) FILTER ({present}) AS unique_groups
+        FROM (SELECT {key} FROM {table} GROUP BY {key} HAVING count(*) > 1)"""
+
+
+def _orphan_count(table: str, columns: str, parent: str, ref_columns: str) -> str:
+    pairs = list(zip(columns.split(), ref_columns.split()))
+    present = " AND ".join(f"c.{a} IS NOT NULL" for a, _ in pairs)
+    same = " AND ".join(f"p.{b} = c.{a}" for a, b in pairs)
+    return f"""
+        SELECT '{table}' AS target_table, '{",".join(columns.split())}' AS key_columns, '{parent}' AS parent_table,
+            count(*) AS orphan_rows
+        FROM {table} c WHERE {present} AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE {same})"""
+
+
 def _property_rows() -> str:
     """The facts of the customer contract, written out."""
     facts = {
@@ -259,6 +331,7 @@ def _property_rows() -> str:
 
 def oracle_sql(outcomes: str, lineitem_rules: list[tuple[str, str, str]]) -> dict[str, str]:
     """`outcomes`: the SQL of query `table_outcomes`; `lineitem_rules`: kind, name and rows."""
+    views = "WITH " + ", ".join(f"{name} AS ({sql})" for name, sql in VIEWS.items())
     names = ", ".join(f"'{name}'" for name in TABLES)
     loads = " UNION ALL ".join(
         f"SELECT {step} AS step, {by_name} AS by_name, {step} * count(*) AS n_rows, "
@@ -308,4 +381,30 @@ def oracle_sql(outcomes: str, lineitem_rules: list[tuple[str, str, str]]) -> dic
             UNION ALL SELECT 'order', o_orderkey FROM orders WHERE o_custkey IS NOT NULL AND NOT EXISTS (
                 SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_custkey % 3 = 0)""",
         "violating_rows_lineitem": every,
+        "keys_in_one_scan": views + " UNION ALL ".join(
+            _key_groups(*entry)
+            for entry in (
+                ("events", "event_id", "event_id IS NOT NULL"),
+                ("events", "user_id,ts", "user_id IS NOT NULL OR ts IS NOT NULL"),
+                ("events", "user_id,event_type", "user_id IS NOT NULL OR event_type IS NOT NULL"),
+                ("customer", "c_custkey", "c_custkey IS NOT NULL"),
+                ("customer", "c_name", "c_name IS NOT NULL"),
+                ("event_refs", "event_id", "event_id IS NOT NULL"),
+                ("event_refs", "fk_user", "fk_user IS NOT NULL"),
+                ("event_refs", "fk_user,value", "fk_user IS NOT NULL OR value IS NOT NULL"),
+                ("event_refs", "value", "value IS NOT NULL"),
+                ("line_keys", "l_linenumber", "l_linenumber IS NOT NULL"),
+                ("line_keys", "l_orderkey,L_LINENUMBER", "l_orderkey IS NOT NULL OR l_linenumber IS NOT NULL"),
+            )
+        ),
+        "orphans_in_one_shuffle": views + " UNION ALL ".join(
+            _orphan_count(*entry)
+            for entry in (
+                ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"),
+                ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("lineitem", "l_linenumber", "part", "p_partkey"),
+                ("lineitem", "l_orderkey l_linenumber", "line_keys", "l_orderkey l_linenumber"),
+                ("event_refs", "fk_user", "customer", "c_custkey"),
+                ("event_refs", "user_id fk_user", "orders", "o_custkey o_orderkey"),
+            )
+        ),
     }

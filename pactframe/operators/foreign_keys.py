@@ -12,11 +12,12 @@ from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.conditions import all_present
 from ..functions.names import absent_columns, quoted, target_table_name
 from ..model import Rule, TableContract
-from .findings import FOREIGN_KEY, Finding
+from .findings import FOREIGN_KEY, Finding, union_all
 from .keys import key_parts, key_sizes
 from .matching import HOT_ROWS, fits_broadcast, rows_with_keys
 from .rows import Skipped
@@ -148,6 +149,71 @@ def is_orphan(key: ForeignKey, place: int) -> str:
     return f"{all_present(key.columns)} AND NOT __found{place}"
 
 
+def _shared_type(one: T.DataType, other: T.DataType) -> T.DataType | None:
+    """The type in which two key columns are compared: their own, or the widest integer. None where equality
+    would cast in another way."""
+    if one == other:
+        return None if isinstance(one, (T.MapType, T.VariantType)) else one
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    return T.LongType() if isinstance(one, whole) and isinstance(other, whole) else None
+
+
+def shared_types(child: DataFrame, parent: DataFrame, key: ForeignKey) -> list[T.DataType] | None:
+    """The types a key's parts are compared in, or None if `count_orphans_together` cannot take it."""
+    found = [
+        _shared_type(child.select(quoted(a)).schema[0].dataType, parent.select(quoted(b)).schema[0].dataType)
+        for a, b in zip(key.columns, key.ref_columns)
+    ]
+    return None if None in found else found
+
+
+def count_orphans_together(
+    child: DataFrame, keys: Sequence[tuple[ForeignKey, DataFrame]]
+) -> DataFrame:
+    """One row with `orphans<i>`, the child rows without a parent for each of several foreign keys.
+
+    Child and parent keys, each with the number of its foreign key, are one frame: one scan of the child,
+    one of each parent, one shuffle, and one aggregate that sees both sides. Rows are counted before the
+    shuffle. Keys of one type share a column; `shared_types` says which keys can take part.
+    """
+    slots: list[tuple[str, int]] = []
+    placed: list[list[int]] = []  # for each key the slots of its parts
+    for key, parent in keys:
+        seen: dict[str, int] = {}
+        own = []
+        for kind in shared_types(child, parent, key):
+            name = kind.simpleString()
+            seen[name] = seen.get(name, -1) + 1
+            if (name, seen[name]) not in slots:
+                slots.append((name, seen[name]))
+            own.append(slots.index((name, seen[name])))
+        placed.append(own)
+    parts = [f"__s{k}" for k in range(len(slots))]
+
+    def tagged(df: DataFrame, names_of: Mapping[int, Sequence[str]]) -> DataFrame:
+        """The keys of `df` that have all their parts, with the numbers of their foreign keys."""
+        entries = []
+        for number, names in names_of.items():
+            values = ["NULL"] * len(slots)
+            for slot, name in zip(placed[number], names):
+                values[slot] = quoted(name)
+            typed = [f"CAST({v} AS {kind})" for v, (kind, _) in zip(values, slots)]
+            entries.append(", ".join([str(number), all_present(names), *typed]))
+        stacked = f"stack({len(entries)}, {', '.join(entries)}) AS ({', '.join(['__fk', '__ok', *parts])})"
+        return df.selectExpr(stacked).where("__ok").drop("__ok")
+
+    rows = [tagged(child, {k: key.columns for k, (key, _) in enumerate(keys)}).selectExpr("*", "1L AS n", "false AS there")]
+    by_parent: dict[str, tuple[DataFrame, dict[int, Sequence[str]]]] = {}
+    for number, (key, parent) in enumerate(keys):
+        by_parent.setdefault(key.parent_table, (parent, {}))[1][number] = key.ref_columns
+    for parent, names_of in by_parent.values():
+        rows.append(tagged(parent, names_of).selectExpr("*", "0L AS n", "true AS there"))
+    sizes = union_all(rows).groupBy("__fk", *parts).agg(F.sum("n").alias("n"), F.bool_or("there").alias("there"))
+    return sizes.selectExpr(
+        *[f"coalesce(sum(if(__fk = {k} AND NOT there, n, 0L)), 0L) AS orphans{k}" for k in range(len(keys))]
+    )
+
+
 def orphan_key_sizes(
     child: DataFrame, parent: DataFrame, columns: Sequence[str], ref_columns: Sequence[str]
 ) -> DataFrame:

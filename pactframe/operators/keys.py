@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditions import any_present
-from ..functions.names import quoted
+from ..functions.names import folded, quoted
 from ..scratch import checkpointed
 from .matching import (
     MOST_PASSES,
@@ -101,6 +101,36 @@ def count_duplicates(df: DataFrame, key: Sequence[str], hash_first: bool = False
     )
 
 
+def count_duplicates_together(df: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
+    """One row with `primary_groups<i>` and `unique_groups<i>` for each of several keys of a table, as
+    `count_duplicates` has them for one.
+
+    One scan serves all keys: each row is expanded into one per key, in which the other keys' columns are
+    empty, and all are grouped in one shuffle. The grouping set's number keeps a key of NULLs apart
+    from those of another set.
+    """
+    spark = df.sparkSession
+    numbers: dict[str, int] = {}
+    for key in keys:
+        for name in key:
+            numbers.setdefault(folded(spark, name), len(numbers))
+    parts = [[f"__c{numbers[folded(spark, name)]}" for name in key] for key in keys]
+    named = {f"__c{numbers[folded(spark, name)]}": quoted(name) for key in keys for name in key}
+    rows = df.selectExpr(*[f"{name} AS {part}" for part, name in named.items()])
+    groups = (
+        rows.groupingSets(parts, *named)
+        .agg(F.count(F.lit(1)).alias("count"), F.grouping_id().alias("__set"))
+        .where("count > 1")
+    )
+    counts = []
+    for place, own in enumerate(parts):
+        # a bit per column, the first one highest, set for those outside the key
+        outside = sum(1 << (len(named) - 1 - k) for k, part in enumerate(named) if part not in own)
+        counts.append(f"count_if(__set = {outside}) AS primary_groups{place}")
+        counts.append(f"count_if(__set = {outside} AND ({any_present(own)})) AS unique_groups{place}")
+    return groups.selectExpr(*counts)
+
+
 def rows_with_duplicate_key(
     df: DataFrame, key: Sequence[str], kind: str = "primary_key", hash_first: bool = False
 ) -> DataFrame:

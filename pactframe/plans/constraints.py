@@ -1,7 +1,7 @@
 """All rules of one table, or of many, as one report.
 
 A table costs one fused aggregate for its row rules and the foreign keys to small parents,
-one grouping per distinct key, and one anti join per foreign key to a large parent. The parts
+one grouping for all its keys and one for all its foreign keys to large parents. The parts
 are independent branches of one union, so a single action runs them side by side.
 """
 
@@ -33,15 +33,22 @@ from ..operators.foreign_keys import (
     ForeignKey,
     ParentKey,
     TableLookup,
+    count_orphans_together,
     fk_orphans,
     is_orphan,
     orphan_count,
     orphan_rows,
     parent_keys,
     resolve,
+    shared_types,
     with_parent_marks,
 )
-from ..operators.keys import HASH_FIRST_ROWS, count_duplicates, rows_with_duplicate_key
+from ..operators.keys import (
+    HASH_FIRST_ROWS,
+    count_duplicates,
+    count_duplicates_together,
+    rows_with_duplicate_key,
+)
 from ..operators.matching import BROADCAST_BYTES, key_bytes
 from ..operators.rows import (
     RowTest,
@@ -213,6 +220,28 @@ def count_orphans(
     )
 
 
+def count_key_sets(plan: TablePlan, sets: Sequence[KeySet], book: RuleBook) -> DataFrame:
+    """Several key sets of a table in one scan and one shuffle."""
+    counts = {}
+    for place, keys in enumerate(sets):
+        for finding in keys.findings:
+            reading = "primary" if finding.kind == PRIMARY_KEY_DUPLICATE else "unique"
+            counts[book.number(plan.contract.target_name, finding)] = f"{reading}_groups{place}"
+    return numbered(count_duplicates_together(plan.data, [keys.columns for keys in sets]), counts)
+
+
+def count_all_orphans(
+    plan: TablePlan, keys: Sequence[ForeignKey], lookup: TableLookup, book: RuleBook
+) -> DataFrame:
+    """Several foreign keys to large parents in one scan of the child and one shuffle."""
+    found = count_orphans_together(plan.data, [(key, lookup(key.parent_table)) for key in keys])
+    counts = {
+        book.number(plan.contract.target_name, key.finding): f"orphans{place}"
+        for place, key in enumerate(keys)
+    }
+    return numbered(found, counts)
+
+
 def footers_answer_counts(spark: SparkSession) -> bool:
     """Whether the session lets parquet answer plain counts from file footers."""
     row_sources = spark.conf.get("spark.sql.sources.useV1SourceList").lower().split(",")
@@ -240,12 +269,20 @@ def table_counts(
         parts.append(count_rows_and_failures(data, table, tests, book, orphans))
     elif tests or orphans:
         parts.append(count_failures(data, table, tests, book, orphans))
-    parts += [count_key_set(plan, keys, sizes, book) for keys in plan.key_sets]
-    parts += [
-        count_orphans(plan, key, lookup, sizes, book)
-        for key in plan.foreign_keys
-        if key not in together
+    by_value = [keys for keys in plan.key_sets if not sizes.hash_first(plan, keys)]
+    if len(by_value) > 1:
+        parts.append(count_key_sets(plan, by_value, book))
+    else:
+        parts += [count_key_set(plan, keys, sizes, book) for keys in by_value]
+    parts += [count_key_set(plan, keys, sizes, book) for keys in plan.key_sets if keys not in by_value]
+    large = [key for key in plan.foreign_keys if key not in together]
+    united = [
+        key for key in large if shared_types(plan.data, lookup(key.parent_table), key) is not None
     ]
+    if len(united) > 1:
+        parts.append(count_all_orphans(plan, united, lookup, book))
+        large = [key for key in large if key not in united]
+    parts += [count_orphans(plan, key, lookup, sizes, book) for key in large]
     return parts
 
 

@@ -4,12 +4,13 @@ import re
 
 import pytest
 
+import pactframe as pf
 from pactframe import cast_rejects, conform, duplicate_keys, fk_orphans, orphan_rows, validate_constraints
 from pactframe.operators.conform import split_staged, stage
 from pactframe.operators.findings import RuleBook
-from pactframe.operators.foreign_keys import orphan_key_sizes
+from pactframe.operators.foreign_keys import orphan_key_sizes, shared_types
 from pactframe.operators.rows import count_rows_and_failures, row_tests, rows_violating
-from pactframe.plans.constraints import measure, plan_table, table_counts
+from pactframe.plans.constraints import UNMEASURED, measure, plan_table, table_counts
 from conftest import SF_DIR
 from fixture_contracts import BY_NAME, fixture_lookup
 
@@ -143,3 +144,43 @@ def test_load_is_one_stage_of_generated_code(find):
     plan = plan_of(fitting)
     assert "Exchange" not in plan and no_python(plan) and "lambda" not in plan
     assert "lambda" in plan_of(rejected)  # naming what is wrong is left to the rows set aside
+
+
+@pytest.mark.parametrize("table", ["events", "customer"])
+def test_all_keys_of_a_table_take_one_scan_and_one_shuffle(find, table):
+    plan = plan_table(BY_NAME[table], find, BY_NAME)
+    assert len(plan.key_sets) == 2
+    parts = table_counts(plan, find, measure([plan], find), RuleBook())
+    text = plan_of(parts[-1])
+    assert len(parts) == 2 and len(scans(text)) == 1
+    assert "Expand" in text and text.count("hashpartitioning") == 1 and no_python(text)
+
+
+def test_large_parents_share_one_scan_of_the_child_and_one_shuffle(spark, find):
+    plan = plan_table(BY_NAME["lineitem"], find, BY_NAME)
+    parts = table_counts(plan, find, UNMEASURED, RuleBook())  # every parent counts as large
+    text = plan_of(parts[-1])
+    assert sorted(map(sorted, columns_read(text))) == [
+        ["l_orderkey", "l_partkey", "l_suppkey"], ["o_orderkey"], ["p_partkey"], ["s_suppkey"]
+    ]
+    assert text.count("hashpartitioning") == 1 and "Join" not in text and no_python(text)
+
+
+def test_keys_of_differing_types_are_joined_as_before(spark):
+    child = spark.createDataFrame([("1", 1, 2)], "a string, b int, c long")
+    parent = spark.createDataFrame([(1, 2)], "k long, d int")
+    contract = pf.TableContract(
+        "child", (pf.Column("a", "VARCHAR2(9)"),),
+        (
+            pf.Rule("foreign_key", ("a",), "text", "PARENT", ("k",)),
+            pf.Rule("foreign_key", ("b",), "whole", "PARENT", ("k",)),
+            pf.Rule("foreign_key", ("c",), "wider", "PARENT", ("d",)),
+        ),
+    )
+    find = {"child": child, "parent": parent}.get
+    plan = plan_table(contract, find, {})
+    assert [shared_types(child, parent, key) is None for key in plan.foreign_keys] == [True, False, False]
+    parts = table_counts(plan, find, UNMEASURED, RuleBook())
+    assert len(parts) == 3
+    found = pf.validate_constraints(contract, find).where("kind = 'foreign_key'")
+    assert {(r["rule_name"], r["violations"]) for r in found.collect()} == {("text", 0), ("whole", 0), ("wider", 0)}
