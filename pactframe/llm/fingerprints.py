@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Mapping, Sequence
+from hashlib import sha256
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batch_of, col, slices
+from .common import batch_of, col, id_and_text, slices
+from .neighbours import dealt_by_id, pairs
 
 WINDOW = 32  # bytes of a feature
 CLASSES = 1001
@@ -258,7 +260,41 @@ def fingerprints(
     return df.select(*map(col, others), *texts).mapInArrow(digest, out)
 
 
-def edited(text: Column, following: Column) -> Column:
+def edited(text: str, following: str) -> str:
     """`text` with its last quarter, in code points, replaced by as much of another text's start."""
-    part = F.floor(F.length(text) / 4).cast("int")
-    return F.concat(F.substring(text, F.lit(1), F.length(text) - part), F.substring(following, F.lit(1), part))
+    part = len(text) // 4
+    return text[: len(text) - part] + following[:part]
+
+
+def edit_likeness(
+    df: DataFrame, ranks: Sequence[int], id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """How well fingerprints bear an edit: per row `id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    near_edited, near_next`.
+
+    The edited text of a row ends as the next row, in the order of ids, begins (`edited`); `near_edited` is the likeness
+    to it, `near_next` that to the next row itself. Rows meet as in `neighbours.with_next`, which states the
+    order of null and repeated ids; texts are treated as in `fingerprints`. All is done where a range of ids
+    lies, a few rows at a time.
+    """
+    names = "id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
+    schema = pa.schema([(field.split()[0], kind) for field, kind in zip(names.split(", "), kinds, strict=True)])
+    table = np.array(ranks, np.int32)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts, following in pairs(batches):
+            changed = [edited(text, other).encode() for text, other in zip(texts, following, strict=True)]
+            given = [[text.encode() for text in texts], changed, [text.encode() for text in following]]
+            known: dict[bytes, bytes] = dict.fromkeys(text for values in given for text in values)
+            distinct = list(known)
+            for low, high in slices(distinct, BLOCK):
+                known.update(zip(distinct[low:high], digests(distinct[low:high], table), strict=True))
+            own, other, beside = ([known[text] for text in values] for values in given)
+            yield batch_of(
+                schema, ids, map(len, texts), [sha256(text).hexdigest() for text in changed], own, other,
+                [overlap(a, b) for a, b in zip(own, other, strict=True)],
+                [overlap(a, b) for a, b in zip(own, beside, strict=True)],
+            )
+
+    return dealt_by_id(id_and_text(df, id_col, text_col)).mapInArrow(compare, names)

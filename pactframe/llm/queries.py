@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from ..scratch import scratch_path
 from . import byte_bpe, licenses, secrets, warc
-from .common import id_and_text, ship, table
+from .common import ship, table
 from .exact_dedup import exact_dedup
-from .fingerprints import edited, entropy_ranks, fingerprints, likeness
+from .fingerprints import edit_likeness, entropy_ranks
 from .jaccard_join import jaccard_join
 from .merkle import hex_text, manifest
-from .neighbours import with_next
 from .packing import pack
 from .periodic import periodic_runs
 from .quality import quality_scores
@@ -183,21 +182,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of an edited copy that ends as the next document begins."""
-    docs = id_and_text(table(spark, sf_dir, "documents"), "doc_id", "text")
-    ranks = entropy_ranks(docs)
-    pairs = with_next(docs).select(
-        F.col("id").alias("doc_id"), F.length("text").cast("long").alias("n_chars"), "text", "next_text",
-        edited(F.col("text"), F.col("next_text")).alias("edited_text"),
-    )
-    pairs = pairs.withColumn("edited_sha256", F.sha2(F.col("edited_text").cast("binary"), 256))
-    made = fingerprints(
-        pairs, {"text": "fingerprint", "edited_text": "edited_fingerprint", "next_text": "following"}, ranks
-    )
-    return made.select(
-        "doc_id", "n_chars", "edited_sha256",
+    docs = table(spark, sf_dir, "documents")
+    found = edit_likeness(docs, entropy_ranks(docs))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
         *(F.translate(F.base64(c), "\r\n", "").alias(c) for c in ("fingerprint", "edited_fingerprint")),
-        likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
-        likeness("fingerprint", "following").alias("near_next"),
+        "near_edited", "near_next",
     )
 
 
