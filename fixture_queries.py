@@ -269,6 +269,24 @@ def orphans_in_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(parts)
 
 
+def duplicates_in_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicate keys of two stored copies of a table: one in the order of the key, whose files share no
+    key and are not shuffled, and one in no order."""
+    lines = fixture_lookup(spark, sf_dir)("line_keys")
+    copies = {
+        "sorted": lines.repartitionByRange(8, "l_orderkey").sortWithinPartitions("l_orderkey"),
+        "shuffled": lines.repartition(8, F.xxhash64("l_orderkey", "l_linenumber")),
+    }
+    parts = []
+    for name, rows in copies.items():
+        path = scratch_path(spark, name)
+        rows.write.parquet(path)
+        for kind in ("primary_key", "unique"):
+            found = pf.duplicate_keys(spark.read.parquet(path), ["l_orderkey", "l_linenumber"], kind, in_files=True)
+            parts.append(found.select(F.lit(name).alias("copy"), F.lit(kind).alias("kind"), *found.columns))
+    return union_all(parts)
+
+
 def violating_rows_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pf.violating_rows(BY_NAME["lineitem"], fixture_lookup(spark, sf_dir), BY_NAME)
     return rows.select("kind", "rule_name", "l_orderkey", "l_linenumber")
@@ -288,6 +306,7 @@ def queries() -> dict[str, Query]:
         "violating_rows_lineitem": violating_rows_lineitem,
         "keys_in_one_scan": keys_in_one_scan,
         "orphans_in_one_shuffle": orphans_in_one_shuffle,
+        "duplicates_in_files": duplicates_in_files,
     }
 
 
@@ -397,6 +416,11 @@ def oracle_sql(outcomes: str, lineitem_rules: list[tuple[str, str, str]]) -> dic
                 ("line_keys", "l_orderkey,L_LINENUMBER", "l_orderkey IS NOT NULL OR l_linenumber IS NOT NULL"),
             )
         ),
+        "duplicates_in_files": views + """
+            SELECT copy, kind, l_orderkey, l_linenumber, count(*) AS n_rows
+            FROM line_keys, (VALUES ('sorted'), ('shuffled')) c(copy), (VALUES ('primary_key'), ('unique')) k(kind)
+            WHERE kind = 'primary_key' OR l_orderkey IS NOT NULL OR l_linenumber IS NOT NULL
+            GROUP BY ALL HAVING count(*) > 1""",
         "orphans_in_one_shuffle": views + " UNION ALL ".join(
             _orphan_count(*entry)
             for entry in (

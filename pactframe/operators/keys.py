@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.conditions import any_present
 from ..functions.names import folded, quoted
 from ..scratch import checkpointed
+from .file_ranges import duplicates_in_splits, lone_splits
 from .matching import (
     MOST_PASSES,
     key_bytes,
@@ -56,14 +57,22 @@ def _suspects(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def duplicate_key_sizes(
-    df: DataFrame, key: Sequence[str], drop_all_null: bool = False, hash_first: bool = False
+    df: DataFrame,
+    key: Sequence[str],
+    drop_all_null: bool = False,
+    hash_first: bool = False,
+    in_files: bool = False,
 ) -> DataFrame:
     """The groups of `key_sizes` with more than one row.
 
     `hash_first` is for long text keys on large tables: it finds repeated hashes first and
-    groups by the real key only the rows behind them. The result is the same.
+    groups by the real key only the rows behind them. `in_files` is for large tables stored in the order of
+    the key: rows of files that share no key are not moved. The result is the same.
     """
     rows = df.where(any_present(key)) if drop_all_null else df
+    lone = lone_splits(rows, key) if in_files else None
+    if lone is not None:
+        return duplicates_in_splits(rows, key, lone)
     if hash_first:
         rows = _suspects(rows, key)
     return key_sizes(rows, key).where("count > 1")
@@ -75,12 +84,13 @@ def duplicate_keys(
     kind: str = "primary_key",
     hash_first: bool = False,
     count_name: str = "n_rows",
+    in_files: bool = False,
 ) -> DataFrame:
     """The key columns and the number of rows of every key that occurs more than once.
 
     For `kind="unique"` rows whose key is NULL in all parts are left out.
     """
-    groups = duplicate_key_sizes(df, key, kind == "unique", hash_first)
+    groups = duplicate_key_sizes(df, key, kind == "unique", hash_first, in_files)
     return groups.toDF(*key, count_name)
 
 
@@ -95,7 +105,11 @@ def duplicate_key_groups(
 def count_duplicates(df: DataFrame, key: Sequence[str], hash_first: bool = False) -> DataFrame:
     """One row with the duplicate groups under both readings of NULL, from one grouping:
     `primary_groups` counts all, `unique_groups` leaves out the key that is NULL in all parts."""
-    groups = duplicate_key_sizes(df, key, hash_first=hash_first)
+    return count_groups(duplicate_key_sizes(df, key, hash_first=hash_first), key)
+
+
+def count_groups(groups: DataFrame, key: Sequence[str]) -> DataFrame:
+    """`count_duplicates`, given the groups."""
     return groups.selectExpr(
         "count(1) AS primary_groups", f"count_if({any_present(key_parts(key))}) AS unique_groups"
     )

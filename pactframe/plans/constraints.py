@@ -43,8 +43,11 @@ from ..operators.foreign_keys import (
     shared_types,
     with_parent_marks,
 )
+from ..operators import file_ranges
+from ..operators.file_ranges import duplicates_in_splits, lone_splits, stored_bytes
 from ..operators.keys import (
     HASH_FIRST_ROWS,
+    count_groups,
     count_duplicates,
     count_duplicates_together,
     rows_with_duplicate_key,
@@ -198,13 +201,18 @@ def _parent_bytes(lookup: TableLookup, table: str, columns: Sequence[str]) -> Da
 
 
 def count_key_set(plan: TablePlan, keys: KeySet, sizes: Sizes, book: RuleBook) -> DataFrame:
+    found = count_duplicates(plan.data, keys.columns, sizes.hash_first(plan, keys))
+    return numbered_groups(plan, keys, found, book)
+
+
+def numbered_groups(plan: TablePlan, keys: KeySet, found: DataFrame, book: RuleBook) -> DataFrame:
+    """`(rule_id, n)` of the rules of a key set, from its duplicate groups under both readings."""
     counts = {
         book.number(plan.contract.target_name, finding): (
             "primary_groups" if finding.kind == PRIMARY_KEY_DUPLICATE else "unique_groups"
         )
         for finding in keys.findings
     }
-    found = count_duplicates(plan.data, keys.columns, sizes.hash_first(plan, keys))
     return numbered(found, counts)
 
 
@@ -270,11 +278,20 @@ def table_counts(
     elif tests or orphans:
         parts.append(count_failures(data, table, tests, book, orphans))
     by_value = [keys for keys in plan.key_sets if not sizes.hash_first(plan, keys)]
+    if by_value and stored_bytes(plan.data) >= file_ranges.FILE_RANGE_BYTES:
+        in_files = {keys: lone_splits(plan.data, keys.columns) for keys in by_value}
+        for keys, lone in in_files.items():
+            if lone is not None:
+                groups = duplicates_in_splits(plan.data, keys.columns, lone)
+                parts.append(numbered_groups(plan, keys, count_groups(groups, keys.columns), book))
+        by_value = [keys for keys in by_value if in_files[keys] is None]
     if len(by_value) > 1:
         parts.append(count_key_sets(plan, by_value, book))
     else:
         parts += [count_key_set(plan, keys, sizes, book) for keys in by_value]
-    parts += [count_key_set(plan, keys, sizes, book) for keys in plan.key_sets if keys not in by_value]
+    parts += [
+        count_key_set(plan, keys, sizes, book) for keys in plan.key_sets if sizes.hash_first(plan, keys)
+    ]
     large = [key for key in plan.foreign_keys if key not in together]
     united = [
         key for key in large if shared_types(plan.data, lookup(key.parent_table), key) is not None
