@@ -246,7 +246,9 @@ def periodic_runs(
         marked.where(F.size("tiles") > 0).withColumn("row", F.monotonically_increasing_id()), "tiled"
     )
     tiles = chosen.select("row", F.explode("tiles").alias("tile")).select("row", "tile.*")
-    fragments = _fragments(tiles.repartition("row", "low", "start"), least_words)
+    # As many parts as the session has: tiles are small, but take long.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fragments = _fragments(tiles.repartition(parts, "row", "low", "start"), least_words)
     runs = (
         stitched(fragments, least_words, least_repeats)
         .groupBy("row")
