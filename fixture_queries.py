@@ -269,6 +269,28 @@ def orphans_in_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(parts)
 
 
+def rows_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of repeated texts, orphan orders and repeated line keys with NULLs, with no bytes to broadcast:
+    found by key alone and fetched from their files."""
+    find = fixture_lookup(spark, sf_dir)
+
+    def repeated(df: DataFrame, names: list[str]) -> DataFrame:
+        keys = key_sizes(df, names).selectExpr("*", "count > 1 AS wanted")
+        return rows_with_keys(df, keys, names, True, hot_rows=3, broadcast_bytes=1, most_passes=0)
+
+    documents, orders, lines = find("documents"), find("orders"), find("line_keys")
+    few = find("customer").where("c_custkey % 3 = 0")
+    orphans = orphan_key_sizes(orders, few, ["o_custkey"], ["c_custkey"]).selectExpr("*", "true AS wanted")
+    lost = rows_with_keys(orders, orphans, ["o_custkey"], broadcast_bytes=1, most_passes=0, hot_rows=50)
+    return union_all(
+        [
+            repeated(documents, ["text"]).selectExpr("'text' AS part", "doc_id AS id", "CAST(n_chars AS long) AS more"),
+            lost.selectExpr("'order'", "o_orderkey", "o_custkey"),
+            repeated(lines, ["l_orderkey", "l_linenumber"]).selectExpr("'line'", "l_orderkey", "CAST(l_linenumber AS long)"),
+        ]
+    )
+
+
 def duplicates_in_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Duplicate keys of two stored copies of a table: one in the order of the key, whose files share no
     key and are not shuffled, and one in no order."""
@@ -307,6 +329,7 @@ def queries() -> dict[str, Query]:
         "keys_in_one_scan": keys_in_one_scan,
         "orphans_in_one_shuffle": orphans_in_one_shuffle,
         "duplicates_in_files": duplicates_in_files,
+        "rows_by_place": rows_by_place,
     }
 
 
@@ -416,6 +439,13 @@ def oracle_sql(outcomes: str, lineitem_rules: list[tuple[str, str, str]]) -> dic
                 ("line_keys", "l_orderkey,L_LINENUMBER", "l_orderkey IS NOT NULL OR l_linenumber IS NOT NULL"),
             )
         ),
+        "rows_by_place": views + """
+            SELECT 'text' AS part, doc_id AS id, n_chars AS more FROM documents
+            WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)
+            UNION ALL SELECT 'order', o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL AND NOT EXISTS (
+                SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_custkey % 3 = 0)
+            UNION ALL SELECT 'line', l_orderkey, l_linenumber FROM (
+                SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM line_keys) WHERE n > 1""",
         "duplicates_in_files": views + """
             SELECT copy, kind, l_orderkey, l_linenumber, count(*) AS n_rows
             FROM line_keys, (VALUES ('sorted'), ('shuffled')) c(copy), (VALUES ('primary_key'), ('unique')) k(kind)
