@@ -53,7 +53,7 @@ def dealt_by_id(rows: DataFrame, parts: int | None = None) -> DataFrame:
         placed.withColumn("part", part)
         .withColumn("to", F.explode(F.when(at_bound, F.array(own, sent)).otherwise(F.array(own))))
         .select("to.part", "to.ahead", "place", "id", "text")
-        .repartition(len(bounds), "part")
+        .repartitionById(len(bounds), F.col("part"))
         .sortWithinPartitions("part", "ahead", "place", "text")
     )
     return dealt.select("ahead", "id", "text")
