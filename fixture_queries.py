@@ -92,6 +92,28 @@ def load_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dropped(spark, store, out)
 
 
+def loads_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in a table and set aside after a batch, the same again, and another one whose input is
+    read once."""
+    contract = pf.TableContract(
+        "orders",
+        (pf.Column("o_orderkey", "NUMBER(12)", nullable=False), pf.Column("o_totalprice", "NUMBER(7,2)")),
+    )
+    store = fresh_store(spark, "batches")
+    aside = f"{store.root}/set_aside"
+    orders = fixture_lookup(spark, sf_dir)("orders")
+    pf.run(spark, "create", [contract], store, pf.RunOptions(continue_on_error=False))
+    rows = []
+    for step, (batch, once) in enumerate((("a", False), ("a", False), ("b", True))):
+        result = pf.load_table(orders, contract, store, set_aside_path=aside, batch_id=batch, read_once=once)
+        n = pf.read_table(spark, store, "orders").count()
+        rows.append((step, batch, result.rows_read, result.rows_loaded, n, spark.read.parquet(aside).count()))
+    out = spark.createDataFrame(
+        rows, "step int, batch string, n_read long, n_loaded long, n_rows long, n_aside long"
+    )
+    return dropped(spark, store, out)
+
+
 def create_register_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What becomes of a table with rows when it is created again in each mode."""
     store, contract = fresh_store(spark, "modes"), BY_NAME["customer"]
@@ -318,6 +340,7 @@ def queries() -> dict[str, Query]:
     return {
         "run_outcomes": run_outcomes,
         "load_by_name": load_by_name,
+        "loads_by_batch": loads_by_batch,
         "create_register_replace": create_register_replace,
         "contract_properties": contract_properties,
         "run_errors": run_errors,
@@ -397,6 +420,12 @@ def oracle_sql(outcomes: str, lineitem_rules: list[tuple[str, str, str]]) -> dic
             UNION ALL SELECT 'drifted', count(*), 0, 'failed' FROM region
             UNION ALL SELECT 'gone', NULL, 0, 'error'""",
         "load_by_name": loads,
+        "loads_by_batch": """
+            SELECT step, batch, count(*) AS n_read, count(*) FILTER (fits) AS n_loaded, times * count(*) FILTER (fits) AS n_rows,
+                times * count(*) FILTER (NOT fits) AS n_aside
+            FROM (SELECT round(o_totalprice, 2) < 100000 AS fits FROM orders),
+                (VALUES (0, 'a', 1), (1, 'a', 1), (2, 'b', 2)) b(step, batch, times)
+            GROUP BY step, batch, times""",
         "create_register_replace": """
             SELECT 'register' AS mode, false AS allow_data_loss, 'registered' AS state, count(*) AS n_rows FROM customer
             UNION ALL SELECT 'create', false, 'AnalysisException', count(*) FROM customer

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field, replace
 from urllib.parse import unquote, urlparse
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.names import folded, quoted, sql_text
 from ..model import Rule, TableContract
 from ..operators.conform import CAST, check_set_aside, split_staged, stage
+from ..scratch import checkpointed
+from .files import Folder
 
 # Conditions under which a file source says that nothing is stored at a path.
 NOTHING_STORED = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
@@ -147,6 +150,7 @@ def create_table(
     if mode not in ("create", "register", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
     target = contract.target_name
+    restore_replaced(spark, store, target)
     present = find_table(spark, store, target)
     if present is not None and mode == "register":
         register_table(spark, store, target)
@@ -155,18 +159,63 @@ def create_table(
         if not allow_data_loss and not present.isEmpty():
             raise DataLossError(f"{target} holds rows; pass allow_data_loss=True to drop them")
     empty = spark.createDataFrame([], contract.schema)
-    (
-        empty.write.format(store.provider)
-        .mode("overwrite" if mode == "replace" else "errorifexists")
-        .option("overwriteSchema", "true")
-        .save(store.path(target))
-    )
+    if present is not None and mode == "replace" and store.provider != "delta":
+        _swap_in(spark, store, contract, empty)
+    else:
+        (
+            empty.write.format(store.provider)
+            .mode("overwrite" if mode == "replace" else "errorifexists")
+            .option("overwriteSchema", "true")
+            .save(store.path(target))
+        )
     register_table(spark, store, target)
     if present is not None:
         spark.catalog.refreshTable(store.identifier(target))
     return "created" if present is None else "replaced"
 
 
+def _beside(target: str, what: str) -> str:
+    """The name of a hidden folder next to a table's."""
+    return f"_{what}.{target}"
+
+
+def restore_replaced(spark: SparkSession, store: TableStore, target: str) -> bool:
+    """Put back a table that a replacement was interrupted in moving aside; True if there was one."""
+    if store.provider == "delta":
+        return False
+    root, old = Folder(spark, store.root), _beside(target, "old")
+    if root.exists(target) or not root.exists(old):
+        return False
+    root.rename(old, target)
+    return True
+
+
+def _swap_in(
+    spark: SparkSession, store: TableStore, contract: TableContract, rows: DataFrame
+) -> None:
+    """Put a new table in the place of a stored one.
+
+    The new one is written beside it and read back first. Until then the old one is untouched; then
+    it is moved aside, the new one takes its place, and only after that the old files go. A run that dies
+    between the two moves leaves the old table whole beside: `restore_replaced` puts it back.
+    """
+    target = contract.target_name
+    root, new, old = Folder(spark, store.root), _beside(target, "new"), _beside(target, "old")
+    root.delete(new)
+    rows.write.format(store.provider).save(f"{root.path}/{new}")
+    written = spark.read.format(store.provider).load(f"{root.path}/{new}").schema
+    if [(f.name, f.dataType) for f in written] != [(f.name, f.dataType) for f in contract.schema]:
+        raise SchemaMismatch(f"{target} was written as {written.simpleString()}; the stored table is as it was")
+    root.delete(old)  # left by a replacement that ended after its moves
+    root.rename(target, old)
+    try:
+        root.rename(new, target)
+    except Exception:
+        root.rename(old, target)
+        raise
+    root.delete(old)
+
+
 def contract_properties(contract: TableContract, prefix: str = "oracle") -> dict[str, str]:
     """The contract's facts as table properties holding JSON."""
 
@@ -266,6 +315,19 @@ class LoadResult:
     def rows_set_aside(self) -> int:
         return self.rows_read - self.rows_loaded
 
+    def to_json(self) -> str:
+        failures = [[*rule, n] for rule, n in self.failures.items()]
+        return json.dumps({"rows_read": self.rows_read, "rows_loaded": self.rows_loaded, "failures": failures})
+
+    @classmethod
+    def from_json(cls, text: str) -> LoadResult:
+        held = json.loads(text)
+        failures = {(kind, label): n for kind, label, n in held["failures"]}
+        return cls(held["rows_read"], held["rows_loaded"], failures)
+
+
+LOADS = "_loads"  # hidden from readers of the table
+
 
 def load_table(
     df: DataFrame,
@@ -274,19 +336,85 @@ def load_table(
     set_aside: Collection[str] = (CAST,),
     set_aside_path: str | None = None,
     fill_defaults: bool = True,
+    batch_id: str | None = None,
+    read_once: bool = False,
 ) -> LoadResult:
     """Append `df` to a contracted table in its declared columns.
 
     Rows failing a rule of a kind in `set_aside` stay out of the table; other failures are
     only counted. All counts are taken by the write itself. The rows set aside are written
-    to `set_aside_path` as they came in, with what is wrong with each; that second pass only
-    runs when there are any, and raises if it finds another number of them than the first. The table
+    to `set_aside_path` as they came in, with what is wrong with each. The table
     must be there and have the contract's schema.
+
+    Everything is written to hidden folders first, in the table and in `set_aside_path`; a marker then makes
+    the load valid, and its files are moved into place. A load that dies before the marker has changed
+    nothing. With a `batch_id` it can be repeated: once marked it is only completed, not done again, and
+    the result is that of the first time. Two loads of one id must not run at once. While files are moved a
+    reader may see some of them. Delta appends in commits of its own and takes no `batch_id`.
+
+    The input is read a second time if rows are set aside; if it then gives another number of them, nothing is
+    loaded and `UnrepeatableInput` is raised. With `read_once` the staged rows are stored first, for
+    inputs that are costly or cannot be read again.
     """
     spark, target = df.sparkSession, contract.target_name
     check_set_aside(set_aside, set_aside_path)
-    check_loadable(spark, contract, store)
+    if store.provider == "delta":
+        if batch_id is not None:
+            raise ValueError("a batch_id is for file tables")
+        return _append(df, contract, store, set_aside, fill_defaults, store.path(target), set_aside_path, read_once)
+    name = f"{LOADS}/{batch_id or uuid.uuid4().hex}"
+    table = Folder(spark, store.path(target))
+    aside = Folder(spark, set_aside_path) if set_aside_path else None
+    if not table.exists(f"{name}/marked"):
+        check_loadable(spark, contract, store)
+        for folder in (table, aside):
+            if folder is not None:
+                folder.delete(name)  # what a load of this id left when it died
+        try:
+            result = _append(
+                df, contract, store, set_aside, fill_defaults, f"{table.path}/{name}/rows",
+                aside and f"{aside.path}/{name}/rows", read_once,
+            )
+        except Exception:
+            for folder in (table, aside):
+                if folder is not None:
+                    folder.delete(name)
+            raise
+        table.write_text(f"{name}/marked", result.to_json())
+    _complete(table, aside, name)
+    refresh(spark, store, target)
+    result = LoadResult.from_json(table.read_text(f"{name}/marked"))
+    if batch_id is None:
+        table.delete(name)
+    return result
+
+
+def _complete(table: Folder, aside: Folder | None, name: str) -> None:
+    """Move the files of a marked load into place; those that were moved before are gone from its folder."""
+    for folder in (aside, table):
+        if folder is not None:
+            for file in folder.names(f"{name}/rows"):
+                if not file.startswith(("_", ".")):
+                    folder.rename(f"{name}/rows/{file}", file)
+            folder.delete(f"{name}/rows")
+    if aside is not None:
+        aside.delete(name)
+
+
+def _append(
+    df: DataFrame,
+    contract: TableContract,
+    store: TableStore,
+    set_aside: Collection[str],
+    fill_defaults: bool,
+    path: str,
+    aside_path: str | None,
+    read_once: bool,
+) -> LoadResult:
+    """Write the rows that fit and those set aside, and count both and every failure."""
     staged = stage(df, contract, fill_defaults)
+    if read_once:
+        staged = replace(staged, rows=checkpointed(staged.rows))
     seen = Observation()
     counts = [F.expr(f"count_if({test.failure}) AS t{i}") for i, test in enumerate(staged.tests)]
     observed = replace(
@@ -299,8 +427,7 @@ def load_table(
         ),
     )
     fitting, _ = split_staged(observed, contract, set_aside)
-    fitting.write.format(store.provider).mode("append").save(store.path(target))
-    refresh(spark, store, target)
+    fitting.write.format(store.provider).mode("append").save(path)
     got = seen.get
     failures = {
         (test.finding.kind, test.finding.label): got[f"t{i}"]
@@ -312,10 +439,10 @@ def load_table(
         _, rejected = split_staged(staged, contract, set_aside)
         again = Observation()
         rejected = rejected.observe(again, F.count(F.lit(1)).alias("n"))
-        rejected.write.format(store.provider).mode("append").save(set_aside_path)
+        rejected.write.format(store.provider).mode("append").save(aside_path)
         if again.get["n"] != result.rows_set_aside:
             raise UnrepeatableInput(
-                f"{target}: {result.rows_set_aside} rows were set aside while loading and "
-                f"{again.get['n']} when they were read again to be stored at {set_aside_path}"
+                f"{contract.target_name}: {result.rows_set_aside} rows were set aside while loading and "
+                f"{again.get['n']} when they were read again to be stored"
             )
     return result

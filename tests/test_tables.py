@@ -196,3 +196,131 @@ def test_an_input_that_changes_between_passes_is_noticed(spark, tmp_path):
     with pytest.raises(UnrepeatableInput):
         load_table(moving, contract, store, set_aside_path=str(tmp_path / "aside"))
     spark.sql("DROP SCHEMA unrepeatable CASCADE")
+
+
+class Died(BaseException):
+    """Stands for a driver that is killed."""
+
+
+def dying(monkeypatch, method, when):
+    """The given method of folders dies when `when(call number, arguments)` holds."""
+    from pactframe.sources.files import Folder
+
+    original, calls = getattr(Folder, method), []
+
+    def call(self, *args):
+        calls.append(args)
+        if when(len(calls), args):
+            raise Died
+        return original(self, *args)
+
+    monkeypatch.setattr(Folder, method, call)
+
+
+@pytest.mark.parametrize("read_once", [False, True])
+def test_a_load_that_dies_before_its_marker_changes_nothing(spark, store, tmp_path, monkeypatch, read_once):
+    create_table(spark, store, CONTRACT)
+    aside = str(tmp_path / "aside")
+    load_table(incoming(spark), CONTRACT, store, set_aside_path=aside)
+    with monkeypatch.context() as patch:
+        dying(patch, "write_text", lambda n, args: True)
+        with pytest.raises(Died):
+            load_table(incoming(spark), CONTRACT, store, set_aside_path=aside, batch_id="monday", read_once=read_once)
+    spark.catalog.refreshByPath(store.path("thing"))
+    assert read_table(spark, store, "thing").count() == 2 and spark.read.parquet(aside).count() == 2
+    for _ in range(2):
+        result = load_table(incoming(spark), CONTRACT, store, set_aside_path=aside, batch_id="monday", read_once=read_once)
+        assert (result.rows_read, result.rows_loaded, result.rows_set_aside) == (4, 2, 2)
+        assert result.failures[("not_null", "ID")] == 2
+        assert read_table(spark, store, "thing").count() == 4 and spark.read.parquet(aside).count() == 4
+
+
+@pytest.mark.parametrize("at", [1, 2, 3])
+def test_a_load_that_dies_while_files_are_moved_is_completed(spark, store, tmp_path, monkeypatch, at):
+    create_table(spark, store, CONTRACT)
+    aside = str(tmp_path / "aside")
+    rows = incoming(spark).repartition(4)
+    with monkeypatch.context() as patch:
+        moves = []
+        dying(patch, "rename", lambda n, args: "/rows/" in args[0] and (moves.append(n) or len(moves) == at))
+        with pytest.raises(Died):
+            load_table(rows, CONTRACT, store, set_aside_path=aside, batch_id="b")
+    for _ in range(2):
+        again = load_table(incoming(spark).where("false"), CONTRACT, store, set_aside_path=aside, batch_id="b")
+        assert (again.rows_read, again.rows_loaded) == (4, 2)  # of the load that was marked
+        assert read_table(spark, store, "thing").count() == 2 and spark.read.parquet(aside).count() == 2
+
+
+def test_read_once_reads_the_input_once(spark, store, tmp_path):
+    create_table(spark, store, CONTRACT)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = incoming(spark).mapInPandas(count, "id string, price string")
+    result = load_table(rows, CONTRACT, store, set_aside_path=str(tmp_path / "aside"), read_once=True)
+    assert result.rows_set_aside == 2 and seen.value == 4
+
+
+def test_a_refused_load_leaves_nothing_behind(spark, tmp_path):
+    from pactframe.sources.tables import UnrepeatableInput
+
+    store = TableStore(str(tmp_path / "t"), "parquet", "refused")
+    contract = TableContract("MOVING", (Column("V", "NUMBER(3)"),))
+    spark.sql("CREATE SCHEMA IF NOT EXISTS refused")
+    create_table(spark, store, contract)
+    moving = spark.range(5001).selectExpr("if(id <= pmod(unix_micros(current_timestamp()), 5000), 5000, 1) AS V")
+    with pytest.raises(UnrepeatableInput):
+        load_table(moving, contract, store, set_aside_path=str(tmp_path / "aside"), batch_id="x")
+    assert read_table(spark, store, "moving").count() == 0
+    assert not (tmp_path / "t" / "moving" / "_loads" / "x").exists()
+    once = load_table(moving, contract, store, set_aside_path=str(tmp_path / "aside"), batch_id="x", read_once=True)
+    assert read_table(spark, store, "moving").count() == once.rows_loaded
+    spark.sql("DROP SCHEMA refused CASCADE")
+
+
+def filled(spark, store):
+    create_table(spark, store, CONTRACT)
+    load_table(incoming(spark), CONTRACT, store, set_aside=())
+    return sorted(map(tuple, read_table(spark, store, "thing").collect()), key=str)
+
+
+def rows_now(spark, store):
+    spark.catalog.refreshByPath(store.path("thing"))
+    return sorted(map(tuple, read_table(spark, store, "thing").collect()), key=str)
+
+
+def test_a_failing_replacement_leaves_the_old_rows(spark, store, monkeypatch):
+    before = filled(spark, store)
+    from pactframe.sources.files import Folder
+
+    original = Folder.rename
+    for fails in ("_new.thing", "thing"):
+        def rename(self, name, to, fails=fails):
+            if name == fails:
+                raise OSError("no")
+            original(self, name, to)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(Folder, "rename", rename)
+            with pytest.raises(OSError):
+                create_table(spark, store, CONTRACT, "replace", allow_data_loss=True)
+        assert rows_now(spark, store) == before
+    assert create_table(spark, store, CONTRACT, "replace", allow_data_loss=True) == "replaced"
+    assert rows_now(spark, store) == []
+    from pathlib import Path
+
+    assert not [p.name for p in Path(store.root).iterdir() if p.name.startswith("_")]
+
+
+def test_a_replacement_that_dies_between_its_moves_is_undone(spark, store, monkeypatch):
+    before = filled(spark, store)
+    with monkeypatch.context() as patch:
+        dying(patch, "rename", lambda n, args: args[0] == "_new.thing")
+        with pytest.raises(Died):
+            create_table(spark, store, CONTRACT, "replace", allow_data_loss=True)
+    assert create_table(spark, store, CONTRACT, "register") == "registered"
+    assert rows_now(spark, store) == before
