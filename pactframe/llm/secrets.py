@@ -119,14 +119,18 @@ class Scanner:
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         found = base_spans(text)
         for kind, pattern in self.patterns:
+            # Candidates come in order and do not overlap, so what earlier kinds cover is swept once: of the spans
+            # that begin up to a candidate's start, the furthest end tells.
+            earlier, place, reached = sorted(found), 0, -1
             for match in pattern.finditer(text):
-                if self.allowed and self.allowed.fullmatch(match.group()):
-                    continue
-                # One window gives the whole candidate away. What an earlier kind covers is not reported again.
                 start, end = match.span()
-                if not any(s <= start and end <= e for s, e, _ in found) and any(
-                    high_windows(match.group(), self.settings.window, kind.bits, kind.mixed, kind.cased)
-                ):
+                while place < len(earlier) and earlier[place][0] <= start:
+                    reached = max(reached, earlier[place][1])
+                    place += 1
+                if end <= reached or self.allowed and self.allowed.fullmatch(match.group()):
+                    continue
+                # One window gives the whole candidate away.
+                if any(high_windows(match.group(), self.settings.window, kind.bits, kind.mixed, kind.cased)):
                     found.append((start, end, kind.kind))
         return sorted(found, key=lambda x: (x[0], self.rank[x[2]], x[1]))
 
@@ -139,8 +143,8 @@ def secret_spans(
 ) -> DataFrame:
     """`id, spans` for every row of `df`; offsets are code points, `end` exclusive.
 
-    Whole texts are scanned. A null or empty text has no spans; ids may be null or repeat; an
-    empty table gives no rows.
+    Whole texts are scanned, in time that grows with their length. A null or empty text has no spans; ids may be
+    null or repeat; an empty table gives no rows. A long text is held whole by one task, with its spans.
     """
     settings = settings or EntropyScan()
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))

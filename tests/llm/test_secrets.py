@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -117,3 +118,33 @@ def test_a_candidate_is_reported_and_masked_whole():
 def test_letters_of_both_cases_need_no_digit():
     assert scan("see kXbvBamQszLptRowNicYqpDe here") == [(4, 28, "entropy_base64")]
     assert scan("see kxbvbamqszlptrownicyqpde here") == []
+
+
+def test_time_grows_with_the_text(session):
+    """Thousands of candidates in one text, as in a list of checksums."""
+    import time
+
+    def seconds(lines):
+        text = "\n".join(f"{k:05d}Qx{'ab9Z' * 4}{k * 7919 % 99991:05d}kLm{k % 13}Vw {k:08x}{'9f' * 12} name{k}" for k in range(lines))
+        began = time.perf_counter()
+        assert len(scan(text)) >= lines
+        return time.perf_counter() - began
+
+    few, many = seconds(4000), seconds(16_000)
+    assert many < 8 * few and many < 6
+
+
+def test_covered_candidates_against_plain_comparison():
+    source = random.Random(7)
+    parts = [KEY, HEX, RANDOM, f"token={HEX}", f"password: {RANDOM}", "plain words", HEX.upper() + RANDOM, "x" * 30, f"api_key='{HEX[:20]}'"]
+    for _ in range(200):
+        text = source.choice(["", " "]).join(source.choice(parts) for _ in range(source.randrange(1, 9)))
+        scanner, found = s.Scanner(s.EntropyScan()), s.base_spans(text)
+        for kind, pattern in scanner.patterns:
+            for match in pattern.finditer(text):
+                start, end = match.span()
+                covered = any(a <= start and end <= b for a, b, _ in found)
+                allowed = scanner.allowed.fullmatch(match.group())
+                if not covered and not allowed and any(s.high_windows(match.group(), 20, kind.bits, kind.mixed, kind.cased)):
+                    found.append((start, end, kind.kind))
+        assert sorted(scanner.spans(text)) == sorted(found)
