@@ -1,7 +1,7 @@
 """Exact duplicates, found in three combining steps that no large group of copies can skew.
 
-A group is combined within each input partition (the partial aggregate), then within each of
-`salts` shares of the group, then over the winners of the shares. Every step groups by the
+A group is combined within each input partition (the partial aggregate), then over each of `salts`
+shares of the partitions, then over the winners of the shares. Every step groups by the
 whole normalised text beside its digest, so two texts with one digest stay apart.
 """
 
@@ -43,7 +43,8 @@ def exact_dedup(
     rows = id_and_text(df, id_col, text_col).select("id", ascii_lower(F.col("text")).alias("body"))
     rows = rows.withColumn("digest", digest(F.col("body")))
     shares = (
-        rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
+        # One salt per input partition: its copies of a text leave it as one row.
+        rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         .groupBy("digest", "salt", "body")
         .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
     )
