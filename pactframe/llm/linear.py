@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batch_of, col, id_and_text
@@ -26,8 +26,8 @@ class ClassifierSettings:
 
     `chars` and `words` are n-gram sizes; `repeats` adds indicators of one to three words said again
     1, 2, 4 or 8 times in a row; `dimensions` is the hashed feature space. At most
-    `sample_per_class` labelled rows of each class, chosen by a hash of their id, are learnt from:
-    that bounds the memory of the fit, whatever the input. `cost` is the hinge loss's weight;
+    `sample_per_class` labelled rows of each class, chosen by a hash of their id, are learnt from, half of
+    `sample_characters` of each: that bounds the memory of the fit, whatever the input. `cost` is the hinge loss's weight;
     `balanced` gives both classes the same total. With `damping` features are divided by
     sqrt(damping + their squared length), so that length hardly matters but a text of a few words
     stays near the bias; without, they are summed as they are.
@@ -46,6 +46,7 @@ class ClassifierSettings:
     damping: float | None = 25.0
     balanced: bool = True
     sample_per_class: int = 2000
+    sample_characters: int = 100_000_000
 
 
 class Features:
@@ -206,9 +207,10 @@ def training_sample(
     df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label_col: str,
     learn: Column | None, settings: ClassifierSettings,
 ) -> DataFrame:
-    """`text, label` of at most `sample_per_class` rows of each class.
+    """`text, label` of at most `sample_per_class` rows of each class, with at most `sample_characters` together.
 
-    Ids are chosen from the labels alone and, being so few, are broadcast: no text is shuffled.
+    Ids are chosen from the labels alone and, being so few, are broadcast: no text is shuffled but the sample's. Where
+    ids repeat, or texts are very long, rows are taken by a hash of id and text until a bound is met.
     """
     known = labels.select(col(label_id).cast("long").alias("id"), col(label_col).cast("int").alias("label"))
     known = known.where("id IS NOT NULL AND label IN (0, 1)")
@@ -219,7 +221,13 @@ def training_sample(
     for label in (0, 1):
         one = known.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(settings.sample_per_class)
         chosen = one if chosen is None else chosen.union(one)
-    return id_and_text(df, id_col, text_col).join(F.broadcast(chosen), "id").select("text", "label")
+    rows = id_and_text(df, id_col, text_col).join(F.broadcast(chosen), "id")
+    # Each partition gives at most so many rows of a class to the one that orders them.
+    order = Window.partitionBy("label").orderBy("place", "text")
+    rows = rows.withColumn("place", F.xxhash64("id", "text")).withColumn("number", F.row_number().over(order))
+    rows = rows.where(F.col("number") <= settings.sample_per_class)
+    held = F.sum(F.length("text").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("held", held).where(F.col("held") <= settings.sample_characters // 2).select("text", "label")
 
 
 def fit(sample: DataFrame, settings: ClassifierSettings) -> LinearModel | None:

@@ -104,3 +104,71 @@ def test_held_out_accuracy(session, name, of, at, least):
     rows = {"quality": op3_quality, "toxic": op8_toxicity}[name](session, folder).collect()
     right = [r["predicted"] == labels[r["doc_id"]] for r in rows if r["held_out"] and r["doc_id"] in labels]
     assert len(right) > 40 and np.mean(right) >= least
+
+
+def test_the_sample_is_bounded_in_rows_and_characters(session, docs):
+    from dataclasses import replace
+
+    rows = [(1, f"copy {k} of the id") for k in range(300)] + [(k, f"text {k} " * 20) for k in range(2, 60)]
+    known = session.createDataFrame([(k, k % 2) for k in range(1, 60)], "doc_id long, quality int")
+    settings = replace(linear.ClassifierSettings(), sample_per_class=10)
+    for bound in (100_000_000, 1500):
+        some = replace(settings, sample_characters=bound)
+        sample = linear.training_sample(docs(rows), known, "doc_id", "text", "doc_id", "quality", None, some).collect()
+        for label in (0, 1):
+            texts = [r["text"] for r in sample if r["label"] == label]
+            assert 0 < len(texts) <= 10 and sum(map(len, texts)) <= bound / 2
+
+
+def plain_model(texts, labels, settings):
+    """Features, ratios and scores written out in plain Python; the weights of the hinge loss are the solver's,
+    which has a test of its own."""
+    features = linear.Features(settings)
+    order = sorted(range(len(texts)), key=lambda k: (texts[k], labels[k]))
+    rows = [sorted(set(features.of(texts[k]).tolist())) for k in order]
+    signs = [labels[k] for k in order]
+    seen = {0: {}, 1: {}}
+    for row, label in zip(rows, signs):
+        for place in row:
+            seen[label][place] = seen[label].get(place, 0) + 1
+    total = {
+        label: sum(settings.smoothing + seen[label].get(p, 0) for p in range(settings.dimensions)) for label in (0, 1)
+    }
+
+    def ratio(place):
+        one, other = ((settings.smoothing + seen[label].get(place, 0)) / total[label] for label in (1, 0))
+        return np.log(one / other)
+
+    def values(row):
+        x = np.array([ratio(p) for p in row])
+        return x if settings.damping is None else x / np.sqrt(settings.damping + (x * x).sum())
+
+    costs = np.full(len(rows), float(settings.cost))
+    if settings.balanced:
+        costs *= [len(signs) / 2 / signs.count(label) for label in signs]
+    weights, bias = linear.dual_coordinate_descent(
+        [np.array(r) for r in rows], [values(r) for r in rows], np.where(np.array(signs) == 1, 1.0, -1.0),
+        settings.dimensions, costs, settings.rounds, settings.tolerance,
+    )
+
+    def score(text):
+        row = sorted(set(features.of(text).tolist()))
+        margin = float(sum(w * v for w, v in zip(weights[row], values(row)))) + bias if row else bias
+        return 1 / (1 + np.exp(-settings.steepness * margin))
+
+    return score
+
+
+@pytest.mark.parametrize("module", ["quality", "toxicity"])
+def test_scores_against_ratios_in_plain_python(session, docs, module):
+    from dataclasses import replace
+    from importlib import import_module
+
+    settings = replace(import_module(f"pactframe.llm.{module}").SETTINGS, dimensions=1 << 12)
+    rows, labels = labelled(80)
+    column = {"quality": 1, "toxicity": 2}[module]
+    known = session.createDataFrame([(r[0], r[column]) for r in labels], "doc_id long, y int")
+    scores = {"quality": quality_scores, "toxicity": toxicity_scores}[module]
+    found = {r["id"]: r["score"] for r in scores(docs(rows), known, label_col="y", learn=linear.F.col("id") < 50, settings=settings).collect()}
+    plain = plain_model([t for k, t in rows if k < 50], [r[column] for r in labels if r[0] < 50], settings)
+    assert max(abs(found[k] - plain(t)) for k, t in rows) < 1e-3
