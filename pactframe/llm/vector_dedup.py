@@ -362,12 +362,23 @@ def _searched(placed: DataFrame, width: int, settings: GraphSettings, full: bool
     return rows.groupBy(*keys).applyInPandas(search, told)
 
 
+def least_hashed(df: DataFrame, column: str, count: int, n: int) -> DataFrame:
+    """The `count` rows of `df`, which has `n` rows, whose `column` has the least hashes.
+
+    A bound on the hash leaves about twice as many rows in all partitions together, so what they send does
+    not grow with their number.
+    """
+    share = 2 * count / max(n, 1)
+    low = df if share >= 1 else df.where(F.xxhash64(column) < int(-(2**63) + share * 2**64))
+    return low.orderBy(F.xxhash64(column), column).limit(count)
+
+
 def audited_recall(reps: DataFrame, links: DataFrame, width: int, settings: GraphSettings) -> float:
     """Share of the true links of `settings.audit` queries, chosen by a hash of their id, that
     `links` has: `rep` with the number of its `pairs`, or with its partners, `linked`. What it has is verified, so
     numbers are compared. The queries, a bounded number, are compared with all rows in blocks. If they have fewer
     than `settings.audit_links` true links, ten times as many are asked."""
-    queries = reps.orderBy(F.xxhash64("rep"), "rep").limit(10 * settings.audit).select("rep", "unit").collect()
+    queries = least_hashed(reps, "rep", 10 * settings.audit, reps.count()).select("rep", "unit").collect()
     pairs = F.size("linked") if "linked" in links.columns else F.col("pairs")
     schema = pa.schema([("rep", pa.int64()), ("true", pa.int64())])
     recall = 1.0
@@ -410,7 +421,8 @@ def near_vectors(
     Rows are linked if the cosine of their vectors reaches the threshold. Null, empty and zero vectors and those with null or
     non-finite components link with nothing, and so do rows with a null id (their component is
     null). Shorter vectors count as filled up with zeros. Rows that repeat an id and a vector
-    link with each other; ids are otherwise expected to be unique. An empty table gives no rows.
+    link with each other; rows of one id and different vectors are compared each for itself, and a component has
+    the least id in it. An empty table gives no rows.
     Raises if the audited recall stays below `settings.required`.
     """
     settings = settings or GraphSettings()
@@ -420,13 +432,18 @@ def near_vectors(
     reps = written(
         usable.groupBy("unit").agg(F.min("id").alias("rep"), F.count("*").alias("size")), "directions"
     )
+    # Only rows that repeat an id can give two directions one name; then they are numbered.
+    numbered = not reps.groupBy("rep").count().where("count > 1").isEmpty()
+    reps = reps.withColumn("first", F.col("rep"))
+    if numbered:
+        reps = written(reps.withColumn("rep", F.monotonically_increasing_id()), "numbered")
     facts = reps.agg(F.count("*").alias("n"), F.max(F.length("unit")).alias("bytes")).first()
     alone = F.lit(0).cast("long")
     if not facts["n"]:
         return units.select("id", alone.alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     width = facts["bytes"] // 8
     cells = max(1, min(settings.most_cells, -(-facts["n"] * settings.overlap // settings.shard_rows)))
-    sample = reps.orderBy(F.xxhash64("unit")).limit(settings.sample).select("unit").collect()
+    sample = least_hashed(reps, "unit", settings.sample, facts["n"]).select("unit").collect()
     centroids = fit_centroids(matrix_of([bytes(r["unit"]) for r in sample], width), cells)
     for attempt in range(settings.attempts):
         counts = _assigned(reps, centroids, None, settings.overlap).groupBy("cell").count().collect()
@@ -454,8 +471,12 @@ def near_vectors(
             "unit",
             (F.coalesce("near", F.lit(0)) + F.col("size") - 1).alias("n_links"),
             F.coalesce("component", "rep").alias("component_id"),
+            "first",
         )
     )
+    if numbered:
+        firsts = named.groupBy("component_id").agg(F.min("first").alias("first"))
+        named = named.drop("first").join(firsts, "component_id").withColumn("component_id", F.col("first"))
     rest = units.where("id IS NULL OR unit IS NULL").select(
         "id", alone.alias("n_links"), F.col("id").alias("component_id")
     )

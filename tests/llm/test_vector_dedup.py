@@ -145,3 +145,24 @@ def test_audit_goes_on_where_links_are_rare(session):
     reps = session.createDataFrame(units, "rep long, unit binary")
     nothing = session.createDataFrame([], "rep long, pairs long")
     assert v.audited_recall(reps, nothing, 16, v.GraphSettings(audit=31)) == 0.0
+
+
+def test_ids_on_several_vectors(session):
+    """Rows of one id and different vectors are counted each for itself; components have the least id."""
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (5, [-1.0, 0.0]), (4, [-1.0, 0.01]), (5, [-1.0, 0.02])]
+    assert found(v.near_vectors(frame_of(session, rows))) == brute(rows)
+    again = [(i % 7, x) for i, x in clustered(3, 12, 6, 0.02)]
+    assert found(v.near_vectors(frame_of(session, again))) == brute(again)
+
+
+def test_what_the_driver_gets_does_not_grow_with_partitions(session):
+    df = session.range(20_000).selectExpr("id AS rep", "encode(CAST(id AS string), 'utf-8') AS unit").repartition(50)
+    chosen = v.least_hashed(df, "rep", 100, 20_000)
+    assert sorted(r["rep"] for r in chosen.collect()) == sorted(
+        r["rep"] for r in df.orderBy(v.F.xxhash64("rep"), "rep").limit(100).collect()
+    )
+    plan = chosen._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and "xxhash64" in plan.split("Filter")[1]
+    low = df.where(v.F.xxhash64("rep") < int(-(2**63) + 2**64 * 200 / 20_000)).count()
+    assert 100 <= low < 300
+    assert v.least_hashed(df.limit(5), "rep", 100, 5).count() == 5
