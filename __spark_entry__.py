@@ -890,7 +890,9 @@ def contract_sql() -> dict[str, str]:
               f"(SELECT (l_orderkey, l_linenumber) FROM ({rows}))")
         for kind, name, rows in lineitem
     ]
-    return found | fixture_queries.oracle_sql(found["table_outcomes"], lineitem)
+    return found | fixture_queries.oracle_sql(
+        found["table_outcomes"], found["constraint_report"], lineitem
+    )
 
 
 # Rules per table, kind and origin, and columns and rules per table, in the fixture contracts.

@@ -14,6 +14,7 @@ from .plans.constraints import (
     violating_rows,
     write_violations,
 )
+from .plans.incremental import validate_new_files
 from .plans.run import RunResult, run, table_lookup
 from .plans.schemas import validate_schemas
 from .plans.summaries import contract_summary, issue_lines, issue_summary, table_summary
