@@ -126,3 +126,9 @@ def test_different_texts_with_one_id_are_all_compared(docs):
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
         [(3, near), (5, other), (None, base), (6, None), (6, "")], key=str
     )
+
+
+def test_many_surviving_ids_are_joined_by_a_shuffle(docs, monkeypatch):
+    rows = near_copies(20) + [(1000 + i, t) for i, t in near_copies(20, 2)]
+    monkeypatch.setattr(j, "BROADCAST_IDS", -1)
+    assert found(j.jaccard_join(docs(rows))) == brute(rows)

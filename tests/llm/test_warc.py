@@ -86,3 +86,10 @@ def test_damaged_archive_raises():
 
 def test_empty_table(session):
     assert w.page_payloads(w.reassemble(archived(session, []))).collect() == []
+
+
+def test_many_repeated_digests_are_joined_by_a_shuffle(session, monkeypatch):
+    monkeypatch.setattr(w, "BROADCAST_ROWS", -1)
+    found = w.page_payloads(w.reassemble(archived(session, ROWS)))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert sorted((tuple(r) for r in found.select(columns).collect()), key=str) == expected(ROWS)
