@@ -16,7 +16,8 @@ from pactframe.llm.exact_dedup import ascii_lower, exact_dedup, sha256
 from pactframe.llm.jaccard_join import jaccard_join
 from pactframe.llm.packing import pack
 from pactframe.llm.quality import quality_filter
-from pactframe.scratch import checkpointed
+from pactframe.scratch import checkpointed, scratch_path
+from pactframe.sources.files import Folder
 
 
 def _packed(docs: DataFrame, **more: Column) -> DataFrame:
@@ -114,7 +115,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The pieces of all documents that the stages keep. Each stage's result is removed once the next is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for number, (_, stage) in enumerate(STAGES):
-        docs = written(stage(spark, docs, sf_dir), f"stage-{number}")
+        result = stage(spark, docs, sf_dir)
+        path = scratch_path(spark, f"stage-{number}")
+        result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before is not None:
+            Folder(spark, before).delete("")
+        before = path
     return docs
