@@ -150,5 +150,7 @@ class RunOptions:
     where: Mapping[str, str] = field(default_factory=dict)
     report_path: str | None = None
     issues_path: str | None = None
-    tables_per_job: int = 8
+    # a job holds tables up to so many scans, and up to so many tables if that is set
+    scans_per_job: int = 32
+    tables_per_job: int | None = None
     jobs_at_once: int = 4

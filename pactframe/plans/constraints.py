@@ -20,6 +20,7 @@ from ..model import PRIMARY_KEY, UNIQUE, TableContract
 from ..operators.findings import (
     ERROR,
     PRIMARY_KEY_DUPLICATE,
+    REPORT_SCHEMA,
     ROW_COUNT,
     SCHEMA,
     SKIPPED,
@@ -63,6 +64,11 @@ from ..operators.rows import (
 )
 
 
+# What one job plans and reads at most, unless one table is more.
+SCANS_PER_JOB = 96
+BYTES_PER_JOB = 4 * 1024**4
+
+
 @dataclass(frozen=True)
 class KeySet:
     """A set of key columns with the rules that ask for it to be unique."""
@@ -303,6 +309,30 @@ def table_counts(
     return parts
 
 
+def scans_of(plan: TablePlan) -> int:
+    """How many scans the plan of a table has at most: one for its row rules, one for its keys, one for
+    its foreign keys and one of each parent."""
+    parents = {key.parent_table for key in plan.foreign_keys}
+    return 1 + bool(plan.key_sets) + bool(parents) + len(parents)
+
+
+def packed(plans: Sequence[TablePlan], most_scans: int, most_bytes: int, most_tables: int | None = None) -> list[list[TablePlan]]:
+    """The tables in jobs, none of which plans more than `most_scans` scans or reads tables of more than
+    `most_bytes`; a table beyond either has a job of its own. Tables are taken by size, so that a job of many small
+    ones does not wait for a large one."""
+    jobs, scans, n_bytes = [], 0, 0
+    sizes = {id(plan): stored_bytes(plan.data) for plan in plans}
+    for plan in sorted(plans, key=lambda plan: sizes[id(plan)]):
+        scans += scans_of(plan)
+        n_bytes += sizes[id(plan)]
+        full = not jobs or scans > most_scans or n_bytes > most_bytes
+        if full or most_tables is not None and len(jobs[-1]) >= most_tables:
+            jobs.append([])
+            scans, n_bytes = scans_of(plan), sizes[id(plan)]
+        jobs[-1].append(plan)
+    return jobs
+
+
 def report_of(
     plans: Sequence[TablePlan],
     lookup: TableLookup,
@@ -342,7 +372,11 @@ def validate_tables(
     where: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The report of many tables as one frame. A table that is not there has one row, with status
-    `error`."""
+    `error`.
+
+    Up to `SCANS_PER_JOB` scans are one action of the caller's. More tables are taken in as many jobs as they need,
+    one after the other, and what is returned is their rows: one per rule.
+    """
     by_name = {contract.target_name: contract for contract in contracts}
     plans, book = [], RuleBook()
     for contract in contracts:
@@ -351,7 +385,13 @@ def validate_tables(
             plans.append(plan_table(contract, lookup, by_name, overrides, slice_of))
         except LookupError as error:
             book.untested(contract.target_name, ROW_COUNT, ROW_COUNT, ERROR, str(error))
-    return report_of(plans, lookup, measure(plans, lookup), book=book)
+    sizes = measure(plans, lookup)
+    jobs = packed(plans, SCANS_PER_JOB, BYTES_PER_JOB)
+    if len(jobs) <= 1:
+        return report_of(plans, lookup, sizes, book=book)
+    rows = [row for job in jobs for row in report_of(job, lookup, sizes).collect()]
+    spark = plans[0].data.sparkSession
+    return spark.createDataFrame(rows, REPORT_SCHEMA).unionAll(book.report(spark, []))
 
 
 def violating_rows(

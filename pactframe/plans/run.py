@@ -47,12 +47,14 @@ from ..sources.tables import (
     write_contract_properties,
 )
 from .constraints import (
+    BYTES_PER_JOB,
     UNMEASURED,
     Sizes,
     TablePlan,
     count_key_set,
     count_orphans,
     measure,
+    packed,
     plan_table,
     report_of,
     table_outcomes,
@@ -290,8 +292,7 @@ def evaluate(
                 return _evaluate_parts(some[0], lookup, sizes, options, log, error)
             return [row for plan in some for row in evaluate_some([plan])]
 
-    size = options.tables_per_job
-    jobs = [plans[start : start + size] for start in range(0, len(plans), size)]
+    jobs = packed(plans, options.scans_per_job, BYTES_PER_JOB, options.tables_per_job)
     with ThreadPoolExecutor(options.jobs_at_once) as pool:
         return [row for rows in pool.map(evaluate_some, jobs) for row in rows]
 
