@@ -11,6 +11,7 @@ import base64
 import os
 import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -139,22 +140,18 @@ class PieceEncoder:
         cut = [self._cut(text) for text in texts]
         first = list({words[0] for words in cut if words[0] not in self.starts})
         self.starts.update(zip(first, self._ids(first), strict=True))
-        get = self.words.get
-        found = [list(map(get, words[1:])) for words in cut]
-        gaps, new = [], set()
-        for words, packed in zip(cut, found, strict=True):
-            gaps.append([place for place, got in enumerate(packed) if got is None] if None in packed else ())
-            new.update([words[place + 1] for place in gaps[-1]])
+        # Sets first, then one pass of look-ups without a test: most words are known.
+        new: set[str] = set()
+        for words in cut:
+            new.update(words[1:])
+        new = new.difference(self.words)  # looks each up; an update would go through all known words
         for word in new & self.older.keys():
             self.words[word] = self.older[word]
             new.discard(word)
         if new:
             self._learn(list(new))
-        out = []
-        for words, packed, places in zip(cut, found, gaps, strict=True):
-            for place in places:
-                packed[place] = self.words[words[place + 1]]
-            out.append(self.starts[words[0]] + b"".join(packed))
+        look_up = self.words.__getitem__
+        out = [self.starts[words[0]] + b"".join(map(look_up, islice(words, 1, None))) for words in cut]
         for word in first:
             if len(word) > LONG_WORD:
                 del self.starts[word]
