@@ -5,13 +5,13 @@
    Large cells are split at random into shards of bounded size.
 3. Each shard gets a graph of robust-pruned neighbour lists. The lists of a vector from all
    its shards are united.
-4. Each two shards of a cell are a group, of bounded size. In it the vectors of each shard search greedily
-   from the other's medoid, with a beam; from then on everything in range is expanded until nothing new is
-   in range. The graph of a shard has only those edges of the united lists that stay in it.
-5. If anything is found in a group, its shards are compared in full by cosine in double precision. A link
-   counts in the first cell that both vectors share; numbers of links and roots leave the group, not pairs. Recall is audited against brute force
-   for a sample of queries over all rows; below the target the search is run again, wider, at last
-   in full in each group. A result below the recall required is an error.
+4. Each two shards of a cell are a group, of bounded size. Its graph has all edges of the united lists that stay
+   in the group. Every vector of it searches greedily from the medoids, with a beam; from then on everything in range is
+   expanded, its own node too, until nothing new is in range.
+5. The pairs found, and no others, are verified by cosine in double precision. A link
+   counts in the first cell that both vectors share; numbers of links and roots leave the group, not pairs. Recall of
+   the search is audited against brute force for a sample of queries over all rows; below the target the search is run
+   again, wider; only the last attempt compares each group in full. A result below the recall required is an error.
 """
 
 from __future__ import annotations
@@ -51,7 +51,6 @@ class GraphSettings:
     recall: float = 0.98
     required: float = 0.9
     attempts: int = 3
-    least: float = 1e-12  # slack of the double comparison
 
 
 def unit_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -149,22 +148,51 @@ def padded(lists: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def cosines(a: np.ndarray, b: np.ndarray, rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The cosine of each row of `a` and the one of `b` beside it, in double precision, in bounded work space. The
+    one formula that decides at the threshold; it is the same in both directions."""
+    out = np.empty(len(rows))
+    step = max(1, 2_000_000 // a.shape[1])
+    for low in range(0, len(rows), step):
+        part = slice(low, low + step)
+        out[part] = np.einsum("ij,ij->i", a[rows[part]], b[others[part]])
+    return out
+
+
+def reaches(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """For which rows of `a` and `b` the cosine reaches the threshold, all compared."""
+    similar = a @ b.T
+    out = similar >= threshold
+    rows, others = np.nonzero(np.abs(similar - threshold) < 1e-9)
+    out[rows, others] = cosines(a, b, rows, others) >= threshold
+    return out
+
+
 def range_search(
-    queries: np.ndarray, units: np.ndarray, graph: np.ndarray, entry: int, settings: GraphSettings
+    queries: np.ndarray,
+    units: np.ndarray,
+    graph: np.ndarray,
+    entries: list[int],
+    settings: GraphSettings,
+    own: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, vector) found at or above the threshold, less a little slack."""
+    """Pairs (query, vector) found at or above the threshold, less a little slack, by single precision.
+
+    The search starts at `entries`. `own` is the node that each query is itself; it is in range, and is expanded like
+    all that is."""
     count, beam = len(queries), settings.beam
     reach = np.float32(settings.threshold - 1e-5)
     seen = np.zeros((count, len(units)), bool)
     rows = np.arange(count)[:, None]
-    seen[:, entry] = True
+    seen[:, entries] = True
     ids = np.full((count, beam), -1, np.int64)
     score = np.full((count, beam), -2.0, np.float32)
     opened = np.ones((count, beam), bool)
-    ids[:, 0], score[:, 0], opened[:, 0] = entry, queries @ units[entry], False
+    first = slice(0, len(entries))
+    ids[:, first], score[:, first], opened[:, first] = entries, queries @ units[entries].T, False
     hits: list[tuple[np.ndarray, np.ndarray]] = []
-    start = score[:, 0] >= reach
-    hits.append((np.flatnonzero(start), np.full(int(start.sum()), entry)))
+    q, v = np.nonzero(score[:, first] >= reach)
+    hits.append((q, np.asarray(entries)[v]))
 
     def fresh(q: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The pairs not seen before, once each, with their similarity."""
@@ -202,6 +230,10 @@ def range_search(
         opened = np.concatenate([opened, new_ids < 0], axis=1)
         best = np.argpartition(-score, beam - 1, axis=1)[:, :beam]
         ids, score, opened = ids[rows, best], score[rows, best], opened[rows, best]
+    if own is not None:
+        missed = np.flatnonzero(~seen[rows[:, 0], own])
+        seen[missed, own[missed]] = True
+        hits.append((missed, own[missed]))
     # Everything in range is expanded, and what it finds in range again.
     q, v = (np.concatenate(x) for x in zip(*hits, strict=True))
     while len(q):
@@ -267,22 +299,22 @@ def linked_in_group(
     settings: GraphSettings,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """`root, near, pairs` of all rows of a group whose two shards are the rows `q` and `m`: the least row
-    joined with each by links, the number of rows behind its links and that of its links. A link is
-    counted in the first cell that both vectors share. `found` says for which pairs the search found a link;
-    if it found any, the two shards are compared in full. Work space is bounded."""
+    joined with each by links, the number of rows behind its links and that of its links. `found` says which pairs
+    the search has; those that hold in double precision are links, no others. A link is
+    counted in the first cell that both vectors share. Work space is bounded."""
     count = len(units)
     root, near, pairs = np.arange(count), np.zeros(count, np.int64), np.zeros(count, np.int64)
-    if not found.any():
-        return root, near, pairs
     same = len(q) == len(m) and (q == m).all()
-    step = max(1, 1_000_000 // len(m))
-    parts = [slice(low, low + step) for low in range(0, len(q), step)]
-    for part in parts:
-        found[part] = units[q[part]] @ units[m].T >= settings.threshold - settings.least
     if same:
-        found &= found.T
+        found |= found.T
         np.fill_diagonal(found, False)
+    step = max(1, 1_000_000 // len(m))
+    parts = [slice(low, low + step) for low in range(0, len(q), step)]
     parts = [part for part in parts if found[part].any()]
+    for part in parts:
+        asked, got = np.nonzero(found[part])
+        false = cosines(units, units, q[part][asked], m[got]) < settings.threshold
+        found[part][asked[false], got[false]] = False
     for part in parts:
         new = found[part] & ~shares_before(cell, cells[q[part]], cells[m])
         near[q[part]] += np.where(new, size[m][None, :], 0).sum(axis=1)
@@ -319,31 +351,32 @@ def _searched(placed: DataFrame, width: int, settings: GraphSettings, full: bool
         short = units.astype(np.float32)
         reps, size, shard = (frame[name].to_numpy() for name in ("rep", "size", "shard"))
 
-        def hits(inside: np.ndarray, asked: np.ndarray) -> np.ndarray:
-            """For which vectors `asked` (rows) and members `inside` (columns) a link is found."""
-            out = np.full((len(asked), len(inside)), full)
-            if full or not len(inside):
-                return out
-            ours, lists = reps[inside], []
-            for k in inside.tolist():
-                around = np.asarray(frame["around"].iloc[k], np.int64)
-                at = np.minimum(np.searchsorted(ours, around), len(ours) - 1)
-                lists.append(at[ours[at] == around])
-            graph, nodes = padded(lists), np.ascontiguousarray(short[inside])
-            medoid = int((nodes @ nodes.mean(axis=0)).argmax())
-            block = max(32, 1_000_000 // len(ours))
-            for low in range(0, len(asked), block):
-                q, v = range_search(short[asked[low : low + block]], nodes, graph, medoid, settings)
-                out[q + low, v] = True
-            return out
-
         low, high = (np.flatnonzero(shard == frame[name].iloc[0]) for name in ("low", "high"))
-        found = hits(low, high)
-        if frame["low"].iloc[0] == frame["high"].iloc[0]:
-            found |= found.T
-            np.fill_diagonal(found, False)
-        else:
-            found |= hits(high, low).T
+        found = np.zeros((len(high), len(low)), bool)
+        if full:
+            step = max(1, 1_000_000 // max(1, len(low)))
+            for start in range(0, len(high), step):
+                part = slice(start, start + step)
+                found[part] = reaches(units[high[part]], units[low], settings.threshold)
+        elif len(low) and len(high):
+            lists = []
+            for around in frame["around"]:
+                around = np.asarray(around, np.int64)
+                at = np.minimum(np.searchsorted(reps, around), len(reps) - 1)
+                lists.append(at[reps[at] == around])
+            graph, every = padded(lists), np.arange(len(reps))
+            shards = (low, high) if frame["low"].iloc[0] != frame["high"].iloc[0] else (low,)
+            entries = [int(x[(short[x] @ short[x].mean(axis=0)).argmax()]) for x in shards]
+            in_low, in_high = np.full(len(reps), -1), np.full(len(reps), -1)
+            in_low[low], in_high[high] = np.arange(len(low)), np.arange(len(high))
+            block = max(32, 4_000_000 // len(reps))
+            for start in range(0, len(reps), block):
+                part = every[start : start + block]
+                q, v = range_search(short[part], short, graph, entries, settings, part)
+                q = part[q]
+                for x, y in ((q, v), (v, q)):
+                    across = (in_high[x] >= 0) & (in_low[y] >= 0)
+                    found[in_high[x[across]], in_low[y[across]]] = True
         cells = np.array(frame["cells"].tolist(), np.int64)
         root, near, pairs = linked_in_group(
             found, high, low, units, size, cells, int(frame["cell"].iloc[0]), settings
@@ -392,7 +425,7 @@ def audited_recall(reps: DataFrame, links: DataFrame, width: int, settings: Grap
                 units = matrix_of(batch.column("unit").to_pylist(), width)
                 for low in range(0, len(names), 200):
                     part = slice(low, low + 200)
-                    near = (matrix[part] @ units.T >= settings.threshold) & (names[part, None] != others[None, :])
+                    near = reaches(matrix[part], units, settings.threshold) & (names[part, None] != others[None, :])
                     yield batch_of(schema, names[part], near.sum(axis=1))
 
         true = (

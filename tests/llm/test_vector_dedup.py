@@ -81,7 +81,7 @@ def test_recall_of_the_search_alone():
     graph = v.padded(v.shard_graph(units, settings))
     assert graph.shape[1] <= 3 * settings.degree
     short = units.astype(np.float32)
-    q, x = v.range_search(short, short, graph, 0, settings)
+    q, x = v.range_search(short, short, graph, [0], settings)
     got = set(zip(q.tolist(), x.tolist(), strict=True))
     true = set(zip(*(k.tolist() for k in np.nonzero(units @ units.T >= 0.95)), strict=True))
     assert len(true & got) >= 0.99 * len(true)
@@ -166,3 +166,45 @@ def test_what_the_driver_gets_does_not_grow_with_partitions(session):
     low = df.where(v.F.xxhash64("rep") < int(-(2**63) + 2**64 * 200 / 20_000)).count()
     assert 100 <= low < 300
     assert v.least_hashed(df.limit(5), "rep", 100, 5).count() == 5
+
+
+def test_links_come_from_the_search(session, monkeypatch):
+    """Nothing is compared in full before the last attempt, and the search alone finds what is planted."""
+
+    def nothing(*_):
+        raise AssertionError("all pairs compared")
+
+    audits = []
+    audited = v.audited_recall
+    monkeypatch.setattr(v, "audited_recall", lambda *a: audits.append(a) or 1.0)
+    monkeypatch.setattr(v, "reaches", nothing)
+    rows = clustered(13, 150, 9, 0.08) + [(5000 + k, x) for k, x in clustered(14, 700, 1, 0.0)]
+    settings = v.GraphSettings(shard_rows=150, most_cells=12)
+    got, true = found(v.near_vectors(frame_of(session, rows), settings=settings)), brute(rows)
+    assert len(audits) == 1 and got == true
+    monkeypatch.undo()
+    assert audited(*audits[0]) == 1.0
+
+
+def test_nothing_below_the_threshold_links():
+    """One formula decides, in both directions and in every path, without slack."""
+    source = np.random.default_rng(15)
+    a = source.normal(size=(400, 24))
+    b = a * 0.95 / np.linalg.norm(a, axis=1, keepdims=True)
+    side = source.normal(size=a.shape)
+    side -= a * (side * a).sum(axis=1, keepdims=True) / (a * a).sum(axis=1, keepdims=True)
+    b += side * np.sqrt(1 - 0.95**2) / np.linalg.norm(side, axis=1, keepdims=True)
+    units = np.concatenate([a, b])
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    rows, others = np.arange(400), np.arange(400, 800)
+    exact = v.cosines(units, units, rows, others)
+    assert (exact == v.cosines(units, units, others, rows)).all()
+    assert 0 < (exact >= 0.95).sum() < 400 and np.abs(exact - 0.95).max() < 1e-12
+    assert (v.reaches(units, units, 0.95)[rows, others] == (exact >= 0.95)).all()
+    found = np.ones((800, 800), bool)
+    every = np.arange(800)
+    _, _, pairs = v.linked_in_group(
+        found, every, every, units, np.ones(800, np.int64), np.zeros((800, 1), np.int64), 0, v.GraphSettings()
+    )
+    assert (found[rows, others] == (exact >= 0.95)).all() and (found == found.T).all()
+    assert pairs.sum() == found.sum()
