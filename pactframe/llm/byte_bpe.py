@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import os
 import re
+import zlib
 from collections.abc import Callable, Iterator
 from itertools import islice
 
@@ -46,6 +47,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def shown_tokens(path: str) -> dict[bytes, str]:
+    """The tokens of a file of ranks as a byte-level vocabulary writes them."""
+    table = byte_characters()
+    return {token: "".join(table[b] for b in token) for token in read_ranks(path)}
+
+
 def load_ranks(path: str):
     """A tokenizer that merges as tiktoken does with the ranks in `path`.
 
@@ -55,8 +62,7 @@ def load_ranks(path: str):
     """
     from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
-    ranks, table = read_ranks(path), byte_characters()
-    shown = {token: "".join(table[b] for b in token) for token in ranks}
+    ranks, shown = read_ranks(path), shown_tokens(path)
     merges = []
     for token in sorted(ranks, key=ranks.get):
         splits = [(token[:k], token[k:]) for k in range(1, len(token))]
@@ -168,25 +174,57 @@ def _byte_places(text: str) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(width)))
 
 
-def token_bytes(tokenizer) -> list[bytes]:
-    """The bytes of each id, by the byte table read backwards; ids that are missing have none."""
+def reversed_bytes(vocabulary: dict[str, int], special: dict[int, bytes] | None = None) -> list[bytes]:
+    """The bytes of each id of a byte-level vocabulary, by the byte table read backwards; ids that are missing
+    have none. A special token is its own text."""
     reverse = {shown: byte for byte, shown in enumerate(byte_characters())}
-    special = {i: t.content.encode() for i, t in tokenizer.get_added_tokens_decoder().items()}
-    table = [b""] * (max(tokenizer.get_vocab().values(), default=-1) + 1)
-    for token, i in tokenizer.get_vocab().items():
+    special = special or {}
+    table = [b""] * (max(vocabulary.values(), default=-1) + 1)
+    for token, i in vocabulary.items():
         table[i] = special[i] if i in special else bytes(reverse[c] for c in token)
     return table
 
 
+def token_bytes(tokenizer) -> list[bytes]:
+    special = {i: t.content.encode() for i, t in tokenizer.get_added_tokens_decoder().items()}
+    return reversed_bytes(tokenizer.get_vocab(), special)
+
+
+_tables: dict = {}
+
+
 def read_table(path: str, load: Callable) -> list[bytes]:
-    """The bytes of each id of a vocabulary file; a file of ranks needs no tokenizer for it."""
-    if load is not load_ranks:
-        return token_bytes(load(path))
-    ranks = read_ranks(path)
-    table = [b""] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        table[rank] = token
-    return table
+    """The bytes of each id of a vocabulary file, read once per worker process.
+
+    For a file of ranks the vocabulary is made without the merges, which decoding does not need.
+    """
+    key = (path, load.__name__)
+    if key not in _tables:
+        if load is load_ranks:
+            ranks = read_ranks(path)
+            _tables[key] = reversed_bytes({shown: ranks[token] for token, shown in shown_tokens(path).items()})
+        else:
+            _tables[key] = token_bytes(load(path))
+    return _tables[key]
+
+
+def _token_places(text: str, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    if text.isascii():
+        return starts, ends, starts, ends
+    places = _byte_places(text)
+    return starts, ends, np.searchsorted(places, starts, "right") - 1, np.searchsorted(places, ends, "left")
+
+
+def offsets_checksum(text: str, lengths: np.ndarray, block: int = 1_000_000) -> int:
+    """CRC-32 of the first and end character of each token, as little-endian unsigned 32-bit numbers in turn."""
+    _, _, first, last = _token_places(text, lengths)
+    found = 0
+    for low in range(0, len(first), block):
+        part = slice(low, low + block)
+        found = zlib.crc32(np.stack([first[part], last[part]], axis=1).astype("<u4").tobytes(), found)
+    return found
 
 
 def offsets_of(text: str, ids: list[int], table: list[bytes]) -> list[tuple[int, int, int, int]]:
@@ -194,12 +232,8 @@ def offsets_of(text: str, ids: list[int], table: list[bytes]) -> list[tuple[int,
 
     Tokens of one split character all point to that character.
     """
-    places = _byte_places(text)
-    ends = np.cumsum([len(table[i]) for i in ids])
-    starts = ends - [len(table[i]) for i in ids]
-    first = np.searchsorted(places, starts, "right") - 1
-    last = np.searchsorted(places, ends, "left")
-    return list(zip(starts.tolist(), ends.tolist(), first.tolist(), last.tolist(), strict=True))
+    places = _token_places(text, np.array([len(table[i]) for i in ids], np.int64))
+    return list(zip(*(x.tolist() for x in places), strict=True))
 
 
 def encode(
@@ -210,11 +244,15 @@ def encode(
     *,
     load: Callable = load_ranks,
     offsets: bool = False,
+    checksums: bool = False,
 ) -> DataFrame:
     """`id, ids_packed` for every row: ids as little-endian 32-bit numbers, in one binary value.
 
-    With `offsets`, also `offsets`: an array of byte and character ranges, one per token. Null
-    and empty texts have no tokens; ids of rows may be null or repeat; an empty table gives no rows.
+    With `offsets`, also `offsets`: an array of byte and character ranges, one per token. With `checksums`, also
+    `offsets_crc32`: the checksum of the character ranges, see `offsets_checksum`. Null
+    and empty texts have no tokens; ids of rows may be null or repeat; an empty table gives no rows. A text is held
+    in its task whole, with its ids (and, for offsets, its characters' places) beside it: some 4 bytes per token, and
+    about 40 per character that the offsets of a text beyond ASCII need.
     """
     fields = [("id", pa.int64()), ("ids_packed", pa.binary())]
     names = ("byte_start", "byte_end", "char_start", "char_end")
@@ -222,6 +260,9 @@ def encode(
     if offsets:
         fields.append(("offsets", pa.list_(pa.struct([(n, pa.int64()) for n in names]))))
         ddl += ", offsets array<struct<byte_start:long,byte_end:long,char_start:long,char_end:long>>"
+    if checksums:
+        fields.append(("offsets_crc32", pa.int64()))
+        ddl += ", offsets_crc32 long"
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,6 +277,9 @@ def encode(
                     rows = zip(texts[low:high], packed, strict=True)
                     found = [offsets_of(t, np.frombuffer(p, "<u4").tolist(), table) for t, p in rows]
                     out.append([[dict(zip(names, x, strict=True)) for x in row] for row in found])
+                if checksums:
+                    rows = zip(texts[low:high], packed, strict=True)
+                    out.append([offsets_checksum(t, encoder.lengths[np.frombuffer(p, "<u4")]) for t, p in rows])
                 yield batch_of(schema, *out)
 
     return id_and_text(df, id_col, text_col).mapInArrow(run, ddl)
@@ -245,7 +289,8 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids_packed", *, load:
     """`df` with `decoded` (binary): the bytes of the packed ids in `ids_col`, exactly.
 
     Cut at any token the bytes may end inside a character; they are joined before anyone reads
-    them as text. Null ids give null; an unknown id raises.
+    them as text. Tokens are read from the vocabulary as it writes them, by the byte table backwards. Null ids give
+    null; an unknown id raises.
     """
     place = df.columns.index(ids_col)
 

@@ -36,12 +36,13 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks)
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, checksums=True)
     return byte_bpe.decode(encoded, ranks).select(
         F.col("id").alias("doc_id"),
         (F.octet_length("ids_packed") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids_packed", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        "offsets_crc32",
     )
 
 

@@ -1,5 +1,6 @@
 import base64
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -85,6 +86,49 @@ def test_forgotten_words_change_nothing(monkeypatch):
     assert "x" * 200 not in encoder.words
 
 
+def plain_checksum(text, ids, tik):
+    """The checksum of character ranges by plain Python: the character of each byte, looked up."""
+    character, at, out = [k for k, c in enumerate(text) for _ in c.encode()], 0, b""
+    for i in ids:
+        end = at + len(tik.decode_single_token_bytes(i))
+        out += character[at].to_bytes(4, "little") + (character[end - 1] + 1).to_bytes(4, "little")
+        at = end
+    assert at == len(character)
+    return zlib.crc32(out)
+
+
+def test_checksums_of_offsets(docs, tik):
+    texts = odd_texts()
+    rows = b.encode(docs(list(enumerate(texts))), RANKS, checksums=True).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        text = texts[row["id"]]
+        assert row["offsets_crc32"] == plain_checksum(text, tik.encode_ordinary(text), tik), repr(text)
+    lengths = np.ones(11, np.int64)
+    assert b.offsets_checksum("a" * 11, lengths, block=2) == b.offsets_checksum("a" * 11, lengths)
+    both = b.encode(docs([(1, "é🙂 a"), (2, None)]), RANKS, offsets=True, checksums=True).collect()
+    assert [len(r["offsets"]) for r in sorted(both)][1] == 0 and sorted(both)[1]["offsets_crc32"] == 0
+
+
+def test_decoding_reverses_the_byte_table(docs, monkeypatch):
+    """Decoding goes by the vocabulary as it is written: with two of its characters exchanged, so are the bytes."""
+    rows = b.encode(docs([(1, "abba cab")]), RANKS)
+    characters = b.byte_characters()
+    vocabulary = {shown: k for k, shown in enumerate(characters)}
+    assert b.reversed_bytes(vocabulary) == [bytes([k]) for k in range(256)]
+    assert b.reversed_bytes({"ab": 2, "<end>": 0}, {0: b"<end>"}) == [b"<end>", b"", b"ab"]
+    x, y = ord("a"), ord("b")
+    swapped = b.read_table(RANKS, b.load_ranks)
+    characters[x], characters[y] = characters[y], characters[x]
+    monkeypatch.setattr(b, "byte_characters", lambda: characters)
+    vocabulary = {"".join(b.byte_characters()[k] for k in token): i for i, token in enumerate(swapped)}
+    assert b.reversed_bytes(vocabulary) == swapped
+    monkeypatch.undo()
+    turned = bytes.maketrans(b"ab", b"ba")
+    assert b.reversed_bytes(vocabulary) == [token.translate(turned) for token in swapped]
+    assert bytes(b.decode(rows, RANKS).collect()[0]["decoded"]) == b"abba cab"
+
+
 def test_query_on_the_table(session, tik):
     from pactframe.llm.queries import op2_byte_bpe
 
@@ -96,6 +140,7 @@ def test_query_on_the_table(session, tik):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
+        assert row["offsets_crc32"] == plain_checksum(texts[row["doc_id"]], ids, tik)
 
 
 def test_tables_with_and_without_a_tokenizer_agree():
