@@ -121,7 +121,7 @@ def pack(
     A full piece is a sequence of its own. The rest are dealt at random into shares of about
     `share_pieces`, and each share is packed best fit decreasing. A share leaves about one
     sequence part empty, in some thousands. Null and empty texts are documents of one token; ids may be null
-    or repeat; an empty table gives no rows.
+    or repeat; an empty table gives no rows. A long text is held whole by one task, with its ids; its pieces are rows.
     """
     # Rows are numbered as they are written: equal ones are dealt like others.
     cut = token_pieces(df, vocabulary, id_col, text_col, size, end_id)

@@ -182,6 +182,8 @@ def test_links_come_from_the_search(session, monkeypatch):
     settings = v.GraphSettings(shard_rows=150, most_cells=12)
     got, true = found(v.near_vectors(frame_of(session, rows), settings=settings)), brute(rows)
     assert len(audits) == 1 and got == true
+    with pytest.raises(Exception, match="all pairs compared"):
+        v.near_vectors(frame_of(session, rows), settings=v.GraphSettings(attempts=1)).collect()
     monkeypatch.undo()
     assert audited(*audits[0]) == 1.0
 
