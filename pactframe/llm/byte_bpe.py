@@ -12,10 +12,11 @@ import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import islice
+from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -27,6 +28,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task pe
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORDS_KEPT = 300_000  # distinct words a worker remembers, and as many older ones
 LONG_WORD = 64
+# Perhaps a line break, letters that every version of Unicode calls so, perhaps marks: a match of the pattern each.
+PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
 
 
 def byte_characters() -> list[str]:
@@ -81,14 +84,30 @@ def load_ranks(path: str):
     return tokenizer
 
 
+def _merger(tokenizer):
+    """A tokenizer's model without its pattern, for runs of bytes as the vocabulary writes them, with | between."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    merger = Tokenizer(tokenizer.model)
+    merger.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("|")
+    return merger
+
+
+def _spaced(word: str) -> str:
+    """A remembered word as it stands in a text."""
+    return word if word[0] == "\n" else " " + word
+
+
 class PieceEncoder:
     """Encodes texts word by word, remembering words.
 
     A single space between two characters that are no white space always starts a new match of
-    the pattern, so a text may be cut there without changing any id. Each distinct word goes
-    through the tokenizer once while it is remembered; many new words go in one call, joined as
-    they would stand in a text, and their ids are parted again by the bytes of the tokens. Ids are
-    kept packed, as little-endian 32-bit numbers.
+    the pattern, and a single line break there is a match of its own, so a text may be cut before
+    both without changing any id. Each distinct word goes through the tokenizer once while it is
+    remembered; many new words go in one call, joined as they would stand in a text, and their ids
+    are parted again by the bytes of the tokens. Of a `PLAIN` word the matches are known: only its
+    letters are merged, by the tokenizer's own model without the pattern, and once for all words
+    that differ in the marks after them. Ids are kept packed, as little-endian 32-bit numbers.
     """
 
     _shared: dict = {}
@@ -96,12 +115,17 @@ class PieceEncoder:
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         self.lengths = np.array([len(token) for token in token_bytes(tokenizer)], np.int64)
-        # Keys are words after a space, without it; what starts a text is kept apart.
+        # Keys are words after a space, without it, or with the line break they follow; what starts a text is kept
+        # apart, marks that end plain words too.
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.starts: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.other_space = re.compile(r"[^\S \n]")
-        self.cut = re.compile(r"(?<=\S) (?=\S)").split
+        self.cut = re.compile(r"(?<=\S)(?: (?=\S)|(?=\n\S))").split
+        self.merger = _merger(tokenizer)
+        self.table = byte_characters()
+        self.line_break = self._ids(["\n"])[0]
 
     @classmethod
     def shared(cls, path: str, load: Callable) -> PieceEncoder:
@@ -115,27 +139,76 @@ class PieceEncoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(got.ids, "<u4").tobytes() for got in encoded]
 
+    def _parted(self, packed: bytes, sizes: list[int]) -> Iterator[bytes]:
+        """`packed` cut into the ids of stretches of so many bytes of text."""
+        ends = np.cumsum(self.lengths[np.frombuffer(packed, "<u4")])
+        places = 4 * (np.searchsorted(ends, np.cumsum(sizes)) + 1)
+        start = 0
+        for end in places.tolist():
+            yield packed[start:end]
+            start = end
+
+    def _merge(self, runs: list[str]) -> dict[str, bytes]:
+        """The ids of distinct runs of bytes, written as the vocabulary does and each one match of the pattern."""
+        found: dict[str, bytes] = {}
+        for low in range(0, len(runs), 20_000):
+            part = runs[low : low + 20_000]
+            groups = ["|".join(part[at : at + 200]) for at in range(0, len(part), 200)]
+            encoded = self.merger.encode_batch_fast(groups, add_special_tokens=False)
+            packed = b"".join([np.array(got.ids, "<u4").tobytes() for got in encoded])
+            found.update(zip(part, self._parted(packed, [len(run) for run in part]), strict=True))
+        return found
+
+    def _learn_plain(self, words: list[str]) -> list[str]:
+        """Learns the plain ones of `words` and returns the others."""
+        # Lists of strings alone: tuples by the hundred thousand would keep the garbage collector busy.
+        match, table = PLAIN.fullmatch, self.table
+        others: list[str] = []
+        plain: list[str] = []
+        runs: list[str] = []
+        after: list[str] = []
+        for word in words:
+            found = match(word)
+            if found is None:
+                others.append(word)
+                continue
+            before, run, marks = found.groups()
+            if not run.isascii():
+                run = "".join([table[b] for b in run.encode()])
+            plain.append(word)
+            runs.append(run if before else table[32] + run)
+            after.append(marks)
+        merged = self._merge(list(set(runs)))
+        if len(self.marks) > WORDS_KEPT:
+            self.marks.clear()
+        new = list(set(after).difference(self.marks))
+        self.marks.update(zip(new, self._ids(new), strict=True))
+        packed = map(add, map(merged.__getitem__, runs), map(self.marks.__getitem__, after))
+        self.words.update(zip(plain, packed, strict=True))
+        for word in plain:
+            if word[0] == "\n":
+                self.words[word] = self.line_break + self.words[word]
+        return others
+
     def _learn(self, words: list[str]) -> None:
+        others = self._learn_plain(words)
         # What ends in white space would take in the next word's space.
-        alone = [word for word in words if word[-1].isspace()]
-        for word, packed in zip(alone, self._ids([" " + word for word in alone]), strict=True):
+        alone = [word for word in others if word[-1].isspace()]
+        for word, packed in zip(alone, self._ids([_spaced(word) for word in alone]), strict=True):
             self.words[word] = packed
-        joined = [word for word in words if not word[-1].isspace()]
+        joined = [word for word in others if not word[-1].isspace()]
         for low, high in slices(joined, 100_000):
             part = joined[low:high]
-            packed = self._ids([" " + " ".join(part)])[0]
-            ends = np.cumsum(self.lengths[np.frombuffer(packed, "<u4")])
-            bounds = np.cumsum([1 + len(word.encode("utf-8", "surrogatepass")) for word in part])
-            places = 4 * (np.searchsorted(ends, bounds) + 1)
-            start = 0
-            for word, end in zip(part, places.tolist(), strict=True):
-                self.words[word] = packed[start:end]
-                start = end
-
-    def _cut(self, text: str) -> list[str]:
-        if "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " ":
-            return self.cut(text)
-        return self.cut(text) if self.other_space.search(text) else text.split(" ")
+            texts = [_spaced(word) for word in part]
+            packed = self._ids(["".join(texts)])[0]
+            sizes = [len(text.encode("utf-8", "surrogatepass")) for text in texts]
+            self.words.update(zip(part, self._parted(packed, sizes), strict=True))
+
+    def _single_gaps(self, text: str) -> bool:
+        """Whether all white space is single spaces and line breaks between other characters."""
+        if "  " in text or "\n " in text or " \n" in text or "\n\n" in text:
+            return False
+        return not (text[:1].isspace() or text[-1:].isspace() or self.other_space.search(text))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
@@ -143,13 +216,25 @@ class PieceEncoder:
             self.older, self.words = self.words, {}
         if len(self.starts) > WORDS_KEPT:
             self.starts.clear()
-        cut = [self._cut(text) for text in texts]
-        first = list({words[0] for words in cut if words[0] not in self.starts})
+        # Arrow cuts the texts and numbers the distinct words, so that each is looked up once for all its places.
+        heads: list[str] = []
+        tails: list[str | None] = []
+        odd: dict[int, list[str]] = {}
+        for place, text in enumerate(texts):
+            if self._single_gaps(text):
+                head, gap, tail = text.replace("\n", " \n").partition(" ")
+                tails.append(tail if gap else None)
+            else:
+                odd[place] = self.cut(text)
+                head = odd[place].pop(0)
+                tails.append(None)
+            heads.append(head)
+        cut = pc.split_pattern(pa.array(tails, pa.large_string()), " ")
+        numbered = cut.flatten().dictionary_encode()
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        first = list(set(heads).difference(self.starts))
         self.starts.update(zip(first, self._ids(first), strict=True))
-        # Sets first, then one pass of look-ups without a test: most words are known.
-        new: set[str] = set()
-        for words in cut:
-            new.update(words[1:])
+        new = set(distinct).union(*odd.values())
         new = new.difference(self.words)  # looks each up; an update would go through all known words
         for word in new & self.older.keys():
             self.words[word] = self.older[word]
@@ -157,7 +242,15 @@ class PieceEncoder:
         if new:
             self._learn(list(new))
         look_up = self.words.__getitem__
-        out = [self.starts[words[0]] + b"".join(map(look_up, islice(words, 1, None))) for words in cut]
+        packed = pa.array(list(map(look_up, distinct)), pa.large_binary()).take(numbered.indices)
+        out = [self.starts[head] for head in heads]
+        if len(packed):
+            _, ends, data = packed.buffers()
+            bounds = np.frombuffer(ends, "<i8")[cut.offsets.to_numpy()].tolist()
+            view = memoryview(data)
+            out = [start + view[low:high] for start, low, high in zip(out, bounds[:-1], bounds[1:], strict=True)]
+        for place, words in odd.items():
+            out[place] += b"".join(map(look_up, words))
         for word in first:
             if len(word) > LONG_WORD:
                 del self.starts[word]

@@ -86,6 +86,51 @@ def test_forgotten_words_change_nothing(monkeypatch):
     assert "x" * 200 not in encoder.words
 
 
+class Counting:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.characters = inner, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.characters += sum(map(len, texts))
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+def test_plain_words_are_merged_once_whatever_stands_around_them():
+    tokenizer = b.load_json(public_tokenizers.path("byte_bpe_50k.json"))
+    words = ["thountan", "ciónbo", "erbleon", "öieung", "Haanth", "inntea", "nting", "élle"]
+    marks = ["", ",", ".", "!?", "'", '")']
+    lines = [f"{x}{m}\n{y}{n} {x}{n}" for x in words for y in words for m in marks for n in marks]
+    text = " ".join(lines)
+    encoder = b.PieceEncoder(tokenizer)
+    encoder.tokenizer, encoder.merger = Counting(tokenizer), Counting(encoder.merger)
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == tokenizer.encode(text).ids
+    assert encoder.tokenizer.characters < 30  # the start and the marks
+    assert encoder.merger.characters < 3 * sum(map(len, words))  # each after a space and after a line break
+    assert len(encoder.words) <= 2 * len(words) * len(marks)
+
+
+def test_letters_of_plain_words_are_one_match():
+    import unicodedata
+
+    letters = [chr(c) for c in range(0x250) if b.PLAIN.fullmatch(chr(c))]
+    assert len(letters) == 52 + 62 + 0x150 and all(unicodedata.category(c)[0] == "L" for c in letters)
+    tokenizer = b.load_json(public_tokenizers.path("byte_bpe_50k.json"))
+    pairs = list(zip(letters, letters[::-1], strict=True))
+    texts = [f"x {c}{d}{m} {c}\n{d}{m}" for c, d in pairs for m in ("", "|", "''", "-_~")]
+    for text, packed in zip(texts, b.PieceEncoder(tokenizer).encode(texts), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == tokenizer.encode(text).ids, repr(text)
+
+
+@pytest.mark.parametrize("gap", ["\n", " \n", "\n ", "\n\n", "\n\n\n ", "\r\n", "\n\t", "\x1c\n", "\n\x85"])
+def test_line_breaks(gap):
+    texts = [f"one two,{gap}three", f"{gap}one{gap}", f"a's{gap}'s b's {gap}it", f"é {gap}<|endoftext|>{gap}12 x."]
+    for tokenizer in (b.load_ranks(RANKS), b.load_json(public_tokenizers.path("byte_bpe_50k.json"))):
+        for text, packed in zip(texts, b.PieceEncoder(tokenizer).encode(texts), strict=True):
+            assert np.frombuffer(packed, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def plain_checksum(text, ids, tik):
     """The checksum of character ranges by plain Python: the character of each byte, looked up."""
     character, at, out = [k for k, c in enumerate(text) for _ in c.encode()], 0, b""
